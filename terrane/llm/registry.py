@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from terrane.llm import exact_dedup, mixing
+from terrane.llm import exact_dedup, mixing, quality_rules, secret_scan
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2,
+    "op4_secret_scan": secret_scan.op4,
     "op8_mix_sources": mixing.op8,
+    "op10_quality_rules": quality_rules.op10,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op4_secret_scan": secret_scan.SQL,
     "op8_mix_sources": mixing.SQL,
 }
