@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from terrane.llm import exact_dedup, mixing, quality_rules, secret_scan
+from terrane.llm import exact_dedup, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2,
     "op4_secret_scan": secret_scan.op4,
+    "op6_line_dedup": line_dedup.op6,
+    "op7_suffix_dedup": suffix_dedup.op7,
     "op8_mix_sources": mixing.op8,
+    "op9_substring_dedup": substring_dedup.op9,
     "op10_quality_rules": quality_rules.op10,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_secret_scan": secret_scan.SQL,
+    "op6_line_dedup": line_dedup.SQL,
     "op8_mix_sources": mixing.SQL,
 }
