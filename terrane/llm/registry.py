@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from terrane.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from terrane.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_sentencepiece": sentencepiece_codec.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op3_near_dedup": near_dedup.op3,
     "op4_secret_scan": secret_scan.op4,
