@@ -1,0 +1,182 @@
+"""Language ID by Bayesian fusion of evidence.
+
+Four sources of evidence add up as logarithms: the text's likelihood under byte trigrams of each language; the language
+that the markup declares; the address suffix; and the host. The last three are learned from the corpus itself by grouped
+aggregation: each text's own posterior is summed by declared language, suffix and host. Host priors are smoothed by
+their suffix's, and those by the whole corpus's, so a host with few texts says little. One more class, ``und``, stands for
+text that no language explains; its trigrams are all equally likely.
+
+At scale: the trigram table has a fixed size, 32,768 rows by at most ``MAX_LANGUAGES`` columns. It is fitted on a bounded
+sample: the ``SAMPLE`` labelled rows with the lowest hash of their doc_id. Everything else covers all rows: one scan of
+the texts gives each row its likelihoods, in a thin table; sums by host are partial sums in each task, and a host with a
+third of all rows is one row of the table that joins back. Sums are of integers, so reruns agree.
+
+Defined results: a null text, or one without three bytes, has no likelihood of its own and gets ``und``, as has one that no
+language explains; ``und`` is not kept. Without any labelled rows nothing can be judged: all rows are ``und`` and kept. A
+null declaration, host or suffix says nothing. Equal scores go to the first language by name. Repeated rows are judged
+alike; extra columns do not matter; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from terrane.llm import textarrays as A
+from terrane.llm.common import ROW, stash, with_rows
+
+SAMPLE = 4_000
+MAX_LANGUAGES = 64
+MIN_ROWS = 8
+BINS = 1 << 15
+WEIGHT = 100  # trigrams that a text counts as at most; neighbouring trigrams are not independent
+UND = "und"
+UND_PRIOR = 1e-3
+SMOOTHING = 20.0
+UNIT = 1_000_000  # posteriors are summed as millionths
+
+
+def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of all trigrams of lower-cased bytes, and how many each text has."""
+    data, offsets = A.joined(batch.column(column))
+    upper = (data >= 65) & (data <= 90)
+    low = (data + upper.astype(np.uint8) * 32).astype(np.uint32)
+    at = A.window_starts(offsets, 3)
+    n = len(low)
+    code = (low[: n - 2] << np.uint32(16)) | (low[1 : n - 1] << np.uint32(8)) | low[2:] if n > 2 else np.zeros(0, np.uint32)
+    bins = ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
+    return bins[at], np.maximum(np.diff(offsets) - 2, 0)
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
+    """Languages, by name, and the log-probabilities of the trigram bins (bins by languages and ``und``). ``docs`` has (doc_id, text, label)."""
+    thin = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.xxhash64("doc_id", F.lit(5)).alias("place"))
+    chosen = thin.orderBy("place", "doc_id").limit(sample).select("doc_id", "name")
+    rows = docs.join(F.broadcast(chosen.distinct()), (docs["doc_id"] == chosen["doc_id"]) & (docs["label"] == chosen["name"])).select("name", "text")
+    schema = pa.schema([("name", pa.string()), ("bin", pa.int32()), ("n", pa.int64()), ("texts", pa.int64())])
+
+    def count(batches):
+        for batch in A.slices(batches, "text", 4 << 20):
+            bins, n = _trigrams(batch, "text")
+            names, which = np.unique(np.array(batch.column("name").to_pylist()), return_inverse=True)
+            doc = np.repeat(which, n)
+            for k, name in enumerate(names.tolist()):
+                found = np.bincount(bins[doc == k], minlength=BINS)
+                at = np.flatnonzero(found)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * (len(at) + 1)), pa.array([-1, *at.tolist()], pa.int32()), pa.array([0, *found[at].tolist()], pa.int64()), pa.array([int((which == k).sum())] + [0] * len(at), pa.int64())], schema=schema)
+
+    counts = stash(rows.mapInArrow(count, "name string, bin int, n long, texts long").groupBy("name", "bin").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")), "trigrams")
+    known = counts.where(f"bin = -1 and texts >= {MIN_ROWS}").orderBy(F.desc("texts"), "name").limit(MAX_LANGUAGES)
+    names = sorted(r["name"] for r in known.select("name").collect())
+    table = np.full((BINS, len(names) + 1), 0.5)
+    for r in counts.where((F.col("bin") >= 0) & F.col("name").isin(names)).collect() if names else []:  # at most BINS * MAX_LANGUAGES rows
+        table[r["bin"], names.index(r["name"])] += r["n"]
+    table[:, -1] = 1
+    return names, np.log(table / table.sum(axis=0)).astype(np.float32)
+
+
+def likelihoods(docs: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
+    """``docs`` (row key, doc_id, declared, host, suffix, text) without the text, with ``n`` trigrams, ``scores`` (log-likelihoods) and ``own``, the posterior of the text alone in millionths."""
+    keep = [c for c in docs.columns if c != "text"]
+    width = len(names) + 1
+    prior = np.log(np.append(np.full(len(names), (1 - UND_PRIOR) / max(1, len(names))), UND_PRIOR))
+
+    def run(batches):
+        for batch in A.slices(batches, "text", 4 << 20):
+            bins, n = _trigrams(batch, "text")
+            scores = np.zeros((batch.num_rows, width))
+            some = np.flatnonzero(n)
+            heads = (np.cumsum(n) - n)[some]
+            for k in range(width if len(some) else 0):
+                scores[some, k] = np.add.reduceat(table[bins, k].astype(np.float64), heads)
+            scores *= (np.minimum(n, WEIGHT) / np.maximum(n, 1))[:, None]
+            total = scores + prior
+            own = np.exp(total - total.max(axis=1, keepdims=True))
+            own = np.rint(own / own.sum(axis=1, keepdims=True) * UNIT).astype(np.int64)
+            lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(x.ravel(), kind))  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), lists(np.round(scores, 6), pa.float64()), lists(own, pa.int64())], names=[*keep, "n", "scores", "own"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    return docs.mapInArrow(run, f"{fields}, n long, scores array<double>, own array<long>")
+
+
+def _sums(rows: DataFrame, width: int, *keys: str) -> DataFrame:
+    """For each key the summed posteriors of its texts, as an array of texts' worth."""
+    each = rows.groupBy(*keys).agg(*[F.sum(F.get("own", F.lit(i))).alias(f"s{i}") for i in range(width)])
+    return each.select(*keys, F.array(*[F.col(f"s{i}").cast("double") / UNIT for i in range(width)]).alias("sums"))
+
+
+def _smoothed(sums: Column, above: Column, strength: float = SMOOTHING) -> Column:
+    total = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x)
+    return F.zip_with(sums, above, lambda s, p: (s + strength * p) / (total + strength))
+
+
+def host_priors(rows: DataFrame, width: int) -> tuple[DataFrame, list[float]]:
+    """(host, suffix, prior) smoothed by the suffix, and that by the whole corpus, whose prior is returned too."""
+    hosts = stash(_sums(rows, width, "host", "suffix"), "hosts")
+    add = lambda df, *keys: df.groupBy(*keys).agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(width)]).select(*keys, F.array(*[F.col(f"s{i}") for i in range(width)]).alias("sums"))
+    whole = add(hosts).first()
+    sums = [x or 0.0 for x in whole["sums"]] if whole else [0.0] * width
+    overall = [(s + 1.0) / (sum(sums) + width) for s in sums]
+    base = F.array(*map(F.lit, overall))
+    suffixes = add(hosts, "suffix").select(F.col("suffix").alias("ending"), _smoothed(F.col("sums"), base).alias("above"))
+    joined = hosts.join(suffixes, hosts["suffix"].eqNullSafe(suffixes["ending"]))
+    return joined.select("host", "suffix", _smoothed(F.col("sums"), F.when(F.col("suffix").isNull(), base).otherwise(F.col("above"))).alias("prior")), overall
+
+
+def declared_likelihoods(rows: DataFrame, width: int) -> DataFrame:
+    """(declared, given): for each declared language how likely texts of each language are to declare it."""
+    sums = stash(_sums(rows.where("declared is not null"), width, "declared"), "declared")
+    totals = sums.agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(width)]).first()
+    n = [x or 0.0 for x in totals]
+    given = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: (F.get("sums", i) + 1.0) / (F.get(F.array(*map(F.lit, n)), i) + SMOOTHING))
+    return sums.select("declared", given.alias("given"))
+
+
+def identify(docs: DataFrame, declared: Column | str | None = "lang", host: Column | str | None = "source", suffix: Column | str | None = None, sample: int = SAMPLE) -> DataFrame:
+    """One row per row of ``docs``: row key, doc_id, declared, ``language``, ``confidence``, ``kept``. ``declared`` also labels the sample that the trigrams are fitted on."""
+    as_column = lambda c: F.lit(None).cast("string") if c is None else (F.col(c) if isinstance(c, str) else c).cast("string")
+    ending = F.regexp_extract(F.lower(as_column(host)), r"\.([a-z]+)$", 1) if suffix is None else as_column(suffix)
+    ending = F.when(ending != "", ending)
+    d = with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.trim(as_column(declared))).alias("declared"), as_column(host).alias("host"), ending.alias("suffix"), F.col("text").cast("string").alias("text"))
+    names, table = fit(d.select("doc_id", "text", F.col("declared").alias("label")), sample)
+    if not names:
+        return d.select(ROW, "doc_id", "declared", F.lit(UND).alias("language"), F.lit(0.0).alias("confidence"), F.lit(True).alias("kept"))
+    width = len(names) + 1
+    rows = stash(likelihoods(d, names, table), "likelihoods")
+    hosts, overall = host_priors(rows, width)
+    said = declared_likelihoods(rows, width)
+    base = F.array(*map(F.lit, overall))
+    found = rows.join(hosts.select(F.col("host").alias("h"), F.col("suffix").alias("e"), "prior"), F.col("host").eqNullSafe(F.col("h")) & F.col("suffix").eqNullSafe(F.col("e")), "left").join(said, "declared", "left")
+    prior = F.when(F.col("host").isNull() & F.col("suffix").isNull(), base).otherwise(F.coalesce("prior", base))
+    given = F.coalesce("given", F.array(*[F.lit(1.0)] * width))
+    fused = F.zip_with(F.zip_with("scores", prior, lambda s, p: s + F.log(p)), given, lambda s, g: s + F.log(g))
+    found = found.withColumn("fused", fused).withColumn("top", F.array_max("fused"))
+    each = F.transform("fused", lambda s: F.exp(s - F.col("top")))
+    share = F.lit(1.0) / F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
+    place = F.array_position("fused", F.col("top")).cast("int")
+    language = F.when(F.col("n") == 0, UND).otherwise(F.element_at(F.array(*map(F.lit, [*names, UND])), place))
+    return found.select(ROW, "doc_id", "declared", language.alias("language"), F.when(F.col("n") == 0, F.lit(0.0)).otherwise(F.round(share, 6)).alias("confidence")).withColumn("kept", F.col("language") != UND)
+
+
+def only_identified(docs: DataFrame, **evidence) -> DataFrame:
+    """The rows of ``docs`` whose language is known, with all their columns."""
+    kept = identify(docs, **evidence).where("kept").select(ROW)
+    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+
+
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """Web pages (page_id, url, html) as documents: doc_id, text without tags, lang from the markup, host and address suffix."""
+    host = F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1)
+    drop = [r"(?is)<(script|style)\b.*?</\1>", r"(?s)<!--.*?-->", r"<[^>]*>"]
+    text = reduce(lambda c, p: F.regexp_replace(c, p, " "), drop, F.coalesce("html", F.lit("")))
+    lang = F.regexp_extract("html", r"""(?i)<html[^>]*\blang=["']?([a-z]{2,3})""", 1)
+    return pages.select(F.col("page_id").alias("doc_id"), text.alias("text"), F.when(lang != "", lang).alias("lang"), F.when(host != "", host).alias("host"))
+
+
+def op5(spark, sf_dir: str) -> DataFrame:
+    return identify(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop(ROW)

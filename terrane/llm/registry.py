@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from terrane.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup
+from terrane.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op3_near_dedup": near_dedup.op3,
     "op4_secret_scan": secret_scan.op4,
+    "op5_language_id": language_id.op5,
     "op6_line_dedup": line_dedup.op6,
     "op7_suffix_dedup": suffix_dedup.op7,
     "op8_mix_sources": mixing.op8,
