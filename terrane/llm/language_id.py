@@ -11,8 +11,8 @@ sample: the ``SAMPLE`` labelled rows with the lowest hash of their doc_id. Every
 the texts gives each row its likelihoods, in a thin table; sums by host are partial sums in each task, and a host with a
 third of all rows is one row of the table that joins back. Sums are of integers, so reruns agree.
 
-Defined results: a null text, or one without three bytes, has no likelihood of its own and gets ``und``, as has one that no
-language explains; ``und`` is not kept. Without any labelled rows nothing can be judged: all rows are ``und`` and kept. A
+Defined results: a null text, or one without words, gets ``und``, as has one that no language explains; ``und`` is not kept.
+Words with digits (keys, numbers, addresses) say nothing about language; a text of only such words follows its other evidence. Without any labelled rows nothing can be judged: all rows are ``und`` and kept. A
 null declaration, host or suffix says nothing. Equal scores go to the first language by name. Repeated rows are judged
 alike; extra columns do not matter; an empty table gives no rows.
 """
@@ -40,16 +40,23 @@ SMOOTHING = 20.0
 UNIT = 1_000_000  # posteriors are summed as millionths
 
 
-def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bins of all trigrams of lower-cased bytes, and how many each text has."""
+def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins of the trigrams of lower-cased bytes that touch no word with a digit, how many each text has, and its words."""
     data, offsets = A.joined(batch.column(column))
+    starts, ends, first = A.words(data, offsets)
+    digits = np.concatenate(([0], np.cumsum((data >= 48) & (data <= 57))))
+    coded = digits[ends] > digits[starts]
+    edge = np.bincount(starts[coded], minlength=len(data) + 1) - np.bincount(ends[coded], minlength=len(data) + 1)
+    skip = np.concatenate(([0], np.cumsum(np.cumsum(edge[:-1]))))
     upper = (data >= 65) & (data <= 90)
     low = (data + upper.astype(np.uint8) * 32).astype(np.uint32)
     at = A.window_starts(offsets, 3)
     n = len(low)
     code = (low[: n - 2] << np.uint32(16)) | (low[1 : n - 1] << np.uint32(8)) | low[2:] if n > 2 else np.zeros(0, np.uint32)
     bins = ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
-    return bins[at], np.maximum(np.diff(offsets) - 2, 0)
+    at = at[skip[at + 3] == skip[at]]
+    inside = np.searchsorted(at, offsets)
+    return bins[at], np.diff(inside), np.diff(first)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
@@ -61,7 +68,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
 
     def count(batches):
         for batch in A.slices(batches, "text", 4 << 20):
-            bins, n = _trigrams(batch, "text")
+            bins, n, _ = _trigrams(batch, "text")
             names, which = np.unique(np.array(batch.column("name").to_pylist()), return_inverse=True)
             doc = np.repeat(which, n)
             for k, name in enumerate(names.tolist()):
@@ -80,14 +87,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
 
 
 def likelihoods(docs: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
-    """``docs`` (row key, doc_id, declared, host, suffix, text) without the text, with ``n`` trigrams, ``scores`` (log-likelihoods) and ``own``, the posterior of the text alone in millionths."""
+    """``docs`` (row key, doc_id, declared, host, suffix, text) without the text, with its number of ``words``, ``scores`` (log-likelihoods) and ``own``, the posterior of the text alone in millionths."""
     keep = [c for c in docs.columns if c != "text"]
     width = len(names) + 1
     prior = np.log(np.append(np.full(len(names), (1 - UND_PRIOR) / max(1, len(names))), UND_PRIOR))
 
     def run(batches):
         for batch in A.slices(batches, "text", 4 << 20):
-            bins, n = _trigrams(batch, "text")
+            bins, n, words = _trigrams(batch, "text")
             scores = np.zeros((batch.num_rows, width))
             some = np.flatnonzero(n)
             heads = (np.cumsum(n) - n)[some]
@@ -98,10 +105,10 @@ def likelihoods(docs: DataFrame, names: list[str], table: np.ndarray) -> DataFra
             own = np.exp(total - total.max(axis=1, keepdims=True))
             own = np.rint(own / own.sum(axis=1, keepdims=True) * UNIT).astype(np.int64)
             lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(x.ravel(), kind))  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), lists(np.round(scores, 6), pa.float64()), lists(own, pa.int64())], names=[*keep, "n", "scores", "own"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(words, pa.int64()), lists(np.round(scores, 6), pa.float64()), lists(own, pa.int64())], names=[*keep, "words", "scores", "own"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.mapInArrow(run, f"{fields}, n long, scores array<double>, own array<long>")
+    return docs.mapInArrow(run, f"{fields}, words long, scores array<double>, own array<long>")
 
 
 def _sums(rows: DataFrame, width: int, *keys: str) -> DataFrame:
@@ -159,8 +166,8 @@ def identify(docs: DataFrame, declared: Column | str | None = "lang", host: Colu
     each = F.transform("fused", lambda s: F.exp(s - F.col("top")))
     share = F.lit(1.0) / F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
     place = F.array_position("fused", F.col("top")).cast("int")
-    language = F.when(F.col("n") == 0, UND).otherwise(F.element_at(F.array(*map(F.lit, [*names, UND])), place))
-    return found.select(ROW, "doc_id", "declared", language.alias("language"), F.when(F.col("n") == 0, F.lit(0.0)).otherwise(F.round(share, 6)).alias("confidence")).withColumn("kept", F.col("language") != UND)
+    language = F.when(F.col("words") == 0, UND).otherwise(F.element_at(F.array(*map(F.lit, [*names, UND])), place))
+    return found.select(ROW, "doc_id", "declared", language.alias("language"), F.when(F.col("words") == 0, F.lit(0.0)).otherwise(F.round(share, 6)).alias("confidence")).withColumn("kept", F.col("language") != UND)
 
 
 def only_identified(docs: DataFrame, **evidence) -> DataFrame:
