@@ -1,0 +1,88 @@
+"""Spatial joins of polygons and points by buckets and closed forms.
+
+Candidates come from an equi-join on coarse grid cells of the boxes; overlap areas are sums over pairs of edges that share
+a stretch of longitude. Nothing is joined without an equality.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from terrane.operators.geometry import bounds
+
+
+def buckets(lo: Column, hi: Column, size: float) -> Column:
+    return F.sequence(F.floor(lo / size), F.floor(hi / size))
+
+
+def box_join(a: DataFrame, b: DataFrame, size: float = 10.0) -> DataFrame:
+    """(a_id, b_id) whose boxes (id, xmin, ymin, xmax, ymax) meet. A pair is taken in the one bucket that holds its boxes' lower left common corner, so none comes twice."""
+    spread = lambda df: df.withColumn("gx", F.explode(buckets(F.col("xmin"), F.col("xmax"), size))).withColumn("gy", F.explode(buckets(F.col("ymin"), F.col("ymax"), size)))
+    p, q = spread(a).alias("p"), spread(b).alias("q")
+    c = lambda s: F.col(s)
+    meet = (c("p.xmin") <= c("q.xmax")) & (c("q.xmin") <= c("p.xmax")) & (c("p.ymin") <= c("q.ymax")) & (c("q.ymin") <= c("p.ymax"))
+    once = (c("p.gx") == F.floor(F.greatest("p.xmin", "q.xmin") / size)) & (c("p.gy") == F.floor(F.greatest("p.ymin", "q.ymin") / size))
+    return p.join(q, (c("p.gx") == c("q.gx")) & (c("p.gy") == c("q.gy")) & meet & once).select(c("p.id").alias("a_id"), c("q.id").alias("b_id"))
+
+
+def _y(e: str, x: Column) -> Column:
+    c = lambda n: F.col(f"{e}.{n}")
+    return c("ya") + (c("yb") - c("ya")) * (x - c("xa")) / (c("xb") - c("xa"))
+
+
+def min_integral(length: Column, f: Column, g: Column, d0: Column, d1: Column) -> Column:
+    """The integral of the lower of two lines over a stretch, from their own integrals and the differences at its ends."""
+    crossed = (f + g - length * (d0 * d0 + d1 * d1) / (2 * F.abs(d0 - d1))) / 2
+    return F.when((d0 <= 0) & (d1 <= 0), f).when((d0 >= 0) & (d1 >= 0), g).otherwise(crossed)
+
+
+def polygon_overlap(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, tolerance: float = 1e-9, strip: float = 5.0, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(a_id, b_id, area): pairs of polygons, as edges, with positive overlap.
+
+    Edges are dealt to strips of longitude, so a place with very many edges is worked on in many tasks. With ``keys``,
+    such as ("part",), areas are given for those parts too.
+    """
+    ids = ("place_id", *keys)
+    name = lambda s: [F.col(k).alias(f"{s}_{'id' if k == 'place_id' else k}") for k in ids]
+    box = lambda e: bounds(e.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y"))).withColumnRenamed("place_id", "id")
+    ab, bb = box(a), box(b)
+    if pairs is None:
+        pairs = box_join(ab, bb)
+    base = pairs.join(ab.select(F.col("id").alias("a_id"), F.col("ymin").alias("a_low")), "a_id").join(bb.select(F.col("id").alias("b_id"), F.col("ymin").alias("b_low")), "b_id").select("a_id", "b_id", F.least("a_low", "b_low").alias("base"))
+    lo, hi = F.least("xa", "xb"), F.greatest("xa", "xb")
+    cut = lambda e, s: e.where("xa != xb").select(*name(s), F.struct("xa", "ya", "xb", "yb", lo.alias("lo"), hi.alias("hi"), F.when(F.col("xb") < F.col("xa"), 1).otherwise(-1).alias("s")).alias(s), F.explode(buckets(lo, hi, strip)).alias("strip"))
+    d = base.join(cut(a, "a"), "a_id").join(cut(b, "b"), ["b_id", "strip"])
+    x0, x1 = F.greatest("a.lo", "b.lo"), F.least("a.hi", "b.hi")
+    d = d.withColumn("x0", x0).withColumn("x1", x1).where((F.col("x1") > F.col("x0")) & (F.col("strip") == F.floor(F.col("x0") / strip)))
+    length = F.col("x1") - F.col("x0")
+    ya0, ya1, yb0, yb1 = (_y(e, F.col(x)) - F.col("base") for e in "ab" for x in ("x0", "x1"))
+    term = F.col("a.s") * F.col("b.s") * min_integral(length, (ya0 + ya1) / 2 * length, (yb0 + yb1) / 2 * length, ya0 - yb0, ya1 - yb1)
+    out = [f"{s}_{'id' if k == 'place_id' else k}" for s in "ab" for k in ids]
+    return d.groupBy(*out).agg(F.sum(term).alias("area")).where(F.col("area") > tolerance)
+
+
+def points_in_polygons(points: DataFrame, e: DataFrame, size: float = 5.0) -> DataFrame:
+    """(point_id, place_id) of points (point_id, lon, lat) inside polygons, as edges, by the even-odd rule; holes count."""
+    box = bounds(e.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y")))
+    spread = box.withColumn("gx", F.explode(buckets(F.col("xmin"), F.col("xmax"), size))).withColumn("gy", F.explode(buckets(F.col("ymin"), F.col("ymax"), size)))
+    p = points.select("point_id", "lon", "lat", F.floor(F.col("lon") / size).alias("gx"), F.floor(F.col("lat") / size).alias("gy"))
+    near = p.join(spread, ["gx", "gy"]).where("lon between xmin and xmax and lat between ymin and ymax").select("point_id", "place_id", "lon", "lat")
+    passes = ((F.col("ya") > F.col("lat")) != (F.col("yb") > F.col("lat"))) & (F.col("lon") < (F.col("xb") - F.col("xa")) * (F.col("lat") - F.col("ya")) / (F.col("yb") - F.col("ya")) + F.col("xa"))
+    return near.join(e.select("place_id", "xa", "ya", "xb", "yb"), "place_id").groupBy("point_id", "place_id").agg(F.count_if(passes).alias("n")).where("n % 2 = 1").select("point_id", "place_id")
+
+
+def derive_intersect(a: DataFrame, b: DataFrame, min_area: float, min_part: float) -> DataFrame:
+    """Pieces (a_id, b_id, area, fragments, reason): overlaps of two collections. Fragments of parts under ``min_part`` go first, then slivers under ``min_area``; ``reason`` is null for pieces that stay."""
+    parts = polygon_overlap(a, b, keys=("part",))
+    g = parts.groupBy("a_id", "b_id").agg(F.sum(F.when(F.col("area") >= min_part, F.col("area"))).alias("area"), F.count_if(F.col("area") < min_part).alias("fragments"), F.sum(F.when(F.col("area") < min_part, F.col("area"))).alias("lost"))
+    return g.withColumn("reason", F.when(F.col("area").isNull(), "fragments").when(F.col("area") < min_area, "sliver"))
+
+
+def derived_report(pieces: DataFrame) -> DataFrame:
+    """What ``derive_intersect`` drops, as counts and areas."""
+    return pieces.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"), F.sum(F.coalesce("area", "lost")).alias("area"))
+
+
+def nearest_rank(df: DataFrame, key: str, *order: Column) -> DataFrame:
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
