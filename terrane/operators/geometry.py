@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RING = ("place_id", "part", "ring")
-_BY_RING = Window.partitionBy(*RING).orderBy("seq")
 #: WGS84.
 A_KM = 6378.137
 E2 = 0.00669437999014
 
 
+def _by_ring():
+    return Window.partitionBy(*RING).orderBy("seq")
+
+
 # vertices and edges ----
 def explode_vertices(df: DataFrame) -> DataFrame:
     """Vertices of GeoJSON text (place_id, geometry): Polygon and MultiPolygon; other types give none."""
@@ -39,7 +42,7 @@ def to_geojson(v: DataFrame) -> DataFrame:
 
 
 def edges(v: DataFrame) -> DataFrame:
-    lead = lambda c: F.lead(c).over(_BY_RING)
+    lead = lambda c: F.lead(c).over(_by_ring())
     return v.select(*RING, "seq", F.col("x").alias("xa"), F.col("y").alias("ya"), lead("x").alias("xb"), lead("y").alias("yb")).where("xb is not null")
 
 
@@ -71,11 +74,11 @@ def snap(v: DataFrame, tolerance: float = 1e-4) -> DataFrame:
 # the antimeridian ----
 def unwrap_ring(v: DataFrame, pole: float = 89.999) -> DataFrame:
     """Longitudes made continuous: a step over 180 degrees turns by 360, edges at a pole are exempt. ``closed`` is false for a ring that does not come back."""
-    before = lambda c: F.lag(c).over(_BY_RING)
+    before = lambda c: F.lag(c).over(_by_ring())
     step = F.col("x") - before("x")
     exempt = (F.abs("y") >= pole) & (F.abs(before("y")) >= pole)
     turn = F.when(exempt | step.isNull(), 0).when(step > 180, -360).when(step < -180, 360).otherwise(0)
-    d = v.withColumn("turn", turn).withColumn("x", F.col("x") + F.sum("turn").over(_BY_RING.rowsBetween(Window.unboundedPreceding, 0)))
+    d = v.withColumn("turn", turn).withColumn("x", F.col("x") + F.sum("turn").over(_by_ring().rowsBetween(Window.unboundedPreceding, 0)))
     whole = Window.partitionBy(*RING)
     return d.withColumn("closed", F.abs(F.min_by("x", "seq").over(whole) - F.max_by("x", "seq").over(whole)) < 1e-9).drop("turn")
 
@@ -95,7 +98,7 @@ def split_antimeridian(v: DataFrame) -> DataFrame:
     along the meridian where it leaves the strip. Areas, bounds and even-odd tests of the pieces are those of the
     polygon; a piece of a concave ring may hold bridges along the meridian. ``part`` becomes part * 8 + strip + 4.
     """
-    lead = lambda c: F.lead(c).over(_BY_RING)
+    lead = lambda c: F.lead(c).over(_by_ring())
     span = bounds(v, "place_id", "part").select("place_id", "part", F.floor((F.col("xmin") + 180) / 360).alias("lo"), F.greatest(F.floor((F.col("xmin") + 180) / 360), F.ceil((F.col("xmax") + 180) / 360) - 1).alias("hi"))
     d = v.select(*RING, "seq", "x", "y", lead("x").alias("xb"), lead("y").alias("yb")).join(span, ["place_id", "part"])
     d = d.withColumn("k", F.explode(F.sequence("lo", "hi"))).withColumn("w", F.col("k") * 360.0 - 180)

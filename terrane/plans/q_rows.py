@@ -33,9 +33,9 @@ add("p8_stamp_common", lambda t: R.stamp_common(t.nation, {"id": "NAT:{n_nationk
 add("p9_precedence", lambda t: t.customer.select("c_custkey", R.precedence(F.expr("case when c_custkey % 2 = 0 then '  ' else c_mktsegment end"), F.expr("case when c_custkey % 3 = 0 then null else ' from  collection ' end"), F.lit("last")).alias("v")), "select c_custkey, case when c_custkey % 2 <> 0 then c_mktsegment when c_custkey % 3 <> 0 then 'from collection' else 'last' end v from customer")
 add("p10_pick_geom_type", lambda t: t.part.select("p_partkey", R.pick_geom_type(F.expr("case when p_size % 5 = 0 then 'Point' end"), F.expr("case when p_size % 4 = 0 then null else 'MultiPolygon' end"), F.expr("case when p_size % 3 = 0 then 'Polygon' when p_size % 3 = 1 then 'LineString' end")).alias("g")), "select p_partkey, case when p_size % 5 = 0 then 'Point' when p_size % 4 <> 0 and p_size % 3 <> 1 then 'MultiPolygon' when p_size % 3 = 0 then 'Polygon' when p_size % 3 = 1 then 'LineString' end g from part")
 add("p11_bbox_window", lambda t: R.bbox_window(t.fx_box, -20, -30, 60, 30).select("place_id"), "select place_id from fx_box where xmin <= 60 and xmax >= -20 and ymin <= 30 and ymax >= -30")
-_BOX = B.box(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
-_ALASKA = B.box(F.lit(170.0), F.lit(-40.0), F.lit(-150.0), F.lit(60.0))
-add("p12_boxes_meet", lambda t: t.fx_box.where(B.meet(_BOX, _ALASKA)).select("place_id"), "select place_id from fx_box where ymin <= 60 and -40 <= ymax and ((xmin <= 210 - 360 and 170 - 360 <= xmax) or (xmin <= 210 and 170 <= xmax) or (xmin <= 570 and 530 <= xmax))")
+_BOX = lambda: B.box(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
+_ALASKA = lambda: B.box(F.lit(170.0), F.lit(-40.0), F.lit(-150.0), F.lit(60.0))
+add("p12_boxes_meet", lambda t: t.fx_box.where(B.meet(_BOX(), _ALASKA())).select("place_id"), "select place_id from fx_box where ymin <= 60 and -40 <= ymax and ((xmin <= 210 - 360 and 170 - 360 <= xmax) or (xmin <= 210 and 170 <= xmax) or (xmin <= 570 and 530 <= xmax))")
 add("p13_is_global", lambda t: t.part.select("p_partkey", B.is_global(B.box(F.lit(-180.0), F.lit(-88.0), F.col("p_size") * 10.0 - 180, F.lit(85.0))).alias("g")), "select p_partkey, p_size * 10 >= 359 g from part")
 add("p14_place_lookup", lambda t: R.place_lookup(t.fx_value, "SUP:7"), "select * from fx_value where place_id = 'SUP:7'")
 add("p15_search_text", lambda t: t.fx_lookup.where(R.matches_text(F.concat_ws(" ", "species", T.group_of(F.col("eov"), F.col("class")), "class", F.when(F.col("redlist").isNotNull(), F.concat(F.lit("iucn "), "redlist"))), "iucn st")).select("aphiaid"), "select aphiaid from fx_lookup where redlist is not null and contains(lower(species || ' ' || coalesce(eov, class, 'other') || ' ' || class || ' iucn ' || redlist), 'iucn') and contains(lower(species || ' ' || coalesce(eov, class, 'other') || ' ' || class || ' iucn ' || redlist), 'st')")
@@ -69,8 +69,8 @@ add("f15_dates", lambda t: t.orders.select("o_orderkey", T.valid_partial_date(F.
 add("f16_history_json", lambda t: t.customer.select("c_custkey", T.history_json(F.when(F.col("c_custkey") % 2 == 0, F.array(F.struct(F.lit("2024").alias("date"), F.col("c_mktsegment").alias("value"), F.lit(None).cast("string").alias("note")))).otherwise(F.array().cast("array<struct<date:string,value:string,note:string>>"))).alias("v")), "select c_custkey, case when c_custkey % 2 = 0 then '[{\"date\":\"2024\",\"value\":\"' || c_mktsegment || '\",\"note\":null}]' end v from customer")
 add("f17_months", lambda t: t.lineitem.select("l_orderkey", "l_linenumber", T.month_of(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("m"), T.years_before(F.date_format("l_shipdate", "yyyy-MM"), 8).alias("b"), F.date_format(T.step_date(F.col("l_shipdate"), 1), "yyyy-MM").alias("s")), "select l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') m, lpad(cast(year(l_shipdate) - 8 as varchar), 4, '0') || strftime(l_shipdate, '-%m') b, strftime(l_shipdate + interval 1 month, '%Y-%m') s from lineitem")
 add("f18_labels", lambda t: t.orders.select("o_orderkey", T.period_label(F.col("o_orderdate"), F.expr("case o_orderkey % 3 when 0 then 'year' when 1 then 'month' else 'day' end")).alias("p"), T.unit_label(F.expr("case when o_orderkey % 2 = 0 then '1' else 'm**2' end")).alias("u")), "select o_orderkey, case o_orderkey % 3 when 0 then strftime(o_orderdate, '%Y') when 1 then strftime(o_orderdate, '%Y-%m') else strftime(o_orderdate, '%Y-%m-%d') end p, case when o_orderkey % 2 = 0 then '' else 'm^2' end u from orders")
-add("f19_bbox_wrap", lambda t: t.fx_box.select("place_id", B.wrap_bbox(_BOX).alias("w"), B.unwrap_bbox(B.wrap_bbox(_BOX)).alias("u")).select("place_id", F.round("w.xmin", 6).alias("wx"), F.round("w.xmax", 6).alias("we"), F.round("u.xmax", 6).alias("ue")), "select place_id, round(xmin, 6) wx, round(case when xmax > 180 then xmax - 360 else xmax end, 6) we, round(xmax, 6) ue from fx_box")
-add("f20_bbox_iou", lambda t: t.fx_box.select("place_id", F.round(B.iou(_BOX, B.box(F.lit(0.0), F.lit(-20.0), F.lit(40.0), F.lit(20.0))), 6).alias("iou")), "select place_id, round(i / ((xmax - xmin) * (ymax - ymin) + 1600 - i), 6) iou from (select *, greatest(0, least(xmax, 40) - greatest(xmin, 0)) * greatest(0, least(ymax, 20) - greatest(ymin, -20)) i from fx_box)")
+add("f19_bbox_wrap", lambda t: t.fx_box.select("place_id", B.wrap_bbox(_BOX()).alias("w"), B.unwrap_bbox(B.wrap_bbox(_BOX())).alias("u")).select("place_id", F.round("w.xmin", 6).alias("wx"), F.round("w.xmax", 6).alias("we"), F.round("u.xmax", 6).alias("ue")), "select place_id, round(xmin, 6) wx, round(case when xmax > 180 then xmax - 360 else xmax end, 6) we, round(xmax, 6) ue from fx_box")
+add("f20_bbox_iou", lambda t: t.fx_box.select("place_id", F.round(B.iou(_BOX(), B.box(F.lit(0.0), F.lit(-20.0), F.lit(40.0), F.lit(20.0))), 6).alias("iou")), "select place_id, round(i / ((xmax - xmin) * (ymax - ymin) + 1600 - i), 6) iou from (select *, greatest(0, least(xmax, 40) - greatest(xmin, 0)) * greatest(0, least(ymax, 20) - greatest(ymin, -20)) i from fx_box)")
 add("f21_bbox_wkt", lambda t: t.region.select("r_regionkey", B.bbox_wkt(B.box(170.0 + F.col("r_regionkey") * 5, F.lit(-10.5), 178.0 + F.col("r_regionkey") * 5, F.lit(10.0))).alias("wkt")), "select r_regionkey, case when w > e then 'MULTIPOLYGON(((' || w || ' -10.5, 180 -10.5, 180 10, ' || w || ' 10, ' || w || ' -10.5)), ((-180 -10.5, ' || e || ' -10.5, ' || e || ' 10, -180 10, -180 -10.5)))' else 'POLYGON((' || w || ' -10.5, ' || e || ' -10.5, ' || e || ' 10, ' || w || ' 10, ' || w || ' -10.5))' end wkt from (select r_regionkey, case when 170 + 5 * r_regionkey > 180 then 5 * r_regionkey - 190 else 170 + 5 * r_regionkey end w, case when 178 + 5 * r_regionkey > 180 then 5 * r_regionkey - 182 else 178 + 5 * r_regionkey end e from region)")
 add("f22_cell_at", lambda t: t.fx_point.select("point_id", B.cell_at(F.floor((90.0 - F.col("lat")) / 0.5), F.floor((F.col("lon") + 180.0) / 0.5), 720, 0.5, 5.0).alias("c")).select("point_id", "c.cell", "c.tile"), "select point_id, cast(r * 720 + c + 1 as bigint) cell, cast(floor(r / 10) * 72 + floor(c / 10) as bigint) tile from (select point_id, floor((90e0 - lat) / 5e-1) r, floor((lon + 180e0) / 5e-1) c from fx_point)")
 add("f23_cells", lambda t: t.part.select("p_partkey", F.expr("(shiftleft(cast(7 as bigint), 52) | (p_partkey * 4398046511))").alias("c")).select("p_partkey", B.cell_long(B.cell_hex(F.col("c"))).alias("back"), B.cell_resolution(F.col("c")).alias("res"), B.cell_parent(F.col("c"), 3).alias("up")), "select p_partkey, c back, (c >> 52) & 15 res, (c & ~(cast(15 as bigint) << 52)) | (cast(3 as bigint) << 52) | ((cast(1 as bigint) << 36) - 1) up from (select p_partkey, (cast(7 as bigint) << 52) | (p_partkey * 4398046511) c from part)")
@@ -79,7 +79,7 @@ add("f24_morton", lambda t: t.fx_point.select("point_id", B.morton(F.col("lon"),
 add("f25_geom_kind", lambda t: t.part.select("p_partkey", T.kind_of_all(F.array(F.expr("case when p_size % 2 = 0 then 'MultiPolygon' else 'Point' end"), F.expr("case when p_size % 3 = 0 then 'Polygon' else 'MultiPoint' end"))).alias("k")), "select p_partkey, case when p_size % 2 = 0 and p_size % 3 = 0 then 'polygon' when p_size % 2 = 1 and p_size % 3 <> 0 then 'point' else 'mixed' end k from part")
 add("f26_search_rank", lambda t: t.customer.select("c_custkey", T.search_rank(F.expr("case c_custkey % 4 when 0 then 'places' when 1 then 'protectedseas_mpa' when 2 then 'noaa_hapc' else c_mktsegment end")).alias("r")), "select c_custkey, case c_custkey % 4 when 0 then 2 when 1 then 1 when 2 then 1 else 0 end r from customer")
 add("f27_station_key", lambda t: t.part.select("p_partkey", T.station_key(F.col("p_size") / 2, F.col("p_partkey") % 1000 / 2).alias("k")), "select p_partkey, printf('%05.1f', p_size / 2e0) || ' ' || printf('%05.1f', (p_partkey % 1000) / 2e0) k from part where true")
-add("f28_camera", lambda t: t.fx_box.select("place_id", B.camera(_BOX).alias("c")).select("place_id", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"), F.round("c.zoom", 1).alias("zoom")), "select place_id, round((xmin + xmax) / 2, 6) lon, round((ymin + ymax) / 2, 6) lat, round(round(least(greatest(log2(least(720 / (xmax - xmin), 450 / ((ymax - ymin) / cos(radians((ymin + ymax) / 2))))), 0), 14), 2), 1) zoom from fx_box")
+add("f28_camera", lambda t: t.fx_box.select("place_id", B.camera(_BOX()).alias("c")).select("place_id", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"), F.round("c.zoom", 1).alias("zoom")), "select place_id, round((xmin + xmax) / 2, 6) lon, round((ymin + ymax) / 2, 6) lat, round(round(least(greatest(log2(least(720 / (xmax - xmin), 450 / ((ymax - ymin) / cos(radians((ymin + ymax) / 2))))), 0), 14), 2), 1) zoom from fx_box")
 add("f29_contributor_ids", lambda t: t.nation.select("n_nationkey", T.dir_to_id(F.concat(F.lit("OM-01-"), "n_name")).alias("id"), T.ulid_valid(F.expr("case when n_nationkey % 2 = 0 then '01ARZ3NDEKTSV4RRFFQ69G5FAV' else '81ARZ3NDEKTSV4RRFFQ69G5FAV' end")).alias("u"), T.orcid_valid(F.expr("case when n_nationkey % 2 = 0 then 'https://orcid.org/0000-0002-1825-0097' else '0000-0002-1825-0098' end")).alias("o")), "select n_nationkey, 'OM:01-' || n_name id, n_nationkey % 2 = 0 u, n_nationkey % 2 = 0 o from nation")
 add("f30_size_label", lambda t: t.fx_listing.select("page_id", T.size_label(F.expr("size * 100 + page_id % 10")).alias("v"), T.size_label(F.col("page_id")).alias("w")), "select page_id, case when s >= 1e6 then printf('%.1f MB', round(s / 1e6, 1)) when s >= 1e3 then printf('%.1f kB', round(s / 1e3, 1)) else cast(s as varchar) || ' B' end v, case when page_id >= 1e3 then printf('%.1f kB', round(page_id / 1e3, 1)) else cast(page_id as varchar) || ' B' end w from (select page_id, size * 100 + page_id % 10 s from fx_listing)")
 add("f31_citation", lambda t: t.nation.select("n_nationkey", T.citation(F.expr("case when n_nationkey % 3 = 0 then ' Own  text ' end"), F.expr("case when n_nationkey % 3 = 1 then 'By us.' end"), F.col("n_name"), F.lit("1.2"), F.lit(2024)).alias("v")), "select n_nationkey, case n_nationkey % 3 when 0 then 'Own text' when 1 then 'By us. ' || n_name || ', version 1.2 (2024)' else n_name || ', version 1.2 (2024)' end v from nation")

@@ -17,7 +17,7 @@ _FEATURE = "struct<properties:map<string,string>,attributes:map<string,string>,g
 
 def read_feature_pages(spark: SparkSession, path: str) -> DataFrame:
     """Features of captured GeoJSON or Esri JSON pages: (properties, geometry, page)."""
-    page = spark.read.text(path, wholetext=True).select(F.from_json("value", f"features array<{_FEATURE}>").alias("p"), F.col("_metadata.file_path").alias("page"))
+    page = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<features:array<{_FEATURE}>>").alias("p"), F.col("_metadata.file_path").alias("page"))
     each = page.select(F.explode("p.features").alias("f"), "page")
     return each.select(F.coalesce("f.properties", "f.attributes").alias("properties"), F.col("f.geometry").alias("geometry"), "page")
 
@@ -30,8 +30,8 @@ def page_count_problem(features: DataFrame, declared: int) -> DataFrame:
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """(properties, geometry) of a Feature or a FeatureCollection in each file."""
     d = spark.read.text(path, wholetext=True)
-    many = F.from_json("value", f"features array<{_FEATURE}>")["features"]
-    one = F.array(F.from_json("value", _FEATURE.removeprefix("struct<").removesuffix(">")))
+    many = F.from_json("value", f"struct<features:array<{_FEATURE}>>")["features"]
+    one = F.array(F.from_json("value", _FEATURE))
     feature = F.explode(F.when(F.get_json_object("value", "$.type") == "FeatureCollection", many).otherwise(one))
     return d.select(feature.alias("f")).select("f.properties", "f.geometry")
 
