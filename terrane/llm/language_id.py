@@ -80,8 +80,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     known = counts.where(f"bin = -1 and texts >= {MIN_ROWS}").orderBy(F.desc("texts"), "name").limit(MAX_LANGUAGES)
     names = sorted(r["name"] for r in known.select("name").collect())
     table = np.full((BINS, len(names) + 1), 0.5)
-    for r in counts.where((F.col("bin") >= 0) & F.col("name").isin(names)).collect() if names else []:  # at most BINS * MAX_LANGUAGES rows
-        table[r["bin"], names.index(r["name"])] += r["n"]
+    if names:  # at most BINS * MAX_LANGUAGES rows, as columns
+        found = counts.where((F.col("bin") >= 0) & F.col("name").isin(names)).select("name", "bin", "n").toArrow()
+        column = np.searchsorted(names, found.column("name").to_pylist())
+        np.add.at(table, (found.column("bin").to_numpy(), column), found.column("n").to_numpy())
     table[:, -1] = 1
     return names, np.log(table / table.sum(axis=0)).astype(np.float32)
 
