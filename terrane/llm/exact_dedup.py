@@ -44,7 +44,7 @@ def _blocks(size: int):
     schema = pa.schema([("block", pa.binary()), ("places", pa.list_(_ARROW_PLACE))])
 
     def cut(batches):
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             found: dict[bytes, list] = {}
             for row, doc, text in zip(*(batch.column(c).to_pylist() for c in (ROW, "doc_id", "text")), strict=True):
                 whole = normalised(text)

@@ -21,6 +21,7 @@ Repeated rows are encoded alike; extra columns pass through; an empty table give
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -36,7 +37,9 @@ from terrane.llm import textarrays as A
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEEP_WORDS = 400_000
+KEEP_WORDS = 120_000
+KEEP_PAIRS = 250_000
+SHIFT = 1 << 20
 _NO = float("-inf")
 
 
@@ -78,23 +81,25 @@ class Vocabulary:
     kinds: list[int]  # fixed values of the format: 1 normal, 2 unknown, 3 control, 4 user defined, 5 unused, 6 byte
     bpe: bool
     dummy_prefix: bool
+    key: str
     ids: dict[str, int] = field(default_factory=dict, repr=False)
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
         """Reads the model file on the driver."""
-        top = _fields(Path(path).read_bytes())
+        data = Path(path).read_bytes()
+        top = _fields(data)
         rows = [dict(_fields(v)) for n, v in top if n == 1]
         trainer = dict(_fields(next((v for n, v in top if n == 2), b"")))
         normal = dict(_fields(next((v for n, v in top if n == 3), b"")))
         if normal.get(2) or normal.get(4, 1):
             raise ValueError("only models without character rewriting and without white space removal are supported")
         scores = np.frombuffer(b"".join(r.get(2, b"\0\0\0\0") for r in rows), "<f4").astype(float).tolist()
-        return cls([r.get(1, b"").decode() for r in rows], scores, [r.get(3, 1) for r in rows], trainer.get(3, 1) == 2, bool(normal.get(3, 1)))
+        return cls([r.get(1, b"").decode() for r in rows], scores, [r.get(3, 1) for r in rows], trainer.get(3, 1) == 2, bool(normal.get(3, 1)), hashlib.sha256(data).hexdigest())
 
     def prepare(self) -> Vocabulary:
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] in (1, 4)}
-        self.code = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        self.code = [np.int32(i).tobytes() for i in range(len(self.pieces))]
         self.rank = {p: self.scores[i] for p, i in self.ids.items()}
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i in range(len(self.pieces)) if self.kinds[i] == 6}
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == 2), 0)
@@ -108,7 +113,7 @@ class Vocabulary:
             if len(tail) == 2 and tail[1] in singles:
                 by_last[tail].add(1)
         self.ends = _Lengths({tail: tuple(sorted(n, reverse=True)) for tail, n in by_last.items()}, singles)
-        self.follow: dict[tuple, bool] = {}
+        self.follow: dict[int, bool] = {}
         space = MARK.encode()
         self.raw = [bytes([int(p[1:-1], 16)]) if k == 6 else b"" if k == 3 else b" \xe2\x81\x87 " if k == 2 else p.encode().replace(space, b" ") for p, k in zip(self.pieces, self.kinds, strict=True)]
         return self
@@ -130,11 +135,12 @@ class Vocabulary:
                 pairs[i] = rank.get(parts[i] + parts[i + 1], _NO)
         return parts
 
-    def may_follow(self, pair: tuple[str, str]) -> bool:
-        """Whether merging leaves the pair as it is. The first of a word follows the empty piece."""
-        if len(self.follow) > 1_000_000:
+    def may_follow(self, left: int, right: int) -> bool:
+        """Whether merging leaves two pieces as they are. -1 on the left: the start, or a character outside the vocabulary, which never merges."""
+        if len(self.follow) > KEEP_PAIRS:
             self.follow.clear()
-        found = self.follow[pair] = self.merged(pair[0] + pair[1]) == [p for p in pair if p]
+        pair = ([self.pieces[left]] if left >= 0 else []) + [self.pieces[right]]
+        found = self.follow[left * SHIFT + right] = self.merged("".join(pair)) == pair
         return found
 
     def symbol_bytes(self, piece: str) -> bytes:
@@ -150,7 +156,7 @@ class Vocabulary:
         ids, scores, ends, bpe, follow, may_follow = self.ids, self.scores, self.ends, self.bpe, self.follow, self.may_follow
         out: dict[str, bytes] = {}
         code = self.code
-        score, begin, last, before = [0.0], [0], [""], ""
+        score, begin, last, before = [0.0], [0], [-1], ""
         for word in sorted(words):
             n = 0
             for a, b in zip(before, word, strict=False):
@@ -159,32 +165,31 @@ class Vocabulary:
                 n += 1
             del score[n + 1 :], begin[n + 1 :], last[n + 1 :]
             for i in range(n + 1, len(word) + 1):
-                best, start, piece = _NO, -1, ""
+                best, start, piece = _NO, -1, -1
                 for size in ends[word[i - 2 : i] if i > 1 else word[0]]:
                     if size > i:
                         continue
                     j = i - size
-                    p = word[j:i]
-                    k = ids.get(p)
+                    k = ids.get(word[j:i])
                     if k is None:
                         continue
                     if bpe:
-                        pair = (last[j], p)
-                        ok = follow.get(pair)
-                        if ok or ok is None and may_follow(pair):
-                            best, start, piece = scores[k] + score[j], j, p
+                        ok = follow.get(last[j] * SHIFT + k)
+                        if ok or ok is None and may_follow(last[j], k):
+                            best, start, piece = scores[k] + score[j], j, k
                             break  # a prefix has one admissible path
                     elif scores[k] + score[j] > best:
-                        best, start, piece = scores[k] + score[j], j, p
+                        best, start, piece = scores[k] + score[j], j, k
                 if start < 0:  # a character outside the vocabulary
-                    best, start, piece = score[i - 1] - 100.0, i - 1, word[i - 1]
+                    best, start = score[i - 1] - 100.0, i - 1
                 score.append(best)
                 begin.append(start)
                 last.append(piece)
             before, i, found = word, len(word), []
             while i:
-                found.append(code.get(last[i]) or self.symbol_bytes(last[i]))
-                i = begin[i]
+                j = begin[i]
+                found.append(code[last[i]] if last[i] >= 0 else self.symbol_bytes(word[j:i]))
+                i = j
             out[word] = b"".join(reversed(found))
         return out
 
@@ -203,13 +208,25 @@ class _Lengths(dict):
         return found
 
 
+_READY: dict[str, Encoder] = {}
+
+
+def ready(vocabulary: Vocabulary) -> Encoder:
+    """The process's encoder of a vocabulary: its tables and known words serve all tasks of a Python worker, one after another."""
+    if vocabulary.key not in _READY:
+        _READY.clear()
+        _READY[vocabulary.key] = Encoder(vocabulary)
+    return _READY[vocabulary.key]
+
+
 class Encoder:
-    """Encodes the texts of one task; keeps words between batches, up to a bound."""
+    """Encodes texts; keeps the words of the last batches in two generations of bounded size."""
 
     def __init__(self, vocabulary: Vocabulary, keep: int = KEEP_WORDS):
         self.v = vocabulary.prepare()
         self.keep = keep
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.runs: dict[int, bytes] = {}
         line = "\n" if self.v.cut_lines else ""
         self.cut = re.compile(f"{MARK}+[^{MARK}{line}]*|[^{MARK}{line}]+" + ("|\n" if line else "")) if self.v.cut_marks else re.compile(".+", re.DOTALL)
@@ -234,14 +251,17 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         prefix = MARK if self.v.dummy_prefix else ""
         cut = [self.cut.findall(prefix + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > self.keep:
-            self.known = {}
-            new = set().union(*cut)
-        several = {w for w in new if w.startswith(MARK * 2) or w == MARK} if self.v.cut_marks else set()
-        plain = (new - several) | {MARK + core for w in several if (core := w.lstrip(MARK))}
-        self.known |= self.v.encode_words(list(plain - self.known.keys()))
-        for w in several:
+        words = set().union(*cut)
+        several = {w for w in words if w.startswith(MARK * 2) or w == MARK} if self.v.cut_marks else set()
+        words |= {MARK + core for w in several if (core := w.lstrip(MARK))}
+        if len(self.known) > self.keep:  # words not met since the last turn are dropped, frequent ones come back below
+            self.older, self.known = self.known, {}
+        missing = words - self.known.keys()
+        back = missing & self.older.keys()
+        self.known.update({w: self.older[w] for w in back})
+        missing -= back
+        self.known |= self.v.encode_words(list(missing - several))
+        for w in several & missing:
             self.known[w] = self.spaced(w)
         find = self.known.__getitem__
         return [b"".join(map(find, words)) for words in cut]
@@ -253,8 +273,8 @@ def encode(docs: DataFrame, model: str = MODEL, column: str = "text", to: str =
     columns = [c for c in docs.columns if c != to]
 
     def run(batches):
-        encoder = Encoder(vocabulary)
-        for batch in A.slices(batches, column, 4 << 20):
+        encoder = ready(vocabulary)
+        for batch in A.slices(batches, column, 2 << 20):
             found = encoder.encode(batch.column(column).to_pylist())
             ends = np.cumsum([0, *[len(x) // 4 for x in found]])
             ids = pa.array(np.frombuffer(b"".join(found), np.int32))
@@ -270,7 +290,7 @@ def decode(docs: DataFrame, model: str = MODEL, column: str = "ids", to: str = "
     columns = [c for c in docs.columns if c != to]
 
     def run(batches):
-        v = vocabulary.prepare()
+        v = ready(vocabulary).v
         size = np.array([len(x) for x in v.raw], np.int64)
         find = v.raw.__getitem__
         for batch in batches:
