@@ -8,14 +8,16 @@ band of diagonals that this similarity allows, so its answer is exact. Classes a
 
 At scale: equal texts are collapsed first, by SHA-256 of their words, to one representative. In a bucket of candidates each
 is compared with the bucket's first, and the links found are merged to classes; then with its ``NEAR`` predecessors by
-length of other classes, which completes all buckets of up to ``NEAR`` + 1; then larger buckets are compared by one
-representative for each class, until a round finds no further link. So work grows with the rows and not with the square of
-a bucket. Large buckets are salted, anew for each sketch. Text moves only for candidates.
+length of other classes, which completes all buckets of up to ``NEAR`` + 1. Last, all pairs of different classes in larger
+buckets are taken, in blocks of ``BLOCK`` rows. A pair is left out only if its lengths or its counts of words by ``BINS``
+bins show that its edit distance is too large, and else aligned. So the alignments grow with the rows unless many unlinked
+texts of a bucket have like words; the comparison of bins does grow with the square of an unlinked bucket, in small steps.
+For the first two rounds large buckets are salted, anew for each sketch. Text moves only for candidates.
 
-What can be missed: two texts that agree in no sketch, or stand apart in large buckets in every sketch they share. With
+What can be missed: two texts that agree in no sketch. With
 k-mer similarity j a pair meets in one of 20 sketches with probability 1 - (1 - j^2)^20: 0.99 at 0.45, over 0.9999 from 0.6.
 
-Defined results: a null text is empty; all texts without words are one class; a text of under five words is one k-mer. Of a
+Defined results: a null text is empty; all texts without words are one class; a text of fewer words than a k-mer is one. Of a
 class the smallest doc_id stays, a null one after all others; of repeated rows one stays. Extra columns and clashing names
 do not matter; an empty table gives no rows.
 """
@@ -34,10 +36,14 @@ from terrane.llm import textarrays as A
 from terrane.llm.common import ROW, id_order, release, stash, with_rows
 
 K = 5
+SHORT, SHORT_K = 0, 5
+ANCHOR = 5
 SKETCHES = 20
 TAKEN = 2
 SIMILARITY = 0.8
 NEAR = 8
+BLOCK = 2048
+BINS = 512
 SALT_ROWS = 10_000
 _TOP = np.uint64(A.MASK)
 
@@ -68,15 +74,26 @@ def sketches(labelled: np.ndarray, counts: np.ndarray, n: int, taken: int) -> np
     doc = np.repeat(np.arange(len(own)), own)
     rng = np.random.default_rng(3)
     out = np.zeros((len(own), n), np.uint64)
+    # the lowest are sought among about 12 for each text; a text with too few such k-mers has all of them looked at
+    low_end = np.where(own > 16, 2.0**64 * 12 / np.maximum(own, 17), 2.0**63).astype(np.uint64)
+    low_end[own <= 16] = _TOP
+    likely = np.repeat(low_end, own)
     for i in range(n):
         flip, odd = (np.uint64(x) for x in rng.integers(0, A.MASK, 2, dtype=np.uint64, endpoint=True))
-        keyed = (labelled ^ flip) * (odd | np.uint64(1))
+        every = (labelled ^ flip) * (odd | np.uint64(1))
+        few = every <= likely
+        lacking = np.add.reduceat(few.astype(np.int64), heads) < np.minimum(own, taken)
+        if lacking.any():
+            few |= lacking[doc]
+        at = np.flatnonzero(few)
+        keyed, of = every[at], doc[at]
+        first = np.searchsorted(of, np.arange(len(own)))
         places = np.full((len(own), taken), np.iinfo(np.int64).max)
         for t in range(taken):
-            low = np.minimum.reduceat(keyed, heads)
-            hit = np.flatnonzero(keyed == low[doc])
-            hit = hit[np.concatenate(([True], doc[hit][1:] != doc[hit][:-1]))]
-            places[:, t] = np.where(own > t, hit, np.iinfo(np.int64).max)
+            low = np.minimum.reduceat(keyed, first)
+            hit = np.flatnonzero(keyed == low[of])
+            hit = hit[np.concatenate(([True], of[hit][1:] != of[hit][:-1]))]
+            places[:, t] = np.where(own > t, at[hit], np.iinfo(np.int64).max)
             keyed[hit] = _TOP
         places.sort(axis=1)
         for t in range(taken):
@@ -87,19 +104,44 @@ def sketches(labelled: np.ndarray, counts: np.ndarray, n: int, taken: int) -> np
     return out
 
 
-def _sketched(k: int, n: int, taken: int):
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("key", pa.binary()), ("sketches", pa.list_(pa.int64()))])
+def _of_texts(hashes: np.ndarray, first: np.ndarray, which: np.ndarray, k: int, n: int, taken: int) -> np.ndarray:
+    """The signatures of the texts ``which``, all of them with words."""
+    size = np.diff(first)[which]
+    heads = np.concatenate(([0], np.cumsum(size)))
+    labelled, counts = _labelled(hashes[np.repeat(first[:-1][which] - heads[:-1], size) + np.arange(heads[-1])], heads, k)
+    return sketches(labelled, counts, n, taken)
+
+
+def _bags(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each text the number of its words in each of ``BINS`` bins; all are the highest count if one does not fit."""
+    n = len(first) - 1
+    doc = np.repeat(np.arange(n), np.diff(first))
+    found = np.bincount(doc * BINS + (A.mixed(hashes) % np.uint64(BINS)).astype(np.int64), minlength=n * BINS).reshape(n, BINS)
+    found[found.max(axis=1) > 65535] = 65535
+    return found.astype(np.uint16)
+
+
+def _sketched(similarity: float, k: int, n: int, taken: int):
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("key", pa.binary()), ("bag", pa.binary()), ("sketches", pa.list_(pa.struct([("band", pa.int32()), ("sketch", pa.int64())])))])
 
     def run(batches):
         for batch in A.slices(batches, "text", 1 << 20):
             data, offsets = A.joined(batch.column("text"))
             starts, ends, first = A.words(data, offsets)
-            labelled, counts = _labelled(A.spans_hash(data, starts, ends), first, k)
-            found = sketches(labelled, counts, n, taken) if len(labelled) else np.zeros((0, n), np.uint64)
-            size = np.where(counts > 0, n, 0)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(found.ravel().view(np.int64)))
+            hashes, size = A.spans_hash(data, starts, ends), np.diff(first)
+            rows, bands, values = [], [], []
+            for base, which, of in ((0, np.flatnonzero((size > 0) & (size <= SHORT)), SHORT_K), (n, np.flatnonzero(size >= max(1, int(SHORT * similarity))), k)):
+                if len(which):
+                    values.append(_of_texts(hashes, first, which, of, n, taken).ravel())
+                    rows.append(np.repeat(which, n))
+                    bands.append(np.tile(np.arange(base, base + n), len(which)))
+            row, band, value = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((rows, np.int64), (bands, np.int64), (values, np.uint64)))
+            order = np.argsort(row, kind="stable")
+            items = pa.StructArray.from_arrays([pa.array(band[order], pa.int32()), pa.array(value[order].view(np.int64))], ["band", "sketch"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(batch.num_rows + 1)), pa.int32()), items)
             keys = [hashlib.sha256(b" ".join(t.split())).digest() for t in (data[offsets[i] : offsets[i + 1]].tobytes() for i in range(batch.num_rows))]
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(keys, pa.binary()), lists], schema=schema)
+            bags = [x.tobytes() for x in _bags(hashes, first)]
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(bags, pa.binary()), lists], schema=schema)
 
     return run
 
@@ -168,7 +210,7 @@ def _chain_cost(a: np.ndarray, b: np.ndarray, k: int, limit: int) -> int:
     return cost + max(len(a) - p, len(b) - q)
 
 
-def similar(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY, k: int = K) -> bool:
+def similar(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY, k: int = ANCHOR) -> bool:
     """Whether the edit similarity over words is at least ``similarity``."""
     limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > limit:
@@ -189,7 +231,7 @@ def similar(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY, k: i
     return _chain_cost(x, y, k, limit) <= limit or distance_within(x, y, limit) is not None
 
 
-def _verified(similarity: float, k: int):
+def _verified(similarity: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -197,7 +239,7 @@ def _verified(similarity: float, k: int):
             ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
             texts = zip(batch.column("text_a"), batch.column("text_b"), strict=True)
             words = lambda t: (t.as_py() or "").encode().split()
-            ok = [pair for pair, (s, t) in zip(ids, texts, strict=True) if similar(words(s), words(t), similarity, k)]
+            ok = [pair for pair, (s, t) in zip(ids, texts, strict=True) if similar(words(s), words(t), similarity)]
             if ok:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in ok], pa.int64()) for i in (0, 1)], schema=schema)
 
@@ -235,45 +277,93 @@ def _pairs(members: DataFrame, similarity: float, near: int) -> DataFrame:
     return once.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
 
 
-def _links(docs: DataFrame, pairs: DataFrame, similarity: float, k: int) -> DataFrame:
+def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of ``members`` that share a bucket, have different labels, and whose lengths and bags of words leave the similarity possible."""
+    key = ["band", "sketch"]
+    mixed = members.groupBy(*key).agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    d = members.join(mixed.select(*key, blocks.alias("blocks")), key).withColumn("own", F.pmod(F.xxhash64("row", "band"), F.col("blocks")).cast("int"))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    d = d.join(bags, "row").select(*key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n_words", "row", "label", "bag")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def within(rows):
+        n, row, label, own, i, j = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("n_words", "row", "label", "own", "i", "j"))
+        if label.min() == label.max():
+            return
+        bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint16).reshape(-1, BINS)
+        for p in range(len(n) - 1):
+            end = int(np.searchsorted(n, n[p] / similarity + 1e-6, "right"))  # sorted by length
+            at = p + 1 + np.flatnonzero(label[p + 1 : end] != label[p])
+            if i[p] != j[p]:
+                at = at[own[at] != own[p]]
+            if len(at):
+                common = np.minimum(bags[at], bags[p]).sum(axis=1, dtype=np.int64)
+                at = at[(n[at] - common <= (1 - similarity) * n[at] + 1e-9) | (bags[at, 0] == 65535)]
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(f(row[at], row[p])) for f in (np.minimum, np.maximum)], schema=schema)
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])]).combine_chunks()
+            same = [rows.column(c).to_numpy() for c in (*key, "i", "j")]
+            edges = [0, *(1 + np.flatnonzero(np.any([x[1:] != x[:-1] for x in same], axis=0))).tolist()]
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                yield from within(rows.slice(start, end - start))
+            rest = rows.slice(edges[-1])
+        if rest is not None and rest.num_rows:
+            yield from within(rest)
+
+    dealt = d.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j", "n_words", "row")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs that alignment accepts."""
     wanted = stash(pairs.select(F.col("a").alias(ROW)).union(pairs.select("b")).distinct(), "wanted")
     texts = with_rows(docs, "text").join(wanted, ROW, "left_semi")
     side = lambda x: texts.select(F.col(ROW).alias(x), F.col("text").alias(f"text_{x}"))
-    return stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(similarity, k), "a long, b long"), "links")
+    return stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, label) after ``links`` (a, b) between rows are added. Only the links between classes count, each once."""
+    if labels is None:
+        return components(links)
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("label_a", "a").alias("s"), F.coalesce("label_b", "b").alias("t"))
+    moved = components(stash(between.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct(), "between"))
+    new = moved.select("node", F.col("label").alias("moved"))
+    old = labels.join(new.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("moved", "label").alias("label"))
+    return stash(old.unionByName(moved.join(labels, "node", "left_anti")), "labels")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, k: int = K, n: int = SKETCHES, taken: int = TAKEN) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, class_id (the smallest doc_id of the class), class_size, kept."""
     spark = docs.sparkSession
-    thin = stash(with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketched(k, n, taken), "row long, doc_id long, n_words long, key binary, sketches array<long>"), "sketches")
-    thin = thin.withColumn("order", id_order(F.col("doc_id"), F.col("row")))
+    thin = stash(with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketched(similarity, k, n, taken), "row long, doc_id long, n_words long, key binary, bag binary, sketches array<struct<band:int,sketch:bigint>>"), "sketches")
+    bags = thin.select("row", "bag")
+    thin = thin.drop("bag").withColumn("order", id_order(F.col("doc_id"), F.col("row")))
     copies = stash(thin.groupBy("key").agg(F.min("order").alias("order"), F.count("*").alias("copies")), "copies").withColumn("row", F.col("order.row"))
     unlike = thin.join(copies.select("row"), "row", "left_semi")
-    rows = unlike.select("row", "n_words", F.posexplode("sketches").alias("band", "sketch"))
+    rows = unlike.select("row", "n_words", F.inline("sketches"))
     shared = rows.groupBy("band", "sketch").agg(F.count("*").alias("members")).where("members > 1")
     rows = stash(rows.join(shared, ["band", "sketch"]), "buckets")
-    # round 0: with the bucket's first; round 1: with predecessors too; then one row for each class of larger buckets
-    members, tested, links, labels, step = rows.withColumn("label", F.col("row")), None, None, None, 0
-    while True:
-        pairs = _pairs(members, similarity, NEAR if step else 0)
-        pairs = stash(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        none = pairs.isEmpty()
-        if not none:
-            tested = pairs if tested is None else stash(tested.unionByName(pairs), "tested")
-            found = _links(docs, pairs, similarity, k)
-            release(spark)
-            none = found.isEmpty()
-        if none and step:
-            break
-        if not none:
-            links = found if links is None else stash(links.unionByName(found), "links")
-            labels = components(links)
-        step += 1
-        members = rows if step == 1 else rows.where(F.col("members") > NEAR + 1)
+    # round 0: with the bucket's first; round 1: with predecessors too; round 2: all that is left in larger buckets
+    tested, labels = None, None
+    for step in range(3):
+        members = rows if step < 2 else rows.where(F.col("members") > NEAR + 1)
         members = members.withColumn("label", F.col("row")) if labels is None else members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-        if step > 1:
-            members = members.groupBy("band", "sketch", "label").agg(F.min(F.struct("n_words", "row")).alias("m")).select("band", "sketch", "m.row", "m.n_words", "label")
+        pairs = _all_pairs(members, bags, similarity) if step == 2 else _pairs(members, similarity, NEAR if step else 0)
+        pairs = stash(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tested = pairs if tested is None else stash(tested.unionByName(pairs), "tested")
+        found = _links(docs, pairs, similarity)
+        release(spark)
+        if not found.isEmpty():
+            labels = _merged(labels, found)
     of_key = copies.select("key", "row")
     if labels is not None:
         of_key = of_key.join(labels.withColumnRenamed("node", "row"), "row", "left")

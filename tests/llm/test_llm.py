@@ -135,6 +135,16 @@ def test_near_recall_on_documents(spark, sf):
                 assert got[a] == got[b]
 
 
+def test_near_copies_far_apart_in_a_large_bucket_meet(spark):
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    passage, own = words("w", 100), words("x", 26)
+    # all share the passage, and so the one sketch, but only texts 1 and 2 are alike; 18 others stand between them by length
+    texts = [passage + words("first", 20), passage + own, passage + own + words("y", 20)]
+    texts += [passage + words(f"o{i}_", 27 + i) for i in range(18)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(frame(spark, [" ".join(t) for t in texts]), n=1, taken=1).collect()}
+    assert got == {i: 1 if i == 2 else i for i in range(21)}
+
+
 # 4 ----
 def test_ownership_separates_examples(spark):
     live, example = "Zx9" + "aB3" * 7, "Ex4" + "mP7" * 7
