@@ -145,6 +145,25 @@ def test_near_copies_far_apart_in_a_large_bucket_meet(spark):
     assert got == {i: 1 if i == 2 else i for i in range(21)}
 
 
+def test_near_recall_at_the_threshold_and_of_short_texts(spark):
+    rng = random.Random(7)
+    texts, planted = [], {"threshold": [], "short": []}
+    for kind, lengths in (("threshold", [50, 80, 120, 200] * 75), ("short", list(range(5, 16)) * 20)):
+        for k, n in enumerate(lengths):
+            base = ["w%d" % rng.randrange(5000) for _ in range(n)]
+            copy = list(base)
+            for at in rng.sample(range(n), int((0.2 if k % 2 or kind == "short" else 0.16) * n + 1e-9)):
+                copy[at] = "new%d" % rng.randrange(10**6)
+            planted[kind].append((len(texts), len(texts) + 1))
+            texts += [" ".join(base), " ".join(copy)]
+    texts += ["a b c d e f g h i j", "a b c d e X g h i j"]
+    planted["short"].append((len(texts) - 2, len(texts) - 1))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(frame(spark, texts)).collect()}
+    for pairs in planted.values():
+        assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+    assert got[len(texts) - 1] == len(texts) - 2
+
+
 # 4 ----
 def test_ownership_separates_examples(spark):
     live, example = "Zx9" + "aB3" * 7, "Ex4" + "mP7" * 7
