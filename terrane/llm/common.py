@@ -64,8 +64,13 @@ def release(spark: SparkSession) -> None:
 
 
 def with_rows(docs: DataFrame, *columns: str) -> DataFrame:
-    """``docs`` with a row key, so that repeated or null ``doc_id`` values stay apart. ``docs`` should be a table scan, whose keys are the same when a task runs again."""
-    return docs.select(F.monotonically_increasing_id().alias(ROW), *columns)
+    """``docs`` with a row key, so that repeated or null ``doc_id`` values stay apart. A key that ``docs`` holds already is kept; a new one holds for this scan only."""
+    return docs.select(F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id().alias(ROW), *columns)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with its row key. Whatever joins on the key reads it from here, since another scan of ``docs`` may be split, and so numbered, otherwise."""
+    return docs if ROW in docs.columns else stash(with_rows(docs, *docs.columns), "keyed")
 
 
 def id_order(doc_id, row):

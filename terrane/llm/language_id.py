@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.common import ROW, stash, with_rows
+from terrane.llm.common import ROW, keyed, stash, with_rows
 
 SAMPLE = 4_000
 MAX_LANGUAGES = 64
@@ -174,8 +174,9 @@ def identify(docs: DataFrame, declared: Column | str | None = "lang", host: Colu
 
 def only_identified(docs: DataFrame, **evidence) -> DataFrame:
     """The rows of ``docs`` whose language is known, with all their columns."""
+    docs = keyed(docs)
     kept = identify(docs, **evidence).where("kept").select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+    return docs.join(kept, ROW, "left_semi").drop(ROW)
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

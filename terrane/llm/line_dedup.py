@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import ROW, stash, with_rows
+from terrane.llm.common import ROW, keyed, stash, with_rows
 from terrane.llm.textarrays import slices
 
 MIN_CHARS = 10
@@ -318,6 +318,7 @@ def without(docs: DataFrame, dropped: DataFrame, min_chars: int = MIN_CHARS, wit
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = True) -> DataFrame:
     """Builds the index of ``docs`` and removes the lines that an earlier document holds."""
+    docs = keyed(docs if ROW in docs.columns else docs.select("doc_id", "text"))
     index = build(docs, min_chars)
     return without(docs, dropped_keys(index), min_chars, with_text)
 

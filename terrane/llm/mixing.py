@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import ROW, WS, stash, with_rows
+from terrane.llm.common import ROW, WS, keyed, stash, with_rows
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -74,9 +74,10 @@ def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: dropped at 0 repetitions, repeated at several."""
+    columns, docs = docs.columns, keyed(docs)
     times = taken_words(docs, weights, max_epochs, seed).where("times > 0").select(ROW, "times")
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id()).join(times, ROW)
-    return rows.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*docs.columns)
+    rows = docs.join(times, ROW)
+    return rows.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*columns)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from oracle import differences
 from pyspark.sql import functions as F
 
 from terrane.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, registry, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup
-from terrane.llm.common import ROW
+from terrane.llm.common import ROW, stash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, row string, class_id string"
 
@@ -66,6 +66,36 @@ def test_empty_and_single(spark, n):
     assert [f.count() for f in frames] == [n] * len(frames)
 
 
+@pytest.mark.parametrize(
+    ("module", "inner", "run"),
+    [
+        (exact_dedup, "groups", lambda d: exact_dedup.dedup(d)),
+        (near_dedup, "classes", lambda d: near_dedup.dedup(d)),
+        (language_id, "identify", lambda d: language_id.only_identified(d)),
+        (line_dedup, "dropped_keys", lambda d: line_dedup.dedup(d)),
+        (mixing, "taken_words", lambda d: mixing.mix(d)),
+    ],
+    ids=["exact", "near", "language", "lines", "mix"],
+)
+def test_second_scan_split_otherwise(spark, sf, tmp_path, monkeypatch, module, inner, run):
+    path, name, real = str(tmp_path / "d"), "spark.sql.files.maxPartitionBytes", getattr(module, inner)
+    spark.read.parquet(f"{sf}/documents.parquet").repartition(9).write.parquet(path)
+    result = lambda: sorted((r["doc_id"], r["kept_sha256"] if "kept_sha256" in r else r["text"]) for r in run(spark.read.parquet(path)).collect())
+    before, expected = spark.conf.get(name), result()
+
+    def resplit(*args, **kwargs):  # each file is a partition of its own in all later scans
+        found = real(*args, **kwargs)
+        found = stash(found, "inner") if hasattr(found, "sparkSession") else found
+        spark.conf.set(name, "1000")
+        return found
+
+    monkeypatch.setattr(module, inner, resplit)
+    try:
+        assert result() == expected
+    finally:
+        spark.conf.set(name, before)
+
+
 # 2 ----
 def test_exact_groups(spark, odd):
     got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.groups(frame(spark, odd), block=16).collect()}
