@@ -12,11 +12,14 @@ two. Every prefix then has one admissible path, the merge result, and the same w
 last of all, so they are joined to their word afterwards. The vocabulary comes from a model file, a parameter; nothing is trained.
 
 At scale: no shuffle at all. A task keeps a bounded table of words already encoded and drops it when full, so memory does not
-grow with the corpus. (Sending words through a shuffle to one dictionary and back would move each word of each text twice.)
+grow with the corpus; it ends with the task. (Sending words through a shuffle to one dictionary and back would move each word
+of each text twice.) The vocabulary, whose size is the model file's, reaches the workers as one broadcast. Encoding and
+decoding back can be one pass, so that ids need not go from Python to the JVM and back to Python.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Characters that are not in the vocabulary
 become byte pieces, or the unknown piece if the model has none. Decoding gives back every text without U+2581 itself.
-Repeated rows are encoded alike; extra columns pass through; an empty table gives no rows.
+Repeated rows are encoded alike; extra columns pass through, but a column named as the result is replaced; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 KEEP_WORDS = 120_000
 KEEP_PAIRS = 250_000
+SLICE = 8 << 20  # bytes of text whose distinct words are sorted together
 SHIFT = 1 << 20
 _NO = float("-inf")
 
@@ -105,17 +109,11 @@ class Vocabulary:
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == 2), 0)
         self.cut_marks = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.cut_lines = not any("\n" in p for p in self.ids)
-        by_last: dict[str, set[int]] = {}
-        for p in self.ids:
-            by_last.setdefault(p[-2:], set()).add(len(p))
-        singles = {p for p in self.ids if len(p) == 1}
-        for tail in [*by_last]:  # the last two characters decide which lengths are worth a look
-            if len(tail) == 2 and tail[1] in singles:
-                by_last[tail].add(1)
-        self.ends = _Lengths({tail: tuple(sorted(n, reverse=True)) for tail, n in by_last.items()}, singles)
+        self.ends = _Lengths(self.ids)
         self.follow: dict[int, bool] = {}
         space = MARK.encode()
-        self.raw = [bytes([int(p[1:-1], 16)]) if k == 6 else b"" if k == 3 else b" \xe2\x81\x87 " if k == 2 else p.encode().replace(space, b" ") for p, k in zip(self.pieces, self.kinds, strict=True)]
+        raw = [bytes([int(p[1:-1], 16)]) if k == 6 else b"" if k == 3 else b" \xe2\x81\x87 " if k == 2 else p.encode().replace(space, b" ") for p, k in zip(self.pieces, self.kinds, strict=True)]
+        self.raw = pa.array(raw, pa.large_binary())
         return self
 
     def merged(self, text: str) -> list[str]:
@@ -152,70 +150,85 @@ class Vocabulary:
         return [self.ids.get(p, self.unknown) for p in self.merged(MARK * n)] if n else []
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids, as bytes of 32-bit integers, of distinct words. Sorted, the words are the trie in depth-first order; ``score``, ``begin`` and ``last`` hold the forward state along the current path."""
-        ids, scores, ends, bpe, follow, may_follow = self.ids, self.scores, self.ends, self.bpe, self.follow, self.may_follow
+        """Ids, as bytes of 32-bit integers, of distinct words. Sorted, the words are the trie in depth-first order; ``score``, ``last`` and ``path`` hold the forward state along the current path: the best sum of scores, its last piece and its ids."""
+        find, ends, code, follow, may_follow = self.ids.get, self.ends, self.code, self.follow.get, self.may_follow
+        scores = None if self.bpe else self.scores
         out: dict[str, bytes] = {}
-        code = self.code
-        score, begin, last, before = [0.0], [0], [-1], ""
+        score, last, path, before = [0.0], [-1], [b""], ""
         for word in sorted(words):
             n = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 n += 1
-            del score[n + 1 :], begin[n + 1 :], last[n + 1 :]
+            del score[n + 1 :], last[n + 1 :], path[n + 1 :]
             for i in range(n + 1, len(word) + 1):
-                best, start, piece = _NO, -1, -1
-                for size in ends[word[i - 2 : i] if i > 1 else word[0]]:
-                    if size > i:
-                        continue
+                best, start, piece = _NO, i - 1, -1
+                for size in ends[word[i - 3 : i] if i > 2 else word[:i]]:
                     j = i - size
-                    k = ids.get(word[j:i])
+                    if j < 0:
+                        continue
+                    k = find(word[j:i])
                     if k is None:
                         continue
-                    if bpe:
-                        ok = follow.get(last[j] * SHIFT + k)
+                    if scores is None:
+                        ok = follow(last[j] * SHIFT + k)
                         if ok or ok is None and may_follow(last[j], k):
-                            best, start, piece = scores[k] + score[j], j, k
+                            start, piece = j, k
                             break  # a prefix has one admissible path
                     elif scores[k] + score[j] > best:
                         best, start, piece = scores[k] + score[j], j, k
-                if start < 0:  # a character outside the vocabulary
-                    best, start = score[i - 1] - 100.0, i - 1
+                if piece < 0:  # a character outside the vocabulary
+                    best, found = score[start] - 100.0, self.symbol_bytes(word[start:i])
+                else:
+                    found = code[piece]
                 score.append(best)
-                begin.append(start)
                 last.append(piece)
-            before, i, found = word, len(word), []
-            while i:
-                j = begin[i]
-                found.append(code[last[i]] if last[i] >= 0 else self.symbol_bytes(word[j:i]))
-                i = j
-            out[word] = b"".join(reversed(found))
+                path.append(path[start] + found)
+            before = word
+            out[word] = path[-1]
         return out
 
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts that the ids stand for; ``counts`` has each text's number of ids."""
+        pieces = self.raw.take(pa.array(ids))
+        ends = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1] if len(ids) else np.zeros(1, np.int64)
+        raw = pieces.buffers()[2]
+        place = ends[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        drop = 1 if self.dummy_prefix else 0
+        view = memoryview(raw) if raw is not None else memoryview(b"")
+        whole = [view[s:e].tobytes() for s, e in zip(place, place[1:], strict=False)]
+        return pa.array([(t[drop:] if t[:1] == b" " else t).decode(errors="replace") for t in whole], pa.string())
+
 
 class _Lengths(dict):
-    """Lengths of the pieces that end in the last two characters, longest first; any single character may be a piece."""
+    """By the last three characters of a prefix (fewer at a word's start): the lengths of the pieces that may end there, longest first."""
 
-    def __init__(self, known: dict[str, tuple[int, ...]], singles: set[str]):
-        super().__init__(known)
-        self.singles = singles
+    def __init__(self, pieces):
+        super().__init__()
+        self.sizes: dict[str, set[int]] = {}
+        for p in pieces:
+            self.sizes.setdefault(p[-3:], set()).add(len(p))
 
     def __missing__(self, tail: str) -> tuple[int, ...]:
-        found = (1,) if tail[-1] in self.singles else ()
-        if len(self) < 300_000:
-            self[tail] = found
-        return found
+        found = set(self.sizes.get(tail, ()))
+        for k in range(1, len(tail)):
+            found |= {n for n in self.sizes.get(tail[-k:], ()) if n == k}
+        lengths = tuple(sorted(found, reverse=True))
+        if len(self) < 100_000:
+            self[tail] = lengths
+        return lengths
 
 
-_READY: dict[str, Encoder] = {}
+_READY: dict[str, Vocabulary] = {}
 
 
-def ready(vocabulary: Vocabulary) -> Encoder:
-    """The process's encoder of a vocabulary: its tables and known words serve all tasks of a Python worker, one after another."""
+def ready(given) -> Vocabulary:
+    """The broadcast vocabulary with its tables, which serve all tasks of a Python worker, one after another."""
+    vocabulary = given.value if hasattr(given, "value") else given
     if vocabulary.key not in _READY:
         _READY.clear()
-        _READY[vocabulary.key] = Encoder(vocabulary)
+        _READY[vocabulary.key] = vocabulary.prepare()
     return _READY[vocabulary.key]
 
 
@@ -223,7 +236,7 @@ class Encoder:
     """Encodes texts; keeps the words of the last batches in two generations of bounded size."""
 
     def __init__(self, vocabulary: Vocabulary, keep: int = KEEP_WORDS):
-        self.v = vocabulary.prepare()
+        self.v = vocabulary
         self.keep = keep
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -250,68 +263,67 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         prefix = MARK if self.v.dummy_prefix else ""
-        cut = [self.cut.findall(prefix + t.replace(" ", MARK)) if t else [] for t in texts]
-        words = set().union(*cut)
-        several = {w for w in words if w.startswith(MARK * 2) or w == MARK} if self.v.cut_marks else set()
-        words |= {MARK + core for w in several if (core := w.lstrip(MARK))}
+        marked = [prefix + t.replace(" ", MARK) if t else "" for t in texts]
         if len(self.known) > self.keep:  # words not met since the last turn are dropped, frequent ones come back below
             self.older, self.known = self.known, {}
-        missing = words - self.known.keys()
-        back = missing & self.older.keys()
+        words: set[str] = set()
+        for t in marked:  # each text is cut twice: lists of all its words would be many times its size
+            words |= set(self.cut.findall(t)).difference(self.known)
+        several = {w for w in words if w.startswith(MARK * 2) or w == MARK} if self.v.cut_marks else set()
+        words |= {w for core in several if (w := MARK + core.lstrip(MARK)) != MARK and w not in self.known}
+        back = words & self.older.keys()
         self.known.update({w: self.older[w] for w in back})
-        missing -= back
-        self.known |= self.v.encode_words(list(missing - several))
-        for w in several & missing:
+        words -= back
+        self.known |= self.v.encode_words(list(words - several))
+        for w in several & words:
             self.known[w] = self.spaced(w)
         find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in cut]
+        return [b"".join(map(find, self.cut.findall(t))) for t in marked]
 
 
-def encode(docs: DataFrame, model: str = MODEL, column: str = "text", to: str = "ids") -> DataFrame:
-    """``docs`` with the array ``to`` of piece ids."""
-    vocabulary = Vocabulary.load(model)
-    columns = [c for c in docs.columns if c != to]
+def encode(docs: DataFrame, model: str = MODEL, column: str = "text", to: str = "ids", back: str | None = None) -> DataFrame:
+    """``docs`` with the array ``to`` of piece ids and, if ``back`` is a name, the text that they decode to."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    made = [c for c in (to, back) if c]
+    given = docs.select(*[c for c in docs.columns if c not in made or c == column])
+    kept = [c for c in given.columns if c not in made]
 
     def run(batches):
-        encoder = ready(vocabulary)
-        for batch in A.slices(batches, column, 2 << 20):
+        encoder = Encoder(ready(vocabulary))
+        for batch in A.slices(batches, column, SLICE):
             found = encoder.encode(batch.column(column).to_pylist())
-            ends = np.cumsum([0, *[len(x) // 4 for x in found]])
-            ids = pa.array(np.frombuffer(b"".join(found), np.int32))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=[*columns, to])
+            counts = np.array([len(x) // 4 for x in found], np.int64)
+            ids = np.frombuffer(b"".join(found), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists, *([encoder.v.texts(ids, counts)] if back else [])], names=[*kept, *made])
 
-    given = docs.select(*columns).withColumn(column, F.col(column).cast("string"))
-    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))]))
+    given = given.withColumn(column, F.col(column).cast("string"))
+    fields = [*given.select(*kept).schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))]
+    return given.mapInArrow(A.tidy(run), T.StructType(fields + ([T.StructField(back, T.StringType())] if back else [])))
 
 
 def decode(docs: DataFrame, model: str = MODEL, column: str = "ids", to: str = "decoded") -> DataFrame:
     """``docs`` with the text ``to`` that the ids in ``column`` stand for."""
-    vocabulary = Vocabulary.load(model)
-    columns = [c for c in docs.columns if c != to]
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    given = docs.select(*[c for c in docs.columns if c != to or c == column])
+    kept = [c for c in given.columns if c != to]
 
     def run(batches):
-        v = ready(vocabulary).v
-        size = np.array([len(x) for x in v.raw], np.int64)
-        find = v.raw.__getitem__
+        v = ready(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 lists = part.column(column)
-                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 ids = lists.flatten().to_numpy(zero_copy_only=False)
-                raw = b"".join(map(find, ids.tolist()))
-                place = np.concatenate(([0], np.cumsum(size[ids])))[np.concatenate(([0], np.cumsum(n)))].tolist() if len(ids) else [0] * (len(n) + 1)
-                drop = 1 if v.dummy_prefix else 0
-                texts = [raw[s + drop if raw[s : s + 1] == b" " else s : e].decode(errors="replace") if e > s else "" for s, e in zip(place, place[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(texts, pa.string())], names=[*columns, to])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], v.texts(ids, counts)], names=[*kept, to])
 
-    given = docs.select(*columns)
-    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField(to, T.StringType())]))
+    return given.mapInArrow(A.tidy(run), T.StructType([*given.select(*kept).schema.fields, T.StructField(to, T.StringType())]))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    rows = decode(encode(docs))
+    rows = encode(docs, back="decoded")
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),

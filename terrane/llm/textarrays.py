@@ -31,6 +31,18 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
             start = end
 
 
+def tidy(run):
+    """``run`` over a task's batches, after which the worker gives its freed Arrow memory back: idle workers stay small."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def joined(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All texts end to end as bytes, and where each starts (one more than texts). Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
