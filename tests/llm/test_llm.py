@@ -285,7 +285,7 @@ def test_ids_equal_the_library(spark, sf):
     library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
     texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
     texts += ["", " ", "  two  spaces ", " lead", "tab\tand\nline\n\n", "漢字 ünï 😀", "a" * 400 + " " * 45 + "b", "    é   z", "</s> <unk> <0x0A>", "▁x"]
-    found = sentencepiece_codec.Encoder(sentencepiece_codec.Vocabulary.load()).encode(texts)
+    found = sentencepiece_codec.Encoder(sentencepiece_codec.Vocabulary.load().prepare()).encode(texts)
     assert [np.frombuffer(x, np.int32).tolist() for x in found] == [library.encode(t) for t in texts]
 
 
@@ -295,7 +295,7 @@ def test_viterbi_equals_the_library_on_any_text(text):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
-    encoder = sentencepiece_codec.ready(sentencepiece_codec.Vocabulary.load())
+    encoder = sentencepiece_codec.Encoder(sentencepiece_codec.ready(sentencepiece_codec.Vocabulary.load()))
     assert np.frombuffer(encoder.encode([text])[0], np.int32).tolist() == library.encode(text)
 
 
