@@ -37,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes the mix. ``exact`` says that decoding gives the text back."""
-    rows = sentencepiece_codec.decode(sentencepiece_codec.encode(docs.select("doc_id", "source", "lang", "text")))
+    rows = sentencepiece_codec.encode(docs.select("doc_id", "source", "lang", "text"), back="decoded")
     return rows.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 
