@@ -2,17 +2,19 @@
 
 Every window of 35 words has one anchor: the lowest-hashed seed of 8 words in it (winnowing). Equal windows have equal
 anchors, so documents meet on the hashes of anchors. Seeds that occur only once end there. Those that remain are extended
-both ways, over every window that has the seed as its anchor, and the extensions meet once more, by 128-bit hashes of the
-whole windows. Adjacent repeated windows join to maximal repeats; their words are removed.
+both ways, by l words to the left and 27 - l to the right for each l that leaves the seed the anchor, and the extensions meet
+once more, by BLAKE2 digests of 128 bits over their whole bytes. Adjacent repeated windows join to maximal repeats; their words are removed.
 
 At scale: three shuffles. The text moves once (all three passes over it read one exchange), then 8 bytes for each distinct
 anchor of a chunk, about one for 14 words, then 16 bytes for each window of repeated seeds. A passage in a third of all
-documents is sent once for each chunk of 4 MB, not for each document, and no pairs of documents are made. A chunk is the
-unit of memory; a text longer than that is a chunk of its own.
+documents is sent once for each chunk of about 4 MB, not for each document, and no pairs of documents are made. Extensions are
+dealt by their own digest, so a hot seed with many surroundings is spread over all buckets. Memory is that of a chunk,
+which holds whole texts, so it grows with the longest text.
 
 Defined results: a null text has no words; texts shorter than the window are left alone. Repeated rows are repeats like
-any others, so both lose their windows, as the contract judges windows and not documents. Words are compared by two
-64-bit hashes, over windows by 128 bits. Extra columns and clashing names do not matter; an empty table gives no rows.
+any others, so both lose their windows, as the contract judges windows and not documents. Seeds are sought by hashes that
+may agree by chance, which only sends more extensions; what is removed is decided by the digests. Extra columns and
+clashing names do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -57,15 +59,28 @@ def _ask_seeds(width: int, seed: int, buckets: int):
     return run
 
 
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
+    """Two 64-bit words for each window: the BLAKE2 digest of its words, joined by one space."""
+    size = ends - starts
+    head = np.cumsum(size + 1) - size - 1
+    letters = np.arange(size.sum())
+    plain = np.full(int(size.sum() + len(size)), 0x20, np.uint8)
+    before = np.cumsum(size) - size
+    plain[letters + np.repeat(head - before, size)] = data[letters + np.repeat(starts - before, size)]
+    last = windows + width - 1
+    view = memoryview(plain)
+    found = [hashlib.blake2b(view[s:e], digest_size=16).digest() for s, e in zip(head[windows].tolist(), (head[last] + size[last]).tolist(), strict=True)]
+    return np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
+
+
 def _extended(texts: pa.Table, seeds: pa.Table, width: int, seed: int, buckets: int):
-    """Windows whose seed is repeated, with their distinct 128-bit hashes, the place among those, and marks."""
+    """Windows whose seed is repeated, with their distinct digests, the place among those, and marks."""
     data, starts, ends, first, hashes, windows, at, grams = _seeds(texts, width, seed)
     values, which, _ = _distinct_seeds(at, grams)
     windows = windows[answer(told(seeds), buckets, values)[which]] if len(windows) else windows
     if not len(windows):
         return data, starts, ends, first, windows, np.zeros((0, 2), np.uint64), windows, np.zeros(0, bool)
-    other = A.spans_hash(data, starts, ends, 1)
-    pair = np.stack([A.spans_hash(hashes, windows, windows + width), A.spans_hash(other, windows, windows + width, 1)], axis=1)
+    pair = _digests(data, starts, ends, windows, width)
     order = np.lexsort(pair.T[::-1])
     ranked = pair[order]
     new = np.ones(len(ranked), bool)
