@@ -12,8 +12,9 @@ tasks. Reference counts are partial sums. Text moves once, to meet its own dropp
 
 Defined results: a null or empty text is one empty line. Keys are lines stripped of white space at both ends, A-Z in lower
 case; shorter than ``MIN_CHARS`` code points they are never dropped. A repeated key keeps all its lines in the smallest
-doc_id that holds it, a null doc_id counting as the largest; of repeated rows with that doc_id one keeps them. Extra
-columns and clashing names do not matter; an empty table gives no rows.
+doc_id that holds it, a null doc_id counting as the largest; rows with one doc_id are one document, so they do not remove each
+other's lines. Extra columns and clashing names do not matter; an empty table gives no rows. Documents to insert must not be
+in the index yet: replace a document by deleting it first.
 """
 
 from __future__ import annotations
@@ -146,6 +147,7 @@ class LineIndex:
     counts: DataFrame
     filters: DataFrame
     shards: int
+    shard_keys: int = SHARD_KEYS
 
 
 def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -167,8 +169,8 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def counted(refs: DataFrame) -> DataFrame:
-    """(digest, n_docs, first): the exact reference counts and the first document of each key."""
-    return refs.groupBy("digest").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc", "row")).alias("first"))
+    """(digest, n_docs, first): the exact reference counts and the first document of each key; rows with one doc_id count once."""
+    return refs.groupBy("digest", "doc").agg(F.count("*")).groupBy("digest").agg(F.count("*").alias("n_docs"), F.min("doc").alias("first"))
 
 
 def _shard(shards: int):
@@ -191,7 +193,7 @@ def build(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_K
     refs = stash(references(docs, min_chars), "refs")
     counts = stash(counted(refs), "counts")
     shards = max(1, -(-counts.count() // shard_keys))
-    return LineIndex(refs, counts, stash(_filters(counts, shards), "filters"), shards)
+    return LineIndex(refs, counts, stash(_filters(counts, shards), "filters"), shards, shard_keys)
 
 
 def screened(keys: DataFrame, index: LineIndex, which: str) -> DataFrame:
@@ -235,7 +237,11 @@ def insert(index: LineIndex, docs: DataFrame, min_chars: int = MIN_CHARS) -> Lin
     old = met.select("digest", F.col("n_docs").alias("before"))
     change = both.join(old, "digest", "left").withColumn("before", F.coalesce("before", F.lit(0)))
     counts = stash(index.counts.join(both, "digest", "left_anti").unionByName(both), "counts")
-    return LineIndex(stash(index.refs.unionByName(refs), "refs"), counts, stash(_changed(index, change.select("digest", "before", F.col("n_docs").alias("after"))), "filters"), index.shards)
+    refs, n = stash(index.refs.unionByName(refs), "refs"), counts.count()
+    if n > 2 * index.shards * index.shard_keys:  # filters stay of bounded size: more shards, built anew
+        shards = -(-n // index.shard_keys)
+        return LineIndex(refs, counts, stash(_filters(counts, shards), "filters"), shards, index.shard_keys)
+    return LineIndex(refs, counts, stash(_changed(index, change.select("digest", "before", F.col("n_docs").alias("after"))), "filters"), index.shards, index.shard_keys)
 
 
 def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
@@ -246,7 +252,7 @@ def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
     left = stash(counted(refs.join(touched, "digest", "left_semi")), "left")
     change = index.counts.join(touched, "digest", "left_semi").select("digest", F.col("n_docs").alias("before")).join(left.select("digest", F.col("n_docs").alias("after")), "digest", "left")
     counts = stash(index.counts.join(touched, "digest", "left_anti").unionByName(left), "counts")
-    return LineIndex(refs, counts, stash(_changed(index, change.select("digest", "before", F.coalesce("after", F.lit(0)).alias("after"))), "filters"), index.shards)
+    return LineIndex(refs, counts, stash(_changed(index, change.select("digest", "before", F.coalesce("after", F.lit(0)).alias("after"))), "filters"), index.shards, index.shard_keys)
 
 
 def _changed(index: LineIndex, change: DataFrame) -> DataFrame:
@@ -285,9 +291,9 @@ def _changed(index: LineIndex, change: DataFrame) -> DataFrame:
 
 def dropped_keys(index: LineIndex) -> DataFrame:
     """(row, digest) of the keys that a document loses: screened by the filters, decided by the exact counts."""
-    may = screened(index.refs.select("row", "digest"), index, "repeated")
-    repeated = index.counts.where("n_docs > 1").select("digest", F.col("first.row").alias("first"))
-    return may.join(repeated, "digest").where("row != first").select("row", "digest")
+    may = screened(index.refs.select("row", "doc", "digest"), index, "repeated")
+    repeated = index.counts.where("n_docs > 1").select("digest", "first")
+    return may.join(repeated, "digest").where("doc != first").select("row", "digest")
 
 
 _OUT = "row long, doc_id long, n_lines long, n_dropped long, kept_text string, kept_sha256 string"
