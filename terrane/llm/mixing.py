@@ -13,7 +13,7 @@ sources is ordered as a whole.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last. A source whose size is 0
 has target 0. Repeated rows have one order key, so all or none of them get the extra repetition. An empty table gives
-no rows. No document is taken more than ``max_epochs`` times. Reruns agree, as the order key is a hash of seed and doc_id.
+no rows. Extra columns and clashing names do not matter. No document is taken more than ``max_epochs`` times. Reruns agree, as the order key is a hash of seed and doc_id.
 """
 
 from __future__ import annotations
@@ -75,9 +75,9 @@ def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: dropped at 0 repetitions, repeated at several."""
     columns, docs = docs.columns, keyed(docs)
-    times = taken_words(docs, weights, max_epochs, seed).where("times > 0").select(ROW, "times")
+    times = taken_words(docs, weights, max_epochs, seed).where("times > 0").select(ROW, F.col("times").cast("int").alias("__times"))
     rows = docs.join(times, ROW)
-    return rows.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*columns)
+    return rows.withColumn("__times", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[c for c in columns if c != ROW])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
