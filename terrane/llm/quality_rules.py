@@ -7,7 +7,8 @@ ordered conditional expression that Spark evaluates with the scan: the first rul
 is kept.
 
 Every count that guides the learner is a grouped aggregation; the driver sees one row per candidate condition. The
-learner reads at most ``SAMPLE`` labelled rows, those with the lowest hash of their doc_id; everything else covers all rows.
+learner reads at most ``SAMPLE`` labelled rows that pass the base rule, so that rules say what the base rule does not: those
+with the lowest hash of their doc_id. Everything else covers all rows.
 
 At scale: one scan of the texts and no shuffle of them; statistics of a text come from arrays of its own words, with
 sorting where equal windows must meet, so a long text costs n log n. Windows of three words are compared by a 64-bit hash
@@ -147,9 +148,9 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Da
     rows = stash(statistics(docs), "statistics")
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg((F.avg("quality") < 0.5).cast("int").alias("bad"))
     place = F.xxhash64(F.col("doc_id"), F.lit(10))
-    chosen = rows.join(known, "doc_id").select(*FEATURES, "bad", "doc_id", place.alias("place")).orderBy("place", "doc_id").limit(sample)
-    rules = learn(stash(chosen.withColumn("grow", F.pmod("place", F.lit(3)) > 0), "labelled"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    chosen = rows.where(~failed).join(known, "doc_id").select(*FEATURES, "bad", "doc_id", place.alias("place")).orderBy("place", "doc_id").limit(sample)
+    rules = learn(stash(chosen.withColumn("grow", F.pmod("place", F.lit(3)) > 0), "labelled"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & keeps(rules)), rules
 
 
