@@ -45,11 +45,21 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     if home not in _USED:
         _USED.add(home)
         atexit.register(_remove, spark, home)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch_path = path
+    return found
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes stashed tables that nothing reads any more; other frames are left alone."""
+    for table in tables:
+        path = vars(table).get("scratch_path") if table is not None else None
+        if path:
+            _remove(table.sparkSession, path)
 
 
 def _remove(spark: SparkSession, home: str) -> None:
-    """Removes this application's scratch tables when the driver's Python ends, if Spark still runs then."""
+    """Deletes a folder of scratch tables, if Spark still runs; all that is left goes when the driver's Python ends."""
     context = spark.sparkContext
     if getattr(context, "_jsc", None) is None or context._jsc.sc().isStopped():
         return

@@ -8,13 +8,14 @@ meet by what is left when one word is taken out, which finds all of their pairs.
 accepted if its edit similarity over words, 1 - distance / longer length, is at least 0.8. The alignment runs within the
 band of diagonals that this similarity allows, so its answer is exact. Classes are the connected components of the links.
 
-At scale: equal texts are collapsed first, by SHA-256 of their words, to one representative. In a bucket of candidates each
-is compared with the bucket's first, and the links found are merged to classes; then with its ``NEAR`` predecessors by
-length of other classes, which completes all buckets of up to ``NEAR`` + 1. Last, all pairs of different classes in larger
-buckets are taken, in blocks of ``BLOCK`` rows. A pair is left out only if its lengths or its counts of words by ``BINS``
-bins show that its edit distance is too large, and else aligned. So the alignments grow with the rows unless many unlinked
-texts of a bucket have like words; the comparison of bins does grow with the square of an unlinked bucket, in small steps.
-For the first two rounds large buckets are salted, anew for each sketch. Text moves only for candidates.
+At scale: equal texts are collapsed first, by SHA-256 of their words, to one representative. Candidates are verified in
+rounds, one partner for each row and round, while links are found: of the firsts of its buckets the one that it meets most
+often and that is not in its class yet. Links are merged to classes after
+each round, and only buckets of several classes go on, so a large group of copies costs its number of rows. When a round
+links few, all pairs of different classes that share a bucket are taken, in blocks of ``BLOCK`` rows. A pair is left out only if
+its lengths or its counts of words by ``BINS`` bins show that its edit distance is too large, and else aligned. So the
+alignments grow with the rows unless many unlinked texts of a bucket have like words; the comparison of bins does grow with
+the square of an unlinked bucket, in small steps. Text moves only for candidates.
 
 What can be missed: two texts that agree in no sketch. With k-mer similarity j a pair meets in one of 50 sketches with
 probability 1 - (1 - j^2)^50. A share s of words kept, at random places, leaves j = s^k / (2 - s^k): at 0.8, 0.344 for
@@ -32,11 +33,12 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.common import ROW, id_order, keyed, release, stash, with_rows
+from terrane.llm.common import ROW, discard, id_order, keyed, release, stash, with_rows
 
 K = 3
 SHORT, SHORT_K = 40, 2
@@ -44,10 +46,9 @@ ANCHOR = 5
 SKETCHES = 50
 TAKEN = 2
 SIMILARITY = 0.8
-NEAR = 8
 BLOCK = 2048
 BINS = 512
-SALT_ROWS = 10_000
+FEW = 50  # a round that links less than one in so many of its pairs is the last before all pairs are taken
 _TOP = np.uint64(A.MASK)
 
 
@@ -131,7 +132,7 @@ def _bags(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sketched(similarity: float, k: int, n: int, taken: int):
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("key", pa.binary()), ("bag", pa.binary()), ("sketches", pa.list_(pa.struct([("band", pa.int32()), ("sketch", pa.int64())])))])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("key", pa.binary()), ("bag", pa.binary()), ("sketches", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in A.slices(batches, "text", 1 << 20):
@@ -150,13 +151,13 @@ def _sketched(similarity: float, k: int, n: int, taken: int):
                 bands.append(np.full(len(values[-1]), 2 * n))
             row, band, value = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((rows, np.int64), (bands, np.int64), (values, np.uint64)))
             order = np.argsort(row, kind="stable")
-            items = pa.StructArray.from_arrays([pa.array(band[order], pa.int32()), pa.array(value[order].view(np.int64))], ["band", "sketch"])
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(batch.num_rows + 1)), pa.int32()), items)
+            buckets = A.mixed(value ^ A.mixed(band.astype(np.uint64)))[order].view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(batch.num_rows + 1)), pa.int32()), pa.array(buckets))
             keys = [hashlib.sha256(b" ".join(t.split())).digest() for t in (data[offsets[i] : offsets[i + 1]].tobytes() for i in range(batch.num_rows))]
             bags = [x.tobytes() for x in _bags(hashes, first)]
             yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(bags, pa.binary()), lists], schema=schema)
 
-    return run
+    return A.tidy(run)
 
 
 def distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
@@ -256,7 +257,7 @@ def _verified(similarity: float):
             if ok:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in ok], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return run
+    return A.tidy(run)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -274,30 +275,35 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
-def _pairs(members: DataFrame, similarity: float, near: int) -> DataFrame:
-    """Candidate pairs (a, b) of ``members`` (band, sketch, row, n_words, label) of different labels: with the first of the bucket and the ``near`` predecessors by length."""
-    large = members.groupBy("band", "sketch").agg(F.count("*").alias("n")).where(F.col("n") > SALT_ROWS)
-    salts = F.ceil(F.col("n") / SALT_ROWS)
-    salted = members.join(large, ["band", "sketch"], "left").withColumn("salt", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("row", "band"), salts)).otherwise(F.lit(0)))
-    bucket = Window.partitionBy("band", "sketch", "salt").orderBy("n_words", "row")
-    others = F.array(F.first(F.struct("row", "n_words", "label")).over(bucket.rowsBetween(Window.unboundedPreceding, 0)))
-    if near:
-        others = F.array_union(F.collect_list(F.struct("row", "n_words", "label")).over(bucket.rowsBetween(-near, -1)), others)
-    fits = lambda o: (o["label"] != F.col("label")) & (F.least(o["n_words"], F.col("n_words")) >= similarity * F.greatest(o["n_words"], F.col("n_words")))
-    found = salted.select("row", "n_words", "label", others.alias("others")).select("row", F.transform(F.filter("others", fits), lambda o: o["row"]).alias("others")).where(F.size("others") > 0)
-    # a row meets the same others in several sketches: they are merged, at most (near + 1) for each sketch, before they become pairs
-    once = found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).select("row", F.explode("others").alias("other"))
-    return once.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
+def _fits(similarity: float, first: str = "first"):
+    """Whether a member's length lets it be similar to the bucket's first."""
+    return F.least(f"{first}.n_words", "n_words") >= similarity * F.greatest(f"{first}.n_words", "n_words")
+
+
+def _labelled_members(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """``members`` (bucket, row, n_words) of buckets that hold several classes, with their label and the bucket's first in an order that each turn draws anew."""
+    own = members.withColumn("label", F.col("row")) if labels is None else members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+    place = F.xxhash64("row", F.lit(turn)).alias("place")
+    spread = own.groupBy("bucket").agg(F.min(F.struct(place, "label", "row", "n_words")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return stash(own.join(spread.select("bucket", "first"), "bucket"), "mixed")
+
+
+def _met_most(members: DataFrame, tested: DataFrame | None, similarity: float) -> DataFrame:
+    """For each row the first of another class that it meets in most buckets and is not tested with yet, as pairs (a, b)."""
+    met = members.where((F.col("label") != F.col("first.label")) & _fits(similarity)).groupBy("row", F.col("first.row").alias("other")).agg(F.count("*").alias("times"))
+    pairs = met.select("row", "times", F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b"))
+    pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+    best = pairs.groupBy("row").agg(F.max(F.struct("times", -F.col("a"), "b")).alias("best"))
+    return best.select((-F.col("best.col2")).alias("a"), F.col("best.b").alias("b")).distinct()
 
 
 def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """All pairs (a, b) of ``members`` that share a bucket, have different labels, and whose lengths and bags of words leave the similarity possible."""
-    key = ["band", "sketch"]
-    mixed = members.groupBy(*key).agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    d = members.join(mixed.select(*key, blocks.alias("blocks")), key).withColumn("own", F.pmod(F.xxhash64("row", "band"), F.col("blocks")).cast("int"))
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    d = members.select("bucket", "row", "n_words", "label").join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("row", "bucket"), F.col("blocks")).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    d = d.join(bags, "row").select(*key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n_words", "row", "label", "bag")
+    held = members.groupBy("row").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))  # at most one for each sketch
+    d = d.join(bags, "row").join(held, "row").select("bucket", "buckets", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n_words", "row", "label", "bag")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def within(rows):
@@ -305,6 +311,18 @@ def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFr
         if label.min() == label.max():
             return
         bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint16).reshape(-1, BINS)
+        here, lists = rows.column("bucket")[0].as_py(), rows.column("buckets").combine_chunks()
+        held, ends = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
+
+        def first_meet(p, at):
+            """Which of the pairs (p, at) have this bucket as the lowest of those they share; the others are taken there."""
+            size = ends[at + 1] - ends[at]
+            place = np.repeat(ends[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            common = np.isin(held[place], held[ends[p] : ends[p + 1]])
+            which, value = np.repeat(np.arange(len(at)), size)[common], held[place][common]
+            first = np.concatenate(([True], which[1:] != which[:-1]))
+            return value[first] == here
+
         for p in range(len(n) - 1):
             end = int(np.searchsorted(n, n[p] / similarity + 1e-6, "right"))  # sorted by length
             at = p + 1 + np.flatnonzero(label[p + 1 : end] != label[p])
@@ -313,6 +331,8 @@ def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFr
             if len(at):
                 common = np.minimum(bags[at], bags[p]).sum(axis=1, dtype=np.int64)
                 at = at[(n[at] - common <= (1 - similarity) * n[at] + 1e-9) | (bags[at, 0] == 65535)]
+            if len(at):
+                at = at[first_meet(p, at)]
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(f(row[at], row[p])) for f in (np.minimum, np.maximum)], schema=schema)
 
@@ -320,7 +340,7 @@ def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFr
         rest = None
         for batch in batches:
             rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])]).combine_chunks()
-            same = [rows.column(c).to_numpy() for c in (*key, "i", "j")]
+            same = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
             edges = [0, *(1 + np.flatnonzero(np.any([x[1:] != x[:-1] for x in same], axis=0))).tolist()]
             for start, end in zip(edges[:-1], edges[1:], strict=True):
                 yield from within(rows.slice(start, end - start))
@@ -328,8 +348,8 @@ def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFr
         if rest is not None and rest.num_rows:
             yield from within(rest)
 
-    dealt = d.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j", "n_words", "row")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = d.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "n_words", "row")
+    return dealt.mapInArrow(A.tidy(run), "a long, b long")
 
 
 def _links(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -337,7 +357,9 @@ def _links(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     wanted = stash(pairs.select(F.col("a").alias(ROW)).union(pairs.select("b")).distinct(), "wanted")
     texts = with_rows(docs, "text").join(wanted, ROW, "left_semi")
     side = lambda x: texts.select(F.col(ROW).alias(x), F.col("text").alias(f"text_{x}"))
-    return stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    discard(wanted)
+    return links
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -354,36 +376,45 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, k: int = K, n: int = SKETCHES, taken: int = TAKEN) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, class_id (the smallest doc_id of the class), class_size, kept."""
-    spark, docs = docs.sparkSession, keyed(docs if ROW in docs.columns else docs.select("doc_id", "text"))
-    thin = stash(with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketched(similarity, k, n, taken), "row long, doc_id long, n_words long, key binary, bag binary, sketches array<struct<band:int,sketch:bigint>>"), "sketches")
+    spark, given = docs.sparkSession, docs
+    docs = keyed(docs if ROW in docs.columns else docs.select("doc_id", "text"))
+    thin = stash(with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketched(similarity, k, n, taken), "row long, doc_id long, n_words long, key binary, bag binary, sketches array<bigint>"), "sketches")
     bags = thin.select("row", "bag")
-    thin = thin.drop("bag").withColumn("order", id_order(F.col("doc_id"), F.col("row")))
+    sketched, thin = thin, thin.drop("bag").withColumn("order", id_order(F.col("doc_id"), F.col("row")))
     copies = stash(thin.groupBy("key").agg(F.min("order").alias("order"), F.count("*").alias("copies")), "copies").withColumn("row", F.col("order.row"))
-    unlike = thin.join(copies.select("row"), "row", "left_semi")
-    rows = unlike.select("row", "n_words", F.inline("sketches"))
-    shared = rows.groupBy("band", "sketch").agg(F.count("*").alias("members")).where("members > 1")
-    rows = stash(rows.join(shared, ["band", "sketch"]), "buckets")
-    # round 0: with the bucket's first; round 1: with predecessors too; round 2: all that is left in larger buckets
-    tested, labels = None, None
-    for step in range(3):
-        members = rows if step < 2 else rows.where(F.col("members") > NEAR + 1)
-        members = members.withColumn("label", F.col("row")) if labels is None else members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-        pairs = _all_pairs(members, bags, similarity) if step == 2 else _pairs(members, similarity, NEAR if step else 0)
-        pairs = stash(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else stash(tested.unionByName(pairs), "tested")
-        found = _links(docs, pairs, similarity)
-        release(spark)
-        if not found.isEmpty():
-            labels = _merged(labels, found)
+    held = thin.join(copies.select("row"), "row", "left_semi").select("row", "n_words", F.explode("sketches").alias("bucket"))
+    shared = held.groupBy("bucket").agg(F.min(F.struct(F.col("row").alias("label"), "row", "n_words")).alias("first"), F.max("row").alias("last")).where("first.row < last")
+    members = stash(held.join(shared.select("bucket", "first"), "bucket").withColumn("label", F.col("row")), "buckets")
+    release(spark)
+    labels, whole, turn = None, False, 0
+    pairs = stash(_met_most(members, None, similarity), "pairs")
+    tested = pairs
+    while True:
+        n_pairs, n_found = pairs.count(), 0
+        if n_pairs:
+            found = _links(docs, pairs, similarity)
+            n_found = found.count()
+            if n_found:
+                labels = _merged(labels, found)
+            discard(found)
+            release(spark)
+        if whole:
+            break
+        before, members = members, _labelled_members(members.select("bucket", "row", "n_words"), labels, turn := turn + 1)
+        discard(before)
+        whole = n_found * FEW <= n_pairs
+        pairs = _all_pairs(members, bags, similarity).join(tested, ["a", "b"], "left_anti") if whole else _met_most(members, tested, similarity)
+        pairs = stash(pairs, "pairs")
+        tested = tested if whole else stash(tested.unionByName(pairs), "tested")
     of_key = copies.select("key", "row")
     if labels is not None:
         of_key = of_key.join(labels.withColumnRenamed("node", "row"), "row", "left")
     named = of_key.select("key", (F.coalesce("label", "row") if labels is not None else F.col("row")).alias("label"))
-    whole = copies.join(named, "key").groupBy("label").agg(F.min("order").alias("first"), F.sum("copies").alias("class_size"))
-    by_key = stash(named.join(whole, "label").select("key", "first", "class_size"), "classes")
-    return thin.join(by_key, "key").select(
+    sizes = copies.join(named, "key").groupBy("label").agg(F.min("order").alias("first"), F.sum("copies").alias("class_size"))
+    by_key = stash(named.join(sizes, "label").select("key", "first", "class_size"), "classes")
+    rows = stash(thin.select("row", "doc_id", "key"), "rows")
+    discard(members, pairs, tested, sketched, *([] if docs is given else [docs]))
+    return rows.join(by_key, "key").select(
         F.col("row").alias(ROW), "doc_id", F.col("first.id").alias("class_id"), "class_size", (F.col("first.row") == F.col("row")).alias("kept")
     )
 

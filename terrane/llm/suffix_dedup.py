@@ -9,7 +9,8 @@ are unique and done. The following passes sort what remains by the other bytes,
 At scale: the text moves once (all three passes over it read one exchange), then 8 bytes for each distinct anchor of a
 chunk, about one for 18 bytes of text, then for each repeated anchor its 84 bytes of context, once per chunk however many
 documents of it hold it. A hot passage costs each chunk of 4 MB one context for 18 bytes. Strings themselves are only made
-inside the bucket that compares them. A chunk is the unit of memory; a longer text is a chunk of its own.
+inside the bucket that compares them. A chunk of about 4 MB is the unit of memory; it holds whole texts, so memory grows with
+the longest text, by some 90 bytes for each of its bytes.
 
 Defined results: a null text is empty; a text shorter than 50 bytes is left alone. Matches never cross documents. A null
 doc_id counts as the largest; rows with one doc_id do not remove each other's bytes, as neither is smaller. Extra columns
