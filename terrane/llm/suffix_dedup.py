@@ -222,3 +222,24 @@ def repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, with_text: bo
 def op7(spark, sf_dir: str) -> DataFrame:
     rows = repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False)
     return rows.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+#: Bytes are two hexadecimal digits each; a text is cut into pieces of 250 bytes and 49 more, so that a window is a short substring.
+SQL = """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) h from documents),
+piece as (select doc_id, p, substring(h, 500 * p + 1, 598) s from (select doc_id, h, unnest(range(0, (len(h) + 499) // 500)) p from h)),
+win as (select doc_id, 250 * p + k pos, substring(s, 2 * k + 1, 100) g from (select doc_id, p, s, unnest(range(0, least(250, len(s) // 2 - 49))) k from piece where len(s) >= 100)),
+r as (select doc_id, pos from win qualify min(doc_id) over (partition by g) < doc_id),
+gone as (select distinct doc_id, pos + k pos from r, range(50) t(k)),
+byt as (select doc_id, 250 * p + k pos, substring(s, 2 * k + 1, 2) b from (select doc_id, p, s, unnest(range(0, least(250, len(s) // 2))) k from piece)),
+mark as (
+  select byt.*, gone.pos is not null cut, lag(gone.pos is not null, 1, false) over (partition by byt.doc_id order by byt.pos) before
+  from byt left join gone on byt.doc_id = gone.doc_id and byt.pos = gone.pos),
+kept as (
+  select doc_id, count(*) filter (where cut) n_removed, count(*) filter (where cut and not before) n_spans,
+         sha256(unhex(coalesce(string_agg(b, '' order by pos) filter (where not cut), ''))) kept_sha256
+  from mark group by doc_id)
+select h.doc_id, cast(len(h) // 2 as bigint) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
+       coalesce(kept_sha256, sha256('')) kept_sha256
+from h left join kept on h.doc_id = kept.doc_id
+"""
