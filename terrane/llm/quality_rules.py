@@ -157,3 +157,27 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Da
 def op10(spark, sf_dir: str) -> DataFrame:
     rows, _ = judged(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def quality_counts(spark, sf_dir: str) -> DataFrame:
+    """The base counts and the base rule alone, which SQL can express."""
+    rows = statistics(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
+
+
+SQL = r"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+w as (select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') ws from d),
+win as (select doc_id, unnest(range(1, len(ws) - 1)) i, ws from w where len(ws) >= 3),
+g as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] g from win),
+r as (select doc_id, i from g qualify count(*) over (partition by doc_id, g) > 1),
+n as (select doc_id, count(distinct i + k) n_repeat_words from r, (values (0), (1), (2)) t(k) group by doc_id),
+l as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) ls from d),
+c as (
+  select w.doc_id, cast(len(ws) as bigint) n_words, cast(len(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) word_chars,
+         cast(len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as bigint) n_symbols,
+         cast(len(ls) - len(list_distinct(ls)) as bigint) n_dup_lines, coalesce(n.n_repeat_words, 0) n_repeat_words
+  from w join l on w.doc_id = l.doc_id left join n on w.doc_id = n.doc_id)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from c
+"""

@@ -141,3 +141,18 @@ def repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, with_text: bo
 
 def op9(spark, sf_dir: str) -> DataFrame:
     return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
+win as (select doc_id, i, array_to_string(ws[i:i + 34], ' ') g from (select doc_id, ws, unnest(range(1, len(ws) - 33)) i from w where len(ws) >= 35)),
+r as (select doc_id, i from win qualify count(*) over (partition by g) > 1),
+gone as (select distinct doc_id, i + k j from r, range(35) t(k)),
+words as (select doc_id, ws[j] word, j from (select doc_id, ws, unnest(range(1, len(ws) + 1)) j from w)),
+kept as (
+  select words.doc_id, count(*) filter (where gone.j is not null) n_removed,
+         sha256(coalesce(string_agg(word, ' ' order by words.j) filter (where gone.j is null), '')) kept_sha256
+  from words left join gone on words.doc_id = gone.doc_id and words.j = gone.j group by words.doc_id)
+select w.doc_id, cast(len(ws) as bigint) n_words, coalesce(n_removed, 0) n_removed, coalesce(kept_sha256, sha256('')) kept_sha256
+from w left join kept on w.doc_id = kept.doc_id
+"""
