@@ -6,10 +6,11 @@ aggregation: each text's own posterior is summed by declared language, suffix an
 their suffix's, and those by the whole corpus's, so a host with few texts says little. One more class, ``und``, stands for
 text that no language explains; its trigrams are all equally likely.
 
-At scale: the trigram table has a fixed size, 32,768 rows by at most ``MAX_LANGUAGES`` columns. It is fitted on a bounded
-sample: the ``SAMPLE`` labelled rows with the lowest hash of their doc_id. Everything else covers all rows: one scan of
-the texts gives each row its likelihoods, in a thin table; sums by host are partial sums in each task, and a host with a
-third of all rows is one row of the table that joins back. Sums are of integers, so reruns agree.
+At scale: the trigram table has 32,768 rows and a column for each declared language, taken as bounded since these are language
+codes. It is fitted on a bounded sample: of each language ``SAMPLE`` labelled rows, those with the lowest hash of their doc_id,
+or all if it has fewer, so rare languages are classes too. Everything else covers all rows: one scan of the texts gives each
+row its likelihoods, in a thin table; sums by host are partial sums in each task, and a host with a third of all rows is one
+row of the table that joins back. Sums are of integers, so reruns agree.
 
 Defined results: a null text, or one without words, gets ``und``, as has one that no language explains; ``und`` is not kept.
 Words with digits (keys, numbers, addresses) say nothing about language; a text of only such words follows its other evidence. Without any labelled rows nothing can be judged: all rows are ``und`` and kept. A
@@ -23,15 +24,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
 from terrane.llm.common import ROW, keyed, stash, with_rows
 
-SAMPLE = 4_000
-MAX_LANGUAGES = 64
-MIN_ROWS = 8
+SAMPLE = 1_000
+SPARE = 4  # so many times the sample are sought by a range of hashes before the lowest are taken
 BINS = 1 << 15
 WEIGHT = 100  # trigrams that a text counts as at most; neighbouring trigrams are not independent
 UND = "und"
@@ -61,9 +61,12 @@ def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, by name, and the log-probabilities of the trigram bins (bins by languages and ``und``). ``docs`` has (doc_id, text, label)."""
-    thin = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.xxhash64("doc_id", F.lit(5)).alias("place"))
-    chosen = thin.orderBy("place", "doc_id").limit(sample).select("doc_id", "name")
-    rows = docs.join(F.broadcast(chosen.distinct()), (docs["doc_id"] == chosen["doc_id"]) & (docs["label"] == chosen["name"])).select("name", "text")
+    thin = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)).alias("place"))
+    totals = thin.groupBy("name").agg(F.count("*").alias("n"))
+    few = thin.join(totals, "name").where(F.col("place") <= F.lit(float(SPARE * sample)) / F.col("n") * (1 << 40))
+    turn = F.row_number().over(Window.partitionBy("name").orderBy("place", "doc_id"))
+    chosen = few.withColumn("turn", turn).where(F.col("turn") <= sample).select("doc_id", "name")
+    rows = docs.join(chosen.distinct(), (docs["doc_id"] == chosen["doc_id"]) & (docs["label"] == chosen["name"])).select("name", "text")
     schema = pa.schema([("name", pa.string()), ("bin", pa.int32()), ("n", pa.int64()), ("texts", pa.int64())])
 
     def count(batches):
@@ -76,11 +79,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
                 at = np.flatnonzero(found)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * (len(at) + 1)), pa.array([-1, *at.tolist()], pa.int32()), pa.array([0, *found[at].tolist()], pa.int64()), pa.array([int((which == k).sum())] + [0] * len(at), pa.int64())], schema=schema)
 
-    counts = stash(rows.mapInArrow(count, "name string, bin int, n long, texts long").groupBy("name", "bin").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")), "trigrams")
-    known = counts.where(f"bin = -1 and texts >= {MIN_ROWS}").orderBy(F.desc("texts"), "name").limit(MAX_LANGUAGES)
-    names = sorted(r["name"] for r in known.select("name").collect())
+    counts = stash(rows.mapInArrow(A.tidy(count), "name string, bin int, n long, texts long").groupBy("name", "bin").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")), "trigrams")
+    names = sorted(r["name"] for r in counts.where("bin = -1").select("name").collect())
     table = np.full((BINS, len(names) + 1), 0.5)
-    if names:  # at most BINS * MAX_LANGUAGES rows, as columns
+    if names:  # at most BINS rows for each language, as columns
         found = counts.where((F.col("bin") >= 0) & F.col("name").isin(names)).select("name", "bin", "n").toArrow()
         column = np.searchsorted(names, found.column("name").to_pylist())
         np.add.at(table, (found.column("bin").to_numpy(), column), found.column("n").to_numpy())
@@ -110,7 +112,7 @@ def likelihoods(docs: DataFrame, names: list[str], table: np.ndarray) -> DataFra
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(words, pa.int64()), lists(np.round(scores, 6), pa.float64()), lists(own, pa.int64())], names=[*keep, "words", "scores", "own"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.mapInArrow(run, f"{fields}, words long, scores array<double>, own array<long>")
+    return docs.mapInArrow(A.tidy(run), f"{fields}, words long, scores array<double>, own array<long>")
 
 
 def _sums(rows: DataFrame, width: int, *keys: str) -> DataFrame:
@@ -188,5 +190,10 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").alias("doc_id"), text.alias("text"), F.when(lang != "", lang).alias("lang"), F.when(host != "", host).alias("host"))
 
 
+def language_of_pages(spark, sf_dir: str) -> DataFrame:
+    """Web pages by all four kinds of evidence: text, markup language, address suffix and host."""
+    return identify(page_evidence(spark.read.parquet(f"{sf_dir}/pages.parquet")), host="host").select(F.col("doc_id").alias("page_id"), "declared", "language", "confidence", "kept")
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
     return identify(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop(ROW)

@@ -15,10 +15,15 @@ QUERIES = {
     "op8_mix_sources": mixing.op8,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_quality_rules": quality_rules.op10,
+    "language_of_pages": language_id.language_of_pages,
+    "quality_counts": quality_rules.quality_counts,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_secret_scan": secret_scan.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op7_suffix_dedup": suffix_dedup.SQL,
     "op8_mix_sources": mixing.SQL,
+    "op9_substring_dedup": substring_dedup.SQL,
+    "quality_counts": quality_rules.SQL,
 }
