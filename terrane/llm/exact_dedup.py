@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm.common import ROW, id_order, keyed, stash, with_rows
-from terrane.llm.textarrays import slices
+from terrane.llm.textarrays import slices, tidy
 
 BLOCK = 4096
 BUCKETS = 1 << 20
@@ -57,7 +57,7 @@ def _blocks(size: int):
             places = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], f.type) for i, f in enumerate(_ARROW_PLACE)], fields=list(_ARROW_PLACE))
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)], schema=schema)
 
-    return cut
+    return tidy(cut)
 
 
 def _named(df: DataFrame, *content: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm.common import ROW, keyed, stash, with_rows
-from terrane.llm.textarrays import slices
+from terrane.llm.textarrays import slices, tidy
 
 MIN_CHARS = 10
 SHARD_KEYS = 1 << 15
@@ -165,7 +165,7 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(found, pa.binary())], schema=schema)
 
     d = with_rows(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(run, "row long, doc long, digest binary")
+    return d.mapInArrow(tidy(run), "row long, doc long, digest binary")
 
 
 def counted(refs: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def screened(keys: DataFrame, index: LineIndex, which: str) -> DataFrame:
                     yield hit.select(columns)
 
     dealt = stream.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.desc_nulls_last("filter"))
-    return dealt.mapInArrow(run, keys.schema)
+    return dealt.mapInArrow(tidy(run), keys.schema)
 
 
 def insert(index: LineIndex, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineIndex:
@@ -319,7 +319,7 @@ def without(docs: DataFrame, dropped: DataFrame, min_chars: int = MIN_CHARS, wit
 
     d = with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lost = dropped.groupBy(F.col("row").alias(ROW)).agg(F.collect_list("digest").alias("gone"))
-    return d.join(lost, ROW, "left").mapInArrow(run, _OUT)
+    return d.join(lost, ROW, "left").mapInArrow(tidy(run), _OUT)
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = True) -> DataFrame:
