@@ -10,6 +10,7 @@ import atexit
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ ROW = "__row"
 
 _LOCAL: dict[str, str] = {}
 _USED: set[str] = set()
+_COLLECT: list[list[DataFrame]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,9 +49,22 @@ def stash(df: DataFrame, label: str) -> DataFrame:
         atexit.register(_remove, spark, home)
     found = spark.read.schema(df.schema).parquet(path)
     found.scratch_path = path
+    for made in _COLLECT:
+        made.append(found)
     return found
 
 
+@contextmanager
+def collected():
+    """The list of all tables that are stashed within; the caller may discard them when what was made of them is written."""
+    made: list[DataFrame] = []
+    _COLLECT.append(made)
+    try:
+        yield made
+    finally:
+        _COLLECT[:] = [x for x in _COLLECT if x is not made]
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Deletes stashed tables that nothing reads any more; other frames are left alone."""
     for table in tables:

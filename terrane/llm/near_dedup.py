@@ -303,7 +303,7 @@ def _all_pairs(members: DataFrame, bags: DataFrame, similarity: float) -> DataFr
     d = members.select("bucket", "row", "n_words", "label").join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("row", "bucket"), F.col("blocks")).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = members.groupBy("row").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))  # at most one for each sketch
-    d = d.join(bags, "row").join(held, "row").select("bucket", "buckets", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n_words", "row", "label", "bag")
+    d = d.join(held.join(bags, "row"), "row").select("bucket", "buckets", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n_words", "row", "label", "bag")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def within(rows):
