@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages, each one operator over all that the stage before it kept.
 
 The stages are language ID, exact dedup, near-dedup, mixing and SentencePiece encoding. Each stage's result is written to
-the shared folder and read again as the next one's documents, so a lost executor costs at most one stage.
+the shared folder and read again as the next one's documents, so a lost executor costs at most one stage. A stage writes its
+documents once with their row key; then the scratch tables of the stage before are deleted.
 """
 
 from __future__ import annotations
@@ -10,29 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import exact_dedup, language_id, mixing, near_dedup, sentencepiece_codec
-from terrane.llm.common import stash
+from terrane.llm.common import collected, discard, keyed, stash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is known."""
-    return language_id.only_identified(docs).select(*COLUMNS)
+_BEFORE: dict[str, list[DataFrame]] = {}
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one of equal texts."""
-    return exact_dedup.dedup(docs).select(*COLUMNS)
+def _keyed_stage(operator):
+    """A stage that runs ``operator`` on its documents, written with their row key."""
 
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with collected() as made:
+            docs = keyed(docs.select(*COLUMNS))
+            discard(*_BEFORE.pop(sf_dir, []))
+            result = operator(docs).select(*COLUMNS)
+        _BEFORE[sf_dir] = made
+        return result
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies."""
-    return near_dedup.dedup(docs).select(*COLUMNS)
+    return stage
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the mix of sources asks for."""
-    return mixing.mix(docs).select(*COLUMNS)
+#: Keeps documents whose language is known.
+identify = _keyed_stage(language_id.only_identified)
+#: Keeps one of equal texts.
+drop_copies = _keyed_stage(exact_dedup.dedup)
+#: Keeps one document of each class of near copies.
+drop_near_copies = _keyed_stage(near_dedup.dedup)
+#: Takes each document as often as the mix of sources asks for.
+mix = _keyed_stage(mixing.mix)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
