@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ NULL_IDS = ("", "0", "nan", "none", "null", "na", "n/a")
 #: Fixed value: names that stand for no name.
 PLACEHOLDER = r"^(no common name|unnamed|unknown|no name|n/?a)\b"
 #: Crosswalk column and id pattern by id prefix.
-ID_PREFIXES = {"MRGID": ("mrgid", r"^(\d+)"), "PSGID": ("psgid", r"^([^:]+)"), "MPAINV": ("mpainv", r"^([^:]+)"), "MPA": ("mpa", r"^([^:]+)")}
+ID_PREFIXES = {"MRGID": ("mrgid", r"^(\d+)"), "PSGID": ("psgid", r"^(.+)$"), "MPAINV": ("mpainv_site_id", r"^(.+)$"), "MPA": ("mpainv_site_id", r"^(.+)$")}
 #: Which copy of a place search shows first, by collection.
 SEARCH_RANKS = {"mpa_inventory": 1, "noaa_hapc": 1, "places": 2}
 SEARCH_RANK_PREFIXES = {"protectedseas_": 1}
@@ -22,8 +24,11 @@ GROUP_LABELS = {
     "fish": "fish", "hardCorals": "hard corals", "seaTurtles": "sea turtles", "marineMammals": "marine mammals", "seabirds": "seabirds",
     "seagrasses": "seagrasses", "mangroves": "mangroves", "macroalgae": "macroalgae", "zooplankton": "zooplankton", "phytoplankton": "phytoplankton",
 }
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
+#: Letters that decompose into one letter and combining marks, and that letter; the marks themselves follow and have none.
+_BARE = {chr(i): "".join(x for x in unicodedata.normalize("NFD", chr(i)) if not unicodedata.combining(x)) for i in range(0xC0, 0x30000) if not 0xD800 <= i < 0xE000}
+_FOLDED = [c for c, x in _BARE.items() if x != c and len(x) == 1]
+ACCENTED = "".join(_FOLDED) + "".join(c for c, x in _BARE.items() if not x)
+PLAIN = "".join(_BARE[c] for c in _FOLDED)
 
 Filter = Callable[[Column, str, Callable[[str], Column]], Column]
 
@@ -47,7 +52,7 @@ def slug(c: Column | str) -> Column:
 
 
 def unaccented(c: Column | str) -> Column:
-    """Latin letters without their accents, by a fixed table."""
+    """Letters without their accents: what canonical decomposition leaves when combining marks are dropped. Hangul syllables, which decompose into letters, stay whole."""
     return F.translate(col(c), ACCENTED, PLAIN)
 
 
@@ -303,9 +308,33 @@ def attribution_text(own: Column, names: Column, processor: str) -> Column:
     return F.coalesce(squash(own), F.concat(F.when(F.size(names) > 0, F.concat(joined, F.lit(". "))).otherwise(""), F.lit(f"Processed by {processor}.")))
 
 
-def access_class(path: Column) -> Column:
-    """Where an object key is stored and who may read it: ``class gate immutable`` of a key."""
-    first = F.split_part(path, F.lit("/"), F.lit(1))
-    gate = F.when(first.isin("internal", "private"), "key").otherwise("open")
-    fixed = path.rlike(r"(^|/)v?\d+\.\d+(\.\d+)?/|[0-9a-f]{32,}")
-    return F.struct(first.alias("class"), gate.alias("gate"), fixed.alias("immutable"))
+#: File types that anyone may read, classes of data types, and data types that may last.
+OPEN_TYPES = ("json", "md", "html", "png", "jpg", "jpeg", "txt", "csv", "svg", "atom", "xml")
+DATA_TYPES = {"parquet": "parquet", "pmtiles": "pmtiles", "tif": "tif", "tiff": "tif", "duckdb": "data", "zip": "data", "gz": "data", "fgb": "data"}
+LASTING_TYPES = ("parquet", "pmtiles", "tif", "tiff", "fgb")
+
+
+def extension(path: Column) -> Column:
+    """Lower-case extension of the last path segment, empty if it has none or starts with its only dot."""
+    return F.regexp_extract(F.lower(path), r"[^/]\.([^./]*)$", 1)
+
+
+def access_class(path: Column, store: Column | None = None, open_prefix: str = "index/", restricted: tuple[str, ...] = (), released: tuple[str, ...] = (), hashed: tuple[str, ...] = (), versioned: tuple[str, ...] = ()) -> Column:
+    """``class gate immutable`` of an object key, by store (public or unlisted), prefix and extension.
+
+    Keys are immutable by the layout of their first segment: a version folder next (``released``), a hash as file name
+    (``hashed``), or a version folder anywhere below the collection (``versioned``)."""
+    store = F.lit("public") if store is None else store
+    low, kind = F.lower(path), extension(path)
+    index, unlisted = low.startswith(open_prefix), store == "unlisted"
+    locked = reduce(lambda a, p: a | low.startswith(f"{p}/"), restricted, F.lit(False))
+    page = kind.isin(*OPEN_TYPES) | low.endswith("/credits")
+    data = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in DATA_TYPES.items() for x in pair]), kind), F.lit("data"))
+    name = F.when(unlisted | locked, "unlisted").when(kind == "json", "stac").when(page, "other").otherwise(data)
+    gate = F.when(unlisted, F.when(index, "open").otherwise("key")).when(locked, "key").when(page | index, "open").otherwise("anonymous")
+    steps = F.split(path, "/")
+    first, folders = F.get(steps, F.lit(0)), F.slice(steps, 3, F.greatest(F.size(steps) - 3, F.lit(0)))
+    version = lambda x: x.rlike(r"^v\d+$")
+    layout = (first.isin(*released) & version(F.get(steps, F.lit(1)))) | (first.isin(*hashed) & F.element_at(steps, -1).rlike(r"^[0-9a-f]{16,64}(_3857)?\.(tif|tiff|pmtiles)$")) | (first.isin(*versioned) & F.exists(folders, version))
+    whole = (store == "public") & (F.size(steps) >= 3) & ~F.exists(steps, lambda x: x.isin("", "_history")) & kind.isin(*LASTING_TYPES)
+    return F.struct(name.alias("class"), gate.alias("gate"), (whole & layout).alias("immutable"))

@@ -63,8 +63,8 @@ def group_layers(layers: DataFrame) -> DataFrame:
 
 
 def line_stats(stations: DataFrame, length: Column | None = None) -> DataFrame:
-    """Per line: stations, core ones, first and last. ``stations`` has (line, station, core)."""
-    return stations.groupBy("line").agg(F.count("*").alias("n"), F.count_if("core").alias("n_core"), F.max("core").alias("any_core"), F.min("station").alias("first"), F.max("station").alias("last")).withColumn("too_short", F.col("n") < 2)
+    """Per line: stations, core ones, first and last, and with ``length`` (each station's distance from the one before) its kilometres to one decimal. ``stations`` has (line, station, core)."""
+    return stations.groupBy("line").agg(F.count("*").alias("n"), F.count_if("core").alias("n_core"), F.max("core").alias("any_core"), F.min("station").alias("first"), F.max("station").alias("last"), *([] if length is None else [F.round(F.sum(length), 1).alias("length_km")])).withColumn("too_short", F.col("n") < 2)
 
 
 # audits ----

@@ -190,7 +190,7 @@ def search_places(index: DataFrame, hit: Column) -> DataFrame:
     group = F.coalesce("group_id", F.concat_ws("/", "collection", "place_id"))
     rank = F.struct(search_rank("collection").alias("rank"), F.col("collection"), F.col("place_id"))
     found = index.where(hit).groupBy(group.alias("g")).agg(F.array_sort(F.collect_list(rank)).alias("copies"))
-    return found.select("g", F.get("copies", F.lit(0))["place_id"].alias("place_id"), F.transform(F.slice("copies", 2, 1000000), lambda c: c["place_id"]).alias("also"))
+    return found.select("g", F.get("copies", F.lit(0))["place_id"].alias("place_id"), F.transform(F.slice("copies", F.lit(2), F.size("copies") - 1), lambda c: c["place_id"]).alias("also"))
 
 
 def values_index(coverage: DataFrame, manifest: DataFrame) -> DataFrame:

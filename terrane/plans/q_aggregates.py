@@ -63,7 +63,7 @@ add("s12_membership_layout", lambda t: W.membership_manifest(t.lineitem.select(F
 add("s13_feature_ndjson", lambda t: W.feature_lines(t.fx_point.select("point_id", F.expr("case when point_id % 2 = 0 then 'even' end").alias("kind"), F.expr("concat('{\"type\":\"Point\",\"coordinates\":[', cast(point_id as string), ',0]}')").alias("geometry")), ["point_id", "kind"]), "select '{\"type\":\"Feature\",\"properties\":{\"point_id\":' || point_id || case when point_id % 2 = 0 then ',\"kind\":\"even\"' else '' end || '},\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || point_id || ',0]}}' line from fx_point")
 add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank("collection")), None)
 add("s15_export_values", lambda t: W.export_values(t.fx_value.withColumnRenamed("t", "time").withColumnRenamed("v", "value").withColumn("sd", F.lit(None).cast("double")).withColumn("unit", F.lit("m, deep")), "SUP:11", "suppliers.parquet"), "select 'SUP:11,suppliers,' || indicator || ',month,' || strftime(t, '%Y-%m-%d') || ',' || class || ',' || n || ',,\"m, deep\",suppliers.parquet' line from fx_value where place_id = 'SUP:11'")
-add("s16_partitioned_tiles", lambda t: t.fx_point.withColumn("tile", F.floor((F.col("lon") + 180) / 10)).join(t.fx_box.where("k < 3").select(F.explode(F.sequence(F.floor((F.col("xmin") + 180) / 10), F.floor((F.col("xmax") + 180) / 10))).alias("tile")).distinct(), "tile").groupBy("tile").agg(F.count("*").alias("n")), "select floor((lon + 180) / 10) tile, count(*) n from fx_point where floor((lon + 180) / 10) in (select unnest(range(cast(floor((xmin + 180) / 10) as bigint), cast(floor((xmax + 180) / 10) as bigint) + 1)) from fx_box where k < 3) group by 1")
+add("s16_partitioned_tiles", lambda t: t.fx_point.withColumn("tile", F.floor((F.col("lon") + 180) / 10)).join(t.fx_box.select(F.explode(F.sequence(F.floor((F.col("xmin") + 180) / 10), F.floor((F.col("xmax") + 180) / 10))).alias("tile")).distinct(), "tile").groupBy("tile").agg(F.count("*").alias("n")), "select floor((lon + 180) / 10) tile, count(*) n from fx_point where floor((lon + 180) / 10) in (select unnest(range(cast(floor((xmin + 180) / 10) as bigint), cast(floor((xmax + 180) / 10) as bigint) + 1)) from fx_box) group by 1")
 
 # catalog jobs ----
 _RAW = lambda t: t.supplier.select("s_suppkey", "s_name", "s_nationkey", F.expr("case when s_suppkey % 6 = 0 then 'Withdrawn' else 'Active' end").alias("state"), F.col("s_acctbal").alias("Name"))

@@ -42,7 +42,20 @@ add("p15_search_text", lambda t: t.fx_lookup.where(R.matches_text(F.concat_ws("
 add("p16_filter_group", lambda t: t.fx_lookup.where("eov = 'Brand#12'").select("aphiaid", "eov"), "select aphiaid, eov from fx_lookup where eov = 'Brand#12'")
 add("p18_id_pattern", lambda t: t.fx_name.select("place_id", R.matches_ids(F.col("place_id"), [r"SUP:\d", r"CUS:\d{2,3}"]).alias("ok")), "select place_id, regexp_full_match(place_id, 'SUP:[0-9]|CUS:[0-9]{2,3}') ok from fx_name")
 add("p19_over_budget", lambda t: R.over_budget(t.fx_box, 0.5, 500, 900), "select place_id, cast(sum(c) as bigint) cells, cast(max(c) as bigint) largest, sum(c) > 900 or max(c) > 500 as \"over\" from (select place_id, ceil((xmax - xmin) / 5e-1) * ceil((ymax - ymin) / 5e-1) c from fx_box) group by place_id")
-add("p20_access_class", lambda t: t.fx_listing.select("page_id", T.access_class(F.col("key")).alias("a")).select("page_id", "a.class", "a.gate", "a.immutable"), "select page_id, split_part(key, '/', 1) as class, case when split_part(key, '/', 1) in ('internal', 'private') then 'key' else 'open' end gate, regexp_matches(key, '(^|/)v?[0-9]+\\.[0-9]+(\\.[0-9]+)?/|[0-9a-f]{32,}') immutable from fx_listing")
+_KEY = "case page_id % 9 when 0 then concat('data/v', page_id, '/x.parquet') when 1 then concat('cog/a/', md5(url), '.tif') when 2 then concat('set/c/d/v2/', page_id, '.PMTILES') when 3 then concat('index/', page_id, '.zip') when 4 then concat('closed/', page_id, '.json') when 5 then 'a/b/credits' when 6 then concat('set/_history/v2/v3/', page_id, '.fgb') when 7 then '.json' else concat('x/y/', page_id, '.JSON') end"
+_STORE = "case when page_id % 11 = 0 then 'unlisted' else 'public' end"
+add("p20_access_class", lambda t: t.pages.select("page_id", T.access_class(F.expr(_KEY), F.expr(_STORE), "index/", ("closed",), ("data",), ("cog",), ("set",)).alias("a")).select("page_id", "a.class", "a.gate", "a.immutable"), f"""
+with k as (select page_id, {_KEY} key, {_STORE} store from pages),
+e as (select *, lower(key) low, regexp_extract(lower(key), '[^/][.]([^./]*)$', 1) ext from k),
+p as (select *, ext in ('json', 'md', 'html', 'png', 'jpg', 'jpeg', 'txt', 'csv', 'svg', 'atom', 'xml') or ends_with(low, '/credits') page from e)
+select page_id,
+  case when store = 'unlisted' or starts_with(low, 'closed/') then 'unlisted' when ext = 'json' then 'stac' when page then 'other'
+       when ext in ('parquet', 'pmtiles') then ext when ext in ('tif', 'tiff') then 'tif' else 'data' end as class,
+  case when store = 'unlisted' and starts_with(low, 'index/') then 'open' when store = 'unlisted' or starts_with(low, 'closed/') then 'key'
+       when page or starts_with(low, 'index/') then 'open' else 'anonymous' end gate,
+  store = 'public' and ext in ('parquet', 'pmtiles', 'tif', 'tiff', 'fgb') and not regexp_matches(key, '(^|/)(_history)?(/|$)')
+  and regexp_matches(key, '^data/v[0-9]+/|^cog/(.+/)?[0-9a-f]{{16,64}}(_3857)?[.](tif|tiff|pmtiles)$|^set/[^/]+/(.+/)?v[0-9]+/') immutable
+from p""")
 add("p21_legacy_fill", lambda t: R.legacy_fill(t.fx_name.withColumn("place_type", F.expr("case when k % 2 = 0 then 'area' end")).withColumn("title", F.expr("case when k % 3 = 0 then null when k % 3 = 1 then collection else 'A Title' end")), t.fx_name.select("collection", F.lit("SUP").alias("prefix"), F.lit("supplier").alias("place_type")).distinct()).select("place_id", "place_type", "title"), "select place_id, case when k % 2 = 0 then 'area' when place_id like 'SUP:%' then 'supplier' end place_type, case when k % 3 = 2 then 'A Title' else upper(collection[1]) || collection[2:] end title from fx_name")
 add("p22_type_check_columns", lambda t: R.column_problems(t.nation, ["n_name", "place_id", "N_REGIONKEY"]), "select 'place_id' as column, 'missing' as problem")
 add("p23_annotate", lambda t: R.annotate(t.nation.select("n_nationkey", "n_name", "n_regionkey"), {"external_id": F.col("n_nationkey").cast("string"), "external_uri": F.concat(F.lit("https://x.test/id/"), F.col("n_nationkey").cast("string")), "product": F.lit("nations"), "version": F.lit("12"), "doi": F.lit("10.1/x"), "modified": F.lit("2024-01-01")}, drop="n_nationkey"), "select cast(n_nationkey as varchar) external_id, 'https://x.test/id/' || n_nationkey external_uri, 'nations' product, '12' as version, '10.1/x' doi, '2024-01-01' modified, n_name, n_regionkey from nation")
@@ -54,12 +67,12 @@ add("f1_template", lambda t: t.nation.select("n_nationkey", T.template("  {n_nam
 add("f2_filters", lambda t: t.part.withColumn("e", F.expr("case when p_size % 2 = 0 then '' else p_brand end")).select("p_partkey", T.template("{p_retailprice|round}|").alias("r"), T.template("{e|default:none}").alias("d"), T.template("{p_brand|blank:brand#12}").alias("b"), T.template("{e|else:p_type}").alias("x")), "select p_partkey, cast(cast(round_even(p_retailprice, 0) as bigint) as varchar) || '|' r, case when p_size % 2 = 0 then 'none' else p_brand end d, case when lower(p_brand) = 'brand#12' then '' else p_brand end b, trim(regexp_replace(case when p_size % 2 = 0 then p_type else p_brand end, '\\s+', ' ', 'g')) x from part")
 add("f3_lease_number", lambda t: t.supplier.select("s_suppkey", T.lease_number(F.expr("case s_suppkey % 5 when 0 then concat('P00', s_suppkey) when 1 then concat('OCS-G ', s_suppkey, ' Provisional') when 2 then concat('OCS-A-00', s_suppkey) when 3 then 'OCS-FL-2000' end")).alias("v")), "select s_suppkey, case s_suppkey % 5 when 0 then 'OCS-P ' || case when s_suppkey < 1000 then lpad(cast(s_suppkey as varchar), 4, '0') else cast(s_suppkey as varchar) end when 1 then 'OCS-G ' || case when s_suppkey < 1000 then lpad(cast(s_suppkey as varchar), 4, '0') else cast(s_suppkey as varchar) end when 2 then 'OCS-A ' || case when s_suppkey < 1000 then lpad(cast(s_suppkey as varchar), 4, '0') else cast(s_suppkey as varchar) end when 3 then 'OCS-FL-2000' else '' end v from supplier")
 add("f4_slug", lambda t: t.part.select("p_partkey", T.slug("p_type").alias("v"), T.slug_part(F.concat(F.lit("Éa "), "p_brand")).alias("w")), "select p_partkey, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '-') v, trim(regexp_replace('ea ' || lower(p_brand), '[^a-z0-9]+', '-', 'g'), '-') w from part")
-add("f5_norm_name", lambda t: t.documents.select("doc_id", F.sha2(T.norm_name("text"), 256).alias("h")), "select doc_id, sha256(trim(regexp_replace(lower(translate(text, '" + T.ACCENTED + "', '" + T.PLAIN + "')), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) h from documents")
+add("f5_norm_name", lambda t: t.documents.select("doc_id", F.sha2(T.norm_name("text"), 256).alias("h")), "select doc_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) h from documents")
 add("f6_is_placeholder", lambda t: t.fx_name.select("place_id", T.is_placeholder(F.expr("case when k % 4 = 0 then 'N/A' when k % 4 = 1 then concat('Unnamed ', name) else name end")).alias("p")), "select place_id, k % 4 < 2 p from fx_name")
 add("f7_clean_id", lambda t: t.orders.select("o_orderkey", T.clean_id(F.expr("case o_orderkey % 4 when 0 then concat(o_orderkey, '.00') when 1 then ' None ' when 2 then concat('A', o_orderkey) else 'n/a' end")).alias("v")), "select o_orderkey, case o_orderkey % 4 when 0 then nullif(cast(o_orderkey as varchar), '0') when 2 then 'A' || o_orderkey end v from orders")
-add("f8_prefix_id", lambda t: t.part.select("p_partkey", T.prefix_id(F.expr("case when p_partkey % 3 = 0 then concat('MRGID:', p_partkey, ':part') when p_partkey % 3 = 1 then concat('mpa: ', p_brand) else 'none' end"), "mrgid").alias("m"), T.prefix_id(F.expr("case when p_partkey % 3 = 1 then concat('mpa: ', p_brand) else 'none' end"), "mpa").alias("n")), "select p_partkey, case when p_partkey % 3 = 0 then cast(p_partkey as varchar) end m, case when p_partkey % 3 = 1 then p_brand end n from part")
+add("f8_prefix_id", lambda t: t.part.select("p_partkey", T.prefix_id(F.expr("case when p_partkey % 3 = 0 then concat('MRGID:', p_partkey, ':part') when p_partkey % 3 = 1 then concat('mpa: ', p_brand) else 'none' end"), "mrgid").alias("m"), T.prefix_id(F.expr("case when p_partkey % 3 = 1 then concat('mpa: ', p_brand) else 'none' end"), "mpainv_site_id").alias("n"), T.prefix_id(F.concat(F.lit("MPAINV:AK"), "p_partkey", F.lit(":part")), "mpainv_site_id").alias("o")), "select p_partkey, case when p_partkey % 3 = 0 then cast(p_partkey as varchar) end m, case when p_partkey % 3 = 1 then p_brand end n, 'AK' || p_partkey || ':part' o from part")
 _XW = lambda t: t.part.select(F.expr("case when p_partkey % 3 = 0 then concat('MRGID:', p_partkey) when p_partkey % 3 = 1 then concat('MPA:', p_partkey) else concat('X:', p_partkey) end").alias("place_id"), F.expr("case when p_partkey % 5 = 0 then '77.0' when p_partkey % 5 = 1 then '0' end").alias("m"))
-add("f9_crosswalk", lambda t: _XW(t).select("place_id", F.coalesce(T.clean_id("m"), T.prefix_id("place_id", "mrgid")).alias("mrgid"), T.prefix_id("place_id", "mpa").alias("mpa")).where("coalesce(mrgid, mpa) is not null"), "select * from (select case when p_partkey % 3 = 0 then 'MRGID:' || p_partkey when p_partkey % 3 = 1 then 'MPA:' || p_partkey else 'X:' || p_partkey end place_id, case when p_partkey % 5 = 0 then '77' when p_partkey % 3 = 0 then cast(p_partkey as varchar) end mrgid, case when p_partkey % 3 = 1 then cast(p_partkey as varchar) end mpa from part) where coalesce(mrgid, mpa) is not null")
+add("f9_crosswalk", lambda t: _XW(t).select("place_id", F.coalesce(T.clean_id("m"), T.prefix_id("place_id", "mrgid")).alias("mrgid"), T.prefix_id("place_id", "mpainv_site_id").alias("mpa")).where("coalesce(mrgid, mpa) is not null"), "select * from (select case when p_partkey % 3 = 0 then 'MRGID:' || p_partkey when p_partkey % 3 = 1 then 'MPA:' || p_partkey else 'X:' || p_partkey end place_id, case when p_partkey % 5 = 0 then '77' when p_partkey % 3 = 0 then cast(p_partkey as varchar) end mrgid, case when p_partkey % 3 = 1 then cast(p_partkey as varchar) end mpa from part) where coalesce(mrgid, mpa) is not null")
 add("f10_keywords", lambda t: t.part.select("p_partkey", T.keywords([F.split_part("p_type", F.lit(" "), F.lit(1)), F.col("p_brand"), F.col("p_brand")], F.col("p_type")).alias("v")), "select p_partkey, p_brand v from part")
 add("f11_place_link", lambda t: t.customer.withColumn("u", F.expr("case when c_custkey % 3 = 0 then null when c_custkey % 3 = 1 then 'bad path' else 'ok' end")).select("c_custkey", T.place_link("https://x.test/{u}/{c_custkey}", {"u": F.col("u"), "c_custkey": F.col("c_custkey")}).alias("v")), "select c_custkey, case when c_custkey % 3 = 2 then 'https://x.test/ok/' || c_custkey end v from customer")
 add("f12_squash", lambda t: t.customer.select("c_custkey", T.squash(F.concat(F.lit("  a \t b "), "c_mktsegment", F.lit("\n"))).alias("v"), T.squash(F.lit("  ")).alias("w")), "select c_custkey, 'a b ' || c_mktsegment v, cast(null as varchar) w from customer")
@@ -107,7 +120,7 @@ add("o1_morton_order", lambda t: t.fx_box.withColumn("wide", ((F.col("xmax") - F
 add("o2_id_order", lambda t: t.fx_name.orderBy("place_id").select("place_id", "name"), "select place_id, name from fx_name order by place_id")
 _SORT = lambda d: Window.partitionBy("class").orderBy(F.col("eov").asc_nulls_last() if d == "asc" else F.col("eov").desc_nulls_last(), F.desc("aphiaid"), "species")
 add("o3_sort_species", lambda t: t.fx_lookup.select("aphiaid", F.row_number().over(_SORT("asc")).alias("up"), F.row_number().over(_SORT("desc")).alias("down")), "select aphiaid, row_number() over (partition by class order by eov asc nulls last, aphiaid desc, species) up, row_number() over (partition by class order by eov desc nulls last, aphiaid desc, species) down from fx_lookup")
-add("o4_natural_order", lambda t: t.fx_species.where("place_id = 'SUP:3'").orderBy(F.desc("n"), "aphiaid"), "select * from fx_species where place_id = 'SUP:3' order by n desc, aphiaid")
+add("o4_natural_order", lambda t: t.fx_species.withColumn("turn", F.row_number().over(Window.partitionBy("place_id").orderBy(F.desc("n"), "aphiaid"))).select("place_id", "aphiaid", "turn"), "select place_id, aphiaid, row_number() over (partition by place_id order by n desc, aphiaid) turn from fx_species")
 add("o5_top_n", lambda t: R.top_n(t.fx_listing, 50, F.desc("size"), F.col("page_id")).select("page_id", "size").crossJoin(t.fx_listing.agg(F.count("*").alias("total"))), "select page_id, size, (select count(*) from fx_listing) total from fx_listing order by size desc, page_id limit 50")
 add("o6_search_limit", lambda t: R.top_n(t.fx_name.where(R.matches_text(F.col("name"), "an i")), 12, F.col("collection"), F.col("k")).select("place_id"), "select place_id from fx_name where contains(lower(name), 'an') and contains(lower(name), 'i') order by collection, k limit 12")
 
@@ -116,6 +129,6 @@ add("u1_union_sources", lambda t: R.union_sources({"s": t.supplier.select(F.col(
 add("u2_except_keys", lambda t: R.except_keys(t.customer.select(F.col("c_custkey").alias("k")), t.orders.select(F.col("o_custkey").alias("k")), "k"), "select c_custkey k from customer except select o_custkey from orders")
 add("u3_intersect_keys", lambda t: R.intersect_keys(t.customer.select(F.col("c_custkey").alias("k")), t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), "k"), "select c_custkey k from customer intersect select o_custkey from orders where o_orderstatus = 'F'")
 add("u4_distinct_colls", lambda t: t.part.select("p_partkey", F.array_join(R.distinct_in_order(F.col("p_brand"), F.expr("case when p_size % 2 = 0 then p_brand end"), F.expr("case when p_size % 3 = 0 then 'X' end")), ",").alias("v")), "select p_partkey, p_brand || case when p_size % 3 = 0 then ',X' else '' end v from part")
-add("u5_retire", lambda t: R.retire(t.nation.select(F.col("n_name").alias("slug")), t.supplier.where("s_suppkey < 8").select(F.expr("case when s_suppkey % 4 = 0 then concat('no-', s_suppkey) else null end").alias("slug")).where("slug is not null").unionByName(t.nation.where("n_nationkey % 6 = 0").select(F.col("n_name").alias("slug")))), "select n_name slug, case when n_nationkey % 6 = 0 then 'retired' else 'kept' end state from nation union all select 'no-' || s_suppkey, 'unknown' from supplier where s_suppkey < 8 and s_suppkey % 4 = 0")
+add("u5_retire", lambda t: R.retire(t.nation.select(F.col("n_name").alias("slug")), t.supplier.select(F.expr("case when s_suppkey % 4 = 0 then concat('no-', s_suppkey) else null end").alias("slug")).where("slug is not null").unionByName(t.nation.where("n_nationkey % 6 = 0").select(F.col("n_name").alias("slug")))), "select n_name slug, case when n_nationkey % 6 = 0 then 'retired' else 'kept' end state from nation union all select 'no-' || s_suppkey, 'unknown' from supplier where s_suppkey % 4 = 0")
 add("u6_distinct_providers", lambda t: t.nation.select("n_nationkey", F.array_join(R.distinct_providers(F.expr("array(named_struct('name', n_name, 'roles', array('producer')), named_struct('name', 'host', 'roles', array('host')), named_struct('name', n_name, 'roles', array('licensor')), named_struct('name', 'L', 'roles', array('licensor', 'host')))"), ["producer", "licensor"]), "; ").alias("v")), "select n_nationkey, n_name || '; L' v from nation")
 add("s4_event_log", lambda t: t.fx_event.select("k", "seq", F.expr("case when seq % 7 = 0 then substr(d, 1, 4) when seq % 11 = 0 then '2024-1' else d end").alias("date"), "status", F.expr("case when seq % 13 = 0 then '' else source end").alias("source")).withColumn("problem", F.when(~T.valid_partial_date("date"), "date").when(~F.col("source").startswith("http"), "source")).groupBy("problem").agg(F.count("*").alias("n")), "select case when seq % 7 <> 0 and seq % 11 = 0 then 'date' when seq % 13 = 0 then 'source' end problem, count(*) n from fx_event group by 1")
