@@ -1 +1 @@
-"""terrane: Spark-native analytics over tables of places and the data attached to them."""
+"""terrane: Spark-native analytics over tables of sites and the data attached to them."""

@@ -80,7 +80,7 @@ def cell_at(row: Column, column: Column, ncol: int, res: float, tile_deg: float)
 
 
 def spread_bits(x: Column) -> Column:
-    """16 bits spread to the even places of 32."""
+    """16 bits spread to the even sites of 32."""
     x = x.cast("bigint")
     for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
         x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))

@@ -17,7 +17,8 @@ PLACEHOLDER = r"^(no common name|unnamed|unknown|no name|n/?a)\b"
 #: Crosswalk column and id pattern by id prefix.
 ID_PREFIXES = {"MRGID": ("mrgid", r"^(\d+)"), "PSGID": ("psgid", r"^(.+)$"), "MPAINV": ("mpainv_site_id", r"^(.+)$"), "MPA": ("mpainv_site_id", r"^(.+)$")}
 #: Which copy of a place search shows first, by collection.
-SEARCH_RANKS = {"mpa_inventory": 1, "noaa_hapc": 1, "places": 2}
+SEARCH_RANKS = {"mpa_inventory": 1, "noaa_hapc": 1}
+OWN_RANK = 2
 SEARCH_RANK_PREFIXES = {"protectedseas_": 1}
 #: Group names.
 GROUP_LABELS = {
@@ -235,9 +236,10 @@ def kind_of_all(kinds: Column) -> Column:
     return F.when(F.size(distinct) > 1, "mixed").otherwise(F.get(distinct, F.lit(0)))
 
 
-def search_rank(slug_: Column | str) -> Column:
+def search_rank(slug_: Column | str, own: str | None = None) -> Column:
+    """The collection's place among copies of one site; ``own`` is the slug of the catalogue's own collection."""
     s = col(slug_)
-    out = F.lit(0)
+    out = F.lit(0) if own is None else F.when(s == own, OWN_RANK).otherwise(F.lit(0))
     for prefix, rank in SEARCH_RANK_PREFIXES.items():
         out = F.when(s.startswith(prefix), rank).otherwise(out)
     for name, rank in SEARCH_RANKS.items():

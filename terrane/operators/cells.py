@@ -1,4 +1,4 @@
-"""Coverage of places by grid cells: shares of cells inside places, hierarchical membership, cell lists of a regular grid."""
+"""Coverage of sites by grid cells: shares of cells inside sites, hierarchical membership, cell lists of a regular grid."""
 
 from __future__ import annotations
 
@@ -13,9 +13,9 @@ from terrane.operators.overlap import min_integral, points_in_polygons, polygon_
 TOLERANCE = 1e-9
 
 
-def cell_shares(places: DataFrame, cells: DataFrame) -> DataFrame:
+def cell_shares(sites: DataFrame, cells: DataFrame) -> DataFrame:
     """(place_id, cell, share): the share of each cell's area inside each place, for any cells given as edges."""
-    p, c = equal_area(places), equal_area(cells)
+    p, c = equal_area(sites), equal_area(cells)
     areas = c.groupBy("place_id").agg((F.sum((F.col("xa") - F.col("xb")) * (F.col("ya") + F.col("yb"))) / 2).alias("size")).withColumnRenamed("place_id", "b_id")
     both = polygon_overlap(p, c, tolerance=TOLERANCE).join(areas, "b_id")
     return both.select(F.col("a_id").alias("place_id"), F.col("b_id").alias("cell"), F.least(F.lit(1.0), F.col("area") / F.col("size")).alias("share"))
@@ -107,7 +107,7 @@ def share_audit(membership: DataFrame, e: DataFrame) -> DataFrame:
 def place_cells(e: DataFrame, x0: float, y0: float, res: float, ncol: int, nrow: int, tile_deg: float, most: int = 200_000) -> DataFrame:
     """(place_id, cell, tile, listed): cells of a regular grid whose centre is inside; a part without any counts the cell under its box's centre.
 
-    Longitudes past 180 wrap. ``listed`` is false for places with more than ``most`` cells.
+    Longitudes past 180 wrap. ``listed`` is false for sites with more than ``most`` cells.
     """
     parts = e.withColumn("place_id", F.concat_ws("#", "place_id", F.col("part").cast("string")))
     box = bounds(parts.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y")))

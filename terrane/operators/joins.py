@@ -68,7 +68,7 @@ def assign_indicator(zones: DataFrame, latest: DataFrame) -> DataFrame:
     return d.select("zone_id", hit["yr"].alias("yr"), hit["val"].alias("val"), F.when(ok & F.col("a").isNotNull(), "territory").when(ok & F.col("b").isNotNull(), "sovereign").alias("basis"))
 
 
-# same places ----
+# same sites ----
 def same_place(a: str, b: str, least_iou: float = 0.8, tolerance: float = 1e-3) -> Column:
     """Whether two index rows (aliases) of one kind cover the same ground: boxes by overlap, points by position."""
     box = lambda x: B.box(*[F.col(f"{x}.{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
@@ -109,7 +109,7 @@ def same_name_pairs(index: DataFrame, cell: float = 2.0) -> DataFrame:
 
 
 # layers ----
-def layers_covering(places: DataFrame, layers: DataFrame, cell: float = 60.0) -> DataFrame:
+def layers_covering(sites: DataFrame, layers: DataFrame, cell: float = 60.0) -> DataFrame:
     """(place_id, layer, global, place): layers whose box meets the place's, by source, global ones last, then in order.
 
     Both have (xmin, ymin, xmax, ymax); layers also (layer, source_rank, seq). Boxes meet in shared longitude cells.
@@ -117,16 +117,16 @@ def layers_covering(places: DataFrame, layers: DataFrame, cell: float = 60.0) ->
     n = round(360 / cell)
     cells = lambda b: F.explode(F.array_distinct(F.transform(F.sequence(F.floor(b["xmin"] / cell), F.floor(F.least(F.when(b["xmin"] <= b["xmax"], b["xmax"]).otherwise(b["xmax"] + 360), b["xmin"] + 359.999) / cell)), lambda c: F.pmod(c, F.lit(n)))))
     box = B.box(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
-    p = places.select("place_id", box.alias("pb")).withColumn("cell", cells(F.col("pb")))
+    p = sites.select("place_id", box.alias("pb")).withColumn("cell", cells(F.col("pb")))
     q = layers.select("layer", "source_rank", "seq", box.alias("lb"), B.is_global(box).alias("global")).withColumn("cell", cells(F.col("lb")))
     hits = p.join(q, "cell").where(B.meet(F.col("pb"), F.col("lb"))).select("place_id", "layer", "source_rank", "seq", "global").distinct()
     order = Window.partitionBy("place_id").orderBy("source_rank", F.col("global").cast("int"), "seq")
     return hits.select("place_id", "layer", "global", F.row_number().over(order).alias("place"))
 
 
-def layer_for_place(places: DataFrame, layers: DataFrame) -> DataFrame:
+def layer_for_place(sites: DataFrame, layers: DataFrame) -> DataFrame:
     """One layer per place: of its collection, else of its authority (its own place type first), else the first of all."""
-    exact = places.join(layers.select(F.col("collection"), F.col("layer").alias("own")), "collection", "left")
+    exact = sites.join(layers.select(F.col("collection"), F.col("layer").alias("own")), "collection", "left")
     by_auth = layers.groupBy("authority", "place_type").agg(F.min(F.struct("seq", "layer")).alias("typed"))
     any_auth = layers.groupBy("authority").agg(F.min(F.struct("seq", "layer")).alias("any"))
     first = layers.agg(F.min(F.struct("seq", "layer")).alias("first"))
@@ -185,7 +185,7 @@ def then_vs_now(values: DataFrame, keys: list[str], years: int = 8) -> DataFrame
 
 
 # search and sets ----
-def search_places(index: DataFrame, hit: Column) -> DataFrame:
+def search_sites(index: DataFrame, hit: Column) -> DataFrame:
     """Hits, one per group of copies: the copy whose collection ranks first, the others in ``also``."""
     group = F.coalesce("group_id", F.concat_ws("/", "collection", "place_id"))
     rank = F.struct(search_rank("collection").alias("rank"), F.col("collection"), F.col("place_id"))
@@ -199,9 +199,9 @@ def values_index(coverage: DataFrame, manifest: DataFrame) -> DataFrame:
     return seen
 
 
-def set_membership(places: DataFrame, sets: DataFrame) -> DataFrame:
+def set_membership(sites: DataFrame, sets: DataFrame) -> DataFrame:
     """(place_id, set_id): sets any of whose groups is among the place's collections."""
-    p = places.select("place_id", F.explode("colls").alias("g"))
+    p = sites.select("place_id", F.explode("colls").alias("g"))
     return p.join(sets.select("set_id", F.explode("groups").alias("g")), "g").select("place_id", "set_id").distinct()
 
 

@@ -82,7 +82,7 @@ def matches_ids(c: Column, patterns: list[str]) -> Column:
 
 
 def over_budget(df: DataFrame, cell: float, per_part: int, total: int) -> DataFrame:
-    """Places whose boxes need too many grid cells, for one part or in all. ``df`` has (place_id, xmin, ymin, xmax, ymax)."""
+    """Sites whose boxes need too many grid cells, for one part or in all. ``df`` has (place_id, xmin, ymin, xmax, ymax)."""
     cells = F.ceil((F.col("xmax") - F.col("xmin")) / cell) * F.ceil((F.col("ymax") - F.col("ymin")) / cell)
     sums = df.groupBy("place_id").agg(F.sum(cells).alias("cells"), F.max(cells).alias("largest"))
     return sums.withColumn("over", (F.col("cells") > total) | (F.col("largest") > per_part))

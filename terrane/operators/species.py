@@ -1,4 +1,4 @@
-"""Species summaries of places: names merged over ids, groups, subtrees, decades, suitability in cells."""
+"""Species summaries of sites: names merged over ids, groups, subtrees, decades, suitability in cells."""
 
 from __future__ import annotations
 
@@ -54,16 +54,16 @@ def species_counts(merged: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def counts_check(counts: DataFrame, summary: DataFrame) -> DataFrame:
-    """Places whose list and summary disagree."""
+    """Sites whose list and summary disagree."""
     return counts.join(summary, "place_id").where("all_names != sp").select("place_id", "all_names", "sp")
 
 
 def group_chips(listed: DataFrame, selected: str, order: list[str]) -> DataFrame:
     """Names by group with a total first; the selected group stays at 0; equal counts in the fixed order, then by name."""
-    places = listed.select("place_id").distinct().withColumn("eov", F.lit(selected))
+    sites = listed.select("place_id").distinct().withColumn("eov", F.lit(selected))
     counts = listed.where("coalesce(eov, '') != ''").groupBy("place_id", "eov").agg(F.count("*").alias("n"))
     total = listed.groupBy("place_id").agg(F.count("*").alias("n")).select("place_id", F.lit("all").alias("eov"), "n")
-    every = counts.join(places, ["place_id", "eov"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
+    every = counts.join(sites, ["place_id", "eov"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
     fixed = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, order)), F.col("eov")), F.lit(0)), F.lit(len(order) + 1))
     w = Window.partitionBy("place_id").orderBy((F.col("eov") != "all").cast("int"), F.desc("n"), fixed, "eov")
     return total.unionByName(every).select("place_id", "eov", "n", F.row_number().over(w).alias("place"))

@@ -31,10 +31,10 @@ _DIR_SQL = """select directory, count(*) objects, cast(sum(size) as bigint) byte
   from (select string_split(regexp_replace(key, '[?#].*$', ''), '/') st, size, cast(date '2024-01-01' + cast(page_id % 300 as integer) as date) modified from fx_listing)) group by 1"""
 add("a10_directory_rollup", lambda t: A.directory_rollup(_LIST(t)), _DIR_SQL)
 add("b10_storage_report", lambda t: A.directory_rollup(_LIST(t)).withColumn("gate", T.access_class(F.col("directory"))["gate"]).withColumn("label", T.size_label(F.col("bytes"))).orderBy(F.desc("bytes"), "directory").limit(40).select("directory", "objects", "gate", "label"), f"select directory, objects, case when split_part(directory, '/', 1) in ('internal', 'private') then 'key' else 'open' end gate, case when bytes >= 1e6 then printf('%.1f MB', round(bytes / 1e6, 1)) when bytes >= 1e3 then printf('%.1f kB', round(bytes / 1e3, 1)) else cast(bytes as varchar) || ' B' end label from ({_DIR_SQL}) order by bytes desc, directory limit 40")
-add("a11_collection_counts", lambda t: A.collection_counts(t.fx_index), "select collection, count(*) places, count(name) named, count(distinct place_id) ids from fx_index group by 1")
+add("a11_collection_counts", lambda t: A.collection_counts(t.fx_index), "select collection, count(*) sites, count(name) named, count(distinct place_id) ids from fx_index group by 1")
 add("a11_shared_ids", lambda t: A.shared_ids(t.fx_name.withColumn("place_id", F.col("k"))), "select k place_id, count(distinct collection) collections from fx_name group by k having count(distinct collection) > 1")
 add("a12_infer_types", lambda t: A.infer_types(t.part.withColumn("mixed", F.expr("case when p_size = 3 then 'x' else '7' end")).withColumn("nothing", F.lit(None).cast("string")), ["p_partkey", "p_retailprice", "p_name", "mixed", "nothing"]), "select * from (values ('p_partkey', 'int'), ('p_retailprice', 'float'), ('p_name', 'string'), ('mixed', 'string'), ('nothing', 'string')) v(\"column\", \"type\")")
-add("a13_content_checksum", lambda t: A.content_checksum(t.supplier.select("s_nationkey", "s_suppkey", "s_name"), "s_nationkey", "s_suppkey"), "select s_nationkey, sha256(string_agg(sha256(s_nationkey || '|' || s_suppkey || '|' || s_name), '' order by s_suppkey)) checksum from supplier group by 1")
+add("a13_content_checksum", lambda t: A.content_checksum(t.supplier.select("s_nationkey", "s_suppkey", "s_name"), "s_nationkey"), "select s_nationkey, sha256(cast(sum(cast(cast(('0x' || substring(h, 1, 15)) as bigint) as hugeint)) as varchar) || '|' || cast(sum(cast(cast(('0x' || substring(h, 16, 15)) as bigint) as hugeint)) as varchar) || '|' || cast(sum(cast(cast(('0x' || substring(h, 31, 15)) as bigint) as hugeint)) as varchar) || '|' || cast(sum(cast(cast(('0x' || substring(h, 46, 15)) as bigint) as hugeint)) as varchar)) checksum from (select s_nationkey, sha256(s_nationkey || '|' || s_suppkey || '|' || s_name) h from supplier) group by 1")
 add("a14_empties", lambda t: A.empties(t.customer.withColumn("a", F.expr("case when c_custkey % 3 = 0 then ' ' when c_custkey % 3 = 1 then null else 'x' end")), ["a", "c_mktsegment"]), "select 'a' as rule, count(*) filter (where c_custkey % 3 <> 2) n from customer union all select 'c_mktsegment', 0")
 add("a14_problems", lambda t: A.problems(t.lineitem, {"no_discount": F.col("l_discount") == 0, "late": F.year("l_shipdate") > 1997, "high": F.col("l_quantity") > 45}), "select 'no_discount' as rule, count(*) filter (where l_discount = 0) n from lineitem union all select 'late', count(*) filter (where year(l_shipdate) > 1997) from lineitem union all select 'high', count(*) filter (where l_quantity > 45) from lineitem")
 add("a15_duplicate_ids", lambda t: R.duplicate_ids(t.orders.select(F.col("o_custkey").alias("place_id"))), "select o_custkey place_id, count(*) n from orders group by 1 having count(*) > 1")
@@ -57,9 +57,9 @@ add("a24_expected_count", lambda t: A.expected_count(t.customer, "c_nationkey",
 add("a25_provenance", lambda t: A.provenance(t.supplier.select("s_nationkey", F.col("s_suppkey").alias("source_no"), F.concat(F.lit("u/"), "s_name").alias("url"), F.expr("case when s_suppkey % 2 = 0 then ' ' else 'x' end").alias("extra"), F.col("s_suppkey").alias("n")), "s_nationkey"), "select s_nationkey, '[' || string_agg('{\"source_no\":' || s_suppkey || ',\"url\":\"u/' || s_name || '\"' || case when s_suppkey % 2 = 0 then '' else ',\"extra\":\"x\"' end || ',\"n\":' || s_suppkey || '}', ',' order by s_suppkey) || ']' sources, cast(sum(s_suppkey) as bigint) as rows from supplier group by 1")
 
 # sources and sinks ----
-add("s6_read_places", lambda t: t.fx_index.select(R.pick_col(t.fx_index, ["PLACE_ID"]).alias("place_id"), R.pick_col(t.fx_index, ["area_km2"]).alias("area_km2"), R.pick_col(t.fx_index, ["Name"]).alias("name")), "select place_id, cast(null as varchar) area_km2, name from fx_index")
+add("s6_read_sites", lambda t: t.fx_index.select(R.pick_col(t.fx_index, ["PLACE_ID"]).alias("place_id"), R.pick_col(t.fx_index, ["area_km2"]).alias("area_km2"), R.pick_col(t.fx_index, ["Name"]).alias("name")), "select place_id, cast(null as varchar) area_km2, name from fx_index")
 add("s9_read_listing", lambda t: _LIST(t).groupBy(F.regexp_extract("key", r"\.([a-z]+)/", 1).alias("domain")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "select regexp_extract(regexp_replace(key, '[?#].*$', ''), '\\.([a-z]+)/', 1) as domain, count(*) n, cast(sum(size) as bigint) bytes from fx_listing group by 1")
-add("s12_membership_layout", lambda t: W.membership_manifest(t.lineitem.select(F.col("l_suppkey").alias("place_id"), F.expr("l_linenumber").alias("res"), F.expr("l_orderkey % 7").alias("parent"))), "select l_linenumber res, l_orderkey % 7 parent, count(*) as rows, count(distinct l_suppkey) places from lineitem group by 1, 2")
+add("s12_membership_layout", lambda t: W.membership_manifest(t.lineitem.select(F.col("l_suppkey").alias("place_id"), F.expr("l_linenumber").alias("res"), F.expr("l_orderkey % 7").alias("parent"))), "select l_linenumber res, l_orderkey % 7 parent, count(*) as rows, count(distinct l_suppkey) sites from lineitem group by 1, 2")
 add("s13_feature_ndjson", lambda t: W.feature_lines(t.fx_point.select("point_id", F.expr("case when point_id % 2 = 0 then 'even' end").alias("kind"), F.expr("concat('{\"type\":\"Point\",\"coordinates\":[', cast(point_id as string), ',0]}')").alias("geometry")), ["point_id", "kind"]), "select '{\"type\":\"Feature\",\"properties\":{\"point_id\":' || point_id || case when point_id % 2 = 0 then ',\"kind\":\"even\"' else '' end || '},\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || point_id || ',0]}}' line from fx_point")
 add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank("collection")), None)
 add("s15_export_values", lambda t: W.export_values(t.fx_value.withColumnRenamed("t", "time").withColumnRenamed("v", "value").withColumn("sd", F.lit(None).cast("double")).withColumn("unit", F.lit("m, deep")), "SUP:11", "suppliers.parquet"), "select 'SUP:11,suppliers,' || indicator || ',month,' || strftime(t, '%Y-%m-%d') || ',' || class || ',' || n || ',,\"m, deep\",suppliers.parquet' line from fx_value where place_id = 'SUP:11'")
@@ -72,7 +72,7 @@ _B_EVENTS = lambda t: t.fx_event.select(F.col("k").alias("key"), F.col("d").alia
 _BUILT_SQL = "(select s_suppkey, case rk when 1 then nk when 2 then nk || ':zone' else nk || ':zone-' || (rk - 1) end unique_id, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') as name, s_acctbal \"Name_src\", coalesce(e.status, 'designated') status from (select *, 'NAT:' || s_nationkey nk, row_number() over (partition by s_nationkey order by s_suppkey) rk from supplier where s_suppkey % 6 <> 0) left join (select *, row_number() over (partition by k order by d desc, seq desc) r from fx_event) e on e.k = s_suppkey and e.r = 1)"
 add("b1_build_collection", lambda t: _BUILT(t).select("s_suppkey", "unique_id", "name", "Name_src", "status"), f"select * from {_BUILT_SQL}")
 add("b2_check_collection", lambda t: A.problems(_BUILT(t), {"bad_id": ~R.matches_ids(F.col("unique_id"), [r"NAT:\d+(:zone(-\d+)?)?"]), "no_name": F.col("name") == "", "suffixed": F.col("unique_id").contains(":zone"), "negative": F.col("Name_src") < 0}), f"select 'bad_id' as rule, 0 n union all select 'no_name', 0 union all select 'suffixed', count(*) from {_BUILT_SQL} where contains(unique_id, ':zone') union all select 'negative', count(*) from {_BUILT_SQL} where \"Name_src\" < 0")
-add("b3_build_index", lambda t: t.fx_index.where("geom_type = 'Polygon'").groupBy("collection").agg(F.count("*").alias("places"), F.round(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))), 4).alias("area")).join(A.union_bbox(t.fx_index.select("collection", "xmin", "ymin", "xmax", "ymax"), "collection"), "collection"), "with a as (select collection, count(*) places, round(sum((xmax - xmin) * (ymax - ymin)), 4) area from fx_index where geom_type = 'Polygon' group by 1), b as (select collection, min(xmin) xmin, min(ymin) ymin, max(xmax) xmax, max(ymax) ymax from fx_index group by 1) select * from a join b using (collection)")
+add("b3_build_index", lambda t: t.fx_index.where("geom_type = 'Polygon'").groupBy("collection").agg(F.count("*").alias("sites"), F.round(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))), 4).alias("area")).join(A.union_bbox(t.fx_index.select("collection", "xmin", "ymin", "xmax", "ymax"), "collection"), "collection"), "with a as (select collection, count(*) sites, round(sum((xmax - xmin) * (ymax - ymin)), 4) area from fx_index where geom_type = 'Polygon' group by 1), b as (select collection, min(xmin) xmin, min(ymin) ymin, max(xmax) xmax, max(ymax) ymax from fx_index group by 1) select * from a join b using (collection)")
 add("b4_layers_manifest", lambda t: J.attach_if_current(t.nation.select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), T.search_rank("n_name").alias("search_rank"), T.citation(F.lit(None).cast("string"), F.lit("By us."), F.initcap("n_name"), F.lit("1"), F.lit(2024)).alias("citation")), t.supplier.groupBy(F.col("s_nationkey").alias("n")).agg(F.count("*").alias("rows")).join(t.nation, F.expr("n = n_nationkey")).select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), "rows")).select("slug", "search_rank", "rows"), "select n_name slug, 0 search_rank, r as rows from nation left join (select s_nationkey, count(*) r from supplier group by 1) on s_nationkey = n_nationkey")
 _CONTRIB = lambda t: t.customer.select(F.col("c_custkey").alias("id"), F.expr("case when c_custkey % 4 = 0 then null else c_mktsegment end").alias("name"), F.expr("case when c_custkey % 3 = 0 then 'all rights' else 'CC-BY-4.0' end").alias("license"), F.expr("case when c_custkey % 5 = 0 then 'ftp://x' else 'https://x.test' end").alias("source_url"), F.expr("case when c_custkey % 2 = 0 then '0000-0002-1825-0097' else '0000' end").alias("orcid"))
 add("b6_validate_contributions", lambda t: _CONTRIB(t).select("id", F.array_compact(F.array(F.when(F.col("name").isNull(), F.lit("name")), F.when(~F.col("license").startswith("CC"), F.lit("license")), F.when(~T.orcid_valid("orcid"), F.lit("orcid")))).alias("errors"), F.array_compact(F.array(F.when(~F.col("source_url").startswith("http"), F.lit("source_url")))).alias("warnings")).select("id", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), (F.size("errors") == 0).alias("ok")), "select c_custkey id, coalesce(concat_ws(',', case when c_custkey % 4 = 0 then 'name' end, case when c_custkey % 3 = 0 then 'license' end, case when c_custkey % 2 = 1 then 'orcid' end), '') errors, case when c_custkey % 5 = 0 then 'source_url' else '' end warnings, c_custkey % 4 <> 0 and c_custkey % 3 <> 0 and c_custkey % 2 = 0 ok from customer")

@@ -65,7 +65,7 @@ add("m1_cell_shares", lambda t: C.cell_shares(_SPLIT(t), G.edges(_RECT(t))).wher
 add("m2_grid_membership", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", "ix", "iy", F.round("share", 6).alias("share")), f"with {_KEPT_SQL} select place_id, ix, iy, round(share, 6) share from kept")
 add("m3_keep_rule", lambda t: C.grid_membership(_SPLIT(t), _RES, 0.5, 2.0).where(f"res = {_RES}").groupBy("place_id").agg(F.count("*").alias("n")), f"with {_cells_sql(_RES)} select place_id, count(*) n from sh where share >= 5e-1 group by 1")
 add("m4_membership_parent", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", "ix", "iy", C.membership_parent(F.col("res"), F.col("ix"), F.col("iy"), 2).alias("parent")), f"with {_KEPT_SQL} select place_id, ix, iy, (cast({_RES - 2} as bigint) << 56) | (cast(ix // 4 as bigint) << 28) | cast(iy // 4 as bigint) parent from kept")
-add("m5_membership_manifest", lambda t: _MEMBERS(t).where(f"res = {_RES}").groupBy(F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py")).agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("places")), f"with {_KEPT_SQL} select ix // 4 px, iy // 4 py, count(*) as rows, count(distinct place_id) places from kept group by 1, 2")
+add("m5_membership_manifest", lambda t: _MEMBERS(t).where(f"res = {_RES}").groupBy(F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py")).agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("sites")), f"with {_KEPT_SQL} select ix // 4 px, iy // 4 py, count(*) as rows, count(distinct place_id) sites from kept group by 1, 2")
 add("m6_place_parents", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py")).distinct(), f"with {_KEPT_SQL} select distinct place_id, ix // 4 px, iy // 4 py from kept")
 _VALUES = lambda t: t.fx_point.select(F.lit(_RES).alias("res"), F.floor((F.col("lon") + 180) / _W).alias("ix"), F.floor((F.sin(F.radians("lat")) + 1) / _H).alias("iy"), "v").groupBy("res", "ix", "iy").agg(F.avg("v").alias("v"))
 add("m7_summarise_by_place", lambda t: C.summarise_by_place(_MEMBERS(t), _VALUES(t)).where(f"res = {_RES}").select("place_id", F.round("mean", 4).alias("mean"), F.round("total", 3).alias("total"), "cells"), f"with {_KEPT_SQL}, vv as (select floor((lon + 180) / {_W}) ix, floor((sin(radians(lat)) + 1) / {_H}) iy, avg(v) v from fx_point group by 1, 2) select place_id, round(sum(share * v) / sum(share), 4) mean, round(sum(share * v), 3) total, count(*) cells from kept join vv on vv.ix = kept.ix and vv.iy = kept.iy group by 1")

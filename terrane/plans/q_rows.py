@@ -90,7 +90,7 @@ add("f23_cells", lambda t: t.part.select("p_partkey", F.expr("(shiftleft(cast(7
 _SPREAD = "list_sum(list_transform(range(0, 16), lambda i: ((cast({0} as bigint) >> i) & 1) << (2 * i)))"
 add("f24_morton", lambda t: t.fx_point.select("point_id", B.morton(F.col("lon"), F.col("lat")).alias("z")), f"select point_id, cast({_SPREAD.format('floor((lon + 180e0) / 360e0 * 65536)')} + 2 * {_SPREAD.format('floor((lat + 90e0) / 180e0 * 65536)')} as bigint) z from fx_point")
 add("f25_geom_kind", lambda t: t.part.select("p_partkey", T.kind_of_all(F.array(F.expr("case when p_size % 2 = 0 then 'MultiPolygon' else 'Point' end"), F.expr("case when p_size % 3 = 0 then 'Polygon' else 'MultiPoint' end"))).alias("k")), "select p_partkey, case when p_size % 2 = 0 and p_size % 3 = 0 then 'polygon' when p_size % 2 = 1 and p_size % 3 <> 0 then 'point' else 'mixed' end k from part")
-add("f26_search_rank", lambda t: t.customer.select("c_custkey", T.search_rank(F.expr("case c_custkey % 4 when 0 then 'places' when 1 then 'protectedseas_mpa' when 2 then 'noaa_hapc' else c_mktsegment end")).alias("r")), "select c_custkey, case c_custkey % 4 when 0 then 2 when 1 then 1 when 2 then 1 else 0 end r from customer")
+add("f26_search_rank", lambda t: t.customer.select("c_custkey", T.search_rank(F.expr("case c_custkey % 4 when 0 then 'own' when 1 then 'protectedseas_mpa' when 2 then 'noaa_hapc' else c_mktsegment end"), "own").alias("r")), "select c_custkey, case c_custkey % 4 when 0 then 2 when 1 then 1 when 2 then 1 else 0 end r from customer")
 add("f27_station_key", lambda t: t.part.select("p_partkey", T.station_key(F.col("p_size") / 2, F.col("p_partkey") % 1000 / 2).alias("k")), "select p_partkey, printf('%05.1f', p_size / 2e0) || ' ' || printf('%05.1f', (p_partkey % 1000) / 2e0) k from part where true")
 add("f28_camera", lambda t: t.fx_box.select("place_id", B.camera(_BOX()).alias("c")).select("place_id", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"), F.round("c.zoom", 1).alias("zoom")), "select place_id, round((xmin + xmax) / 2, 6) lon, round((ymin + ymax) / 2, 6) lat, round(round(least(greatest(log2(least(720 / (xmax - xmin), 450 / ((ymax - ymin) / cos(radians((ymin + ymax) / 2))))), 0), 14), 2), 1) zoom from fx_box")
 add("f29_contributor_ids", lambda t: t.nation.select("n_nationkey", T.dir_to_id(F.concat(F.lit("OM-01-"), "n_name")).alias("id"), T.ulid_valid(F.expr("case when n_nationkey % 2 = 0 then '01ARZ3NDEKTSV4RRFFQ69G5FAV' else '81ARZ3NDEKTSV4RRFFQ69G5FAV' end")).alias("u"), T.orcid_valid(F.expr("case when n_nationkey % 2 = 0 then 'https://orcid.org/0000-0002-1825-0097' else '0000-0002-1825-0098' end")).alias("o")), "select n_nationkey, 'OM:01-' || n_name id, n_nationkey % 2 = 0 u, n_nationkey % 2 = 0 o from nation")

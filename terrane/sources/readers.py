@@ -88,7 +88,7 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return d.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def read_places(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_sites(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The named columns, ignoring case; those that a file lacks are null."""
     d = spark.read.parquet(path)
     have = {c.lower(): c for c in d.columns}

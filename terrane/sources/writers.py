@@ -1,4 +1,4 @@
-"""Sinks: places, membership, feature lines, value exports."""
+"""Sinks: sites, membership, feature lines, value exports."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from terrane.functions.text import csv_cell
 VALUE_COLUMNS = ("place_id", "coll", "indicator", "time_grain", "time", "class", "n", "sd", "unit")
 
 
-def write_places(df: DataFrame, path: str, order: str = "place_id", partitions: int = 8, group_bytes: int = 1 << 20) -> None:
+def write_sites(df: DataFrame, path: str, order: str = "place_id", partitions: int = 8, group_bytes: int = 1 << 20) -> None:
     """Range-partitioned and sorted by ``order`` with small row groups, so that a lookup by it reads few of them."""
     spread = df.repartitionByRange(partitions, order).sortWithinPartitions(order)
     spread.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", group_bytes).parquet(path)
@@ -23,7 +23,7 @@ def write_membership(df: DataFrame, path: str) -> None:
 
 
 def membership_manifest(df: DataFrame) -> DataFrame:
-    return df.groupBy("res", "parent").agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("places"))
+    return df.groupBy("res", "parent").agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("sites"))
 
 
 def place_parents(df: DataFrame) -> DataFrame:
@@ -46,4 +46,4 @@ def export_values(df: DataFrame, place_id: str, source: str) -> DataFrame:
 
 
 def write_index(df: DataFrame, path: str) -> None:
-    write_places(df, path, "place_id")
+    write_sites(df, path, "place_id")

@@ -51,10 +51,10 @@ def test_listing_has_sizes_only(spark, tmp_path):
     assert [r["size"] for r in readers.read_listing(spark, str(tmp_path)).collect()] == [5]
 
 
-def test_places_written_for_lookups(spark, tmp_path):
-    path = str(tmp_path / "places")
-    writers.write_places(spark.range(5000).select(F.format_string("P:%05d", "id").alias("place_id"), F.col("id").alias("Area")), path, partitions=4)
-    got = R.place_lookup(readers.read_places(spark, path, ["PLACE_ID", "area", "missing"]).withColumnRenamed("PLACE_ID", "place_id"), "P:00042")
+def test_sites_written_for_lookups(spark, tmp_path):
+    path = str(tmp_path / "sites")
+    writers.write_sites(spark.range(5000).select(F.format_string("P:%05d", "id").alias("place_id"), F.col("id").alias("Area")), path, partitions=4)
+    got = R.place_lookup(readers.read_sites(spark, path, ["PLACE_ID", "area", "missing"]).withColumnRenamed("PLACE_ID", "place_id"), "P:00042")
     assert [tuple(r) for r in got.collect()] == [("P:00042", 42, None)]
     assert "PushedFilters: [IsNotNull(place_id), EqualTo(place_id,P:00042)]" in got._jdf.queryExecution().toString()
 

@@ -23,9 +23,9 @@ def one(spark, column):
     return spark.range(1).select(column.alias("v")).first()["v"]
 
 
-def ring(spark, *places):
-    """Vertices of single-ring places: (id, points)."""
-    rows = [(p, 1, 0, i + 1, float(x), float(y)) for p, points in places for i, (x, y) in enumerate([*points, points[0]])]
+def ring(spark, *sites):
+    """Vertices of single-ring sites: (id, points)."""
+    rows = [(p, 1, 0, i + 1, float(x), float(y)) for p, points in sites for i, (x, y) in enumerate([*points, points[0]])]
     return spark.createDataFrame(rows, "place_id string, part int, ring int, seq int, x double, y double")
 
 
@@ -122,13 +122,13 @@ def test_unwrap_of_wrapped_is_the_ring(spark):
 
 def test_overlap_is_symmetric_and_own_area(spark):
     rng = random.Random(5)
-    places = []
+    sites = []
     for k in range(8):
         cx, cy = rng.uniform(-20, 20), rng.uniform(-20, 20)
         import math
 
-        places.append((f"p{k}", [(cx + rng.uniform(2, 9) * math.cos(a), cy + rng.uniform(2, 9) * math.sin(a)) for a in [i * math.tau / 9 for i in range(9)]]))
-    v = ring(spark, *places)
+        sites.append((f"p{k}", [(cx + rng.uniform(2, 9) * math.cos(a), cy + rng.uniform(2, 9) * math.sin(a)) for a in [i * math.tau / 9 for i in range(9)]]))
+    v = ring(spark, *sites)
     e = G.edges(v)
     got = {(r["a_id"], r["b_id"]): r["area"] for r in O.polygon_overlap(e, e).collect()}
     own = {r["place_id"]: r["area"] for r in G.area_plane(e).collect()}
@@ -144,7 +144,7 @@ def test_overlap_is_symmetric_and_own_area(spark):
                 hit = not hit
         return hit
 
-    at = dict(places)
+    at = dict(sites)
     (a, b), area = max(((k, v) for k, v in got.items() if k[0] < k[1]), key=lambda x: x[1])
     n = 40_000
     hits = sum(inside(at[a], x, y) and inside(at[b], x, y) for x, y in ((rng.uniform(-30, 30), rng.uniform(-30, 30)) for _ in range(n)))
