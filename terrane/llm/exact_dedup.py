@@ -6,7 +6,7 @@ adjacent names are paired and the pairs are named in the same way, until one nam
 contents, never hashes alone, so two texts have one identity exactly when they are equal.
 
 At scale: every text crosses the network once, as blocks. Before that, each task keeps one copy of a block with the
-list of its places, so a text that a third of all rows repeat reaches its bucket once for each batch of rows, not once
+list of its sites, so a text that a third of all rows repeat reaches its bucket once for each batch of rows, not once
 for each row. Each further level works on names only and has half the rows of the level before.
 
 Defined results: a null text counts as empty; texts are equal after each run of white space is made one space. Of equal
@@ -41,7 +41,7 @@ def normalised(text: str | None) -> bytes:
 
 
 def _blocks(size: int):
-    schema = pa.schema([("block", pa.binary()), ("places", pa.list_(_ARROW_PLACE))])
+    schema = pa.schema([("block", pa.binary()), ("sites", pa.list_(_ARROW_PLACE))])
 
     def cut(batches):
         for batch in slices(batches, "text", 4 << 20):
@@ -53,9 +53,9 @@ def _blocks(size: int):
                     first = at == 0
                     found.setdefault(whole[at * size : (at + 1) * size], []).append((row, at, n, doc if first else None, hashlib.sha256(whole).digest() if first else None))
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found.values()])))
-            flat = [x for places in found.values() for x in places]
-            places = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], f.type) for i, f in enumerate(_ARROW_PLACE)], fields=list(_ARROW_PLACE))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)], schema=schema)
+            flat = [x for sites in found.values() for x in sites]
+            sites = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], f.type) for i, f in enumerate(_ARROW_PLACE)], fields=list(_ARROW_PLACE))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), sites)], schema=schema)
 
     return tidy(cut)
 
@@ -69,8 +69,8 @@ def _named(df: DataFrame, *content: str) -> DataFrame:
 
 def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, ``n`` blocks, ``name`` and the text's SHA-256. (n, name) is the text's identity."""
-    blocks = with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_blocks(block), f"block binary, places array<{_PLACE}>")
-    named = stash(_named(blocks, "block").select("name", F.explode("places").alias("p")).select("p.row", "p.at", "p.n", "name", "p.id", "p.sha"), "blocks")
+    blocks = with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_blocks(block), f"block binary, sites array<{_PLACE}>")
+    named = stash(_named(blocks, "block").select("name", F.explode("sites").alias("p")).select("p.row", "p.at", "p.n", "name", "p.id", "p.sha"), "blocks")
     heads = named.where("at = 0").select("row", "n", F.col("id").alias("doc_id"), "sha", F.col("name").alias("only"))
     level = named.where("n > 1").select("row", "at", F.col("n").alias("left"), "name")
     done = None

@@ -18,7 +18,7 @@ alignments grow with the rows unless many unlinked texts of a bucket have like w
 the square of an unlinked bucket, in small steps. Text moves only for candidates.
 
 What can be missed: two texts that agree in no sketch. With k-mer similarity j a pair meets in one of 50 sketches with
-probability 1 - (1 - j^2)^50. A share s of words kept, at random places, leaves j = s^k / (2 - s^k): at 0.8, 0.344 for
+probability 1 - (1 - j^2)^50. A share s of words kept, at random sites, leaves j = s^k / (2 - s^k): at 0.8, 0.344 for
 three words and 0.47 for two, so 0.998 and over 0.9999.
 
 Defined results: a null text is empty; all texts without words are one class; a text of fewer words than a k-mer is one. Of a
@@ -92,18 +92,18 @@ def sketches(labelled: np.ndarray, counts: np.ndarray, n: int, taken: int) -> np
         at = np.flatnonzero(few)
         keyed, of = every[at], doc[at]
         first = np.searchsorted(of, np.arange(len(own)))
-        places = np.full((len(own), taken), np.iinfo(np.int64).max)
+        sites = np.full((len(own), taken), np.iinfo(np.int64).max)
         for t in range(taken):
             low = np.minimum.reduceat(keyed, first)
             hit = np.flatnonzero(keyed == low[of])
             hit = hit[np.concatenate(([True], of[hit][1:] != of[hit][:-1]))]
-            places[:, t] = np.where(own > t, at[hit], np.iinfo(np.int64).max)
+            sites[:, t] = np.where(own > t, at[hit], np.iinfo(np.int64).max)
             keyed[hit] = _TOP
-        places.sort(axis=1)
+        sites.sort(axis=1)
         for t in range(taken):
-            some = places[:, t] < np.iinfo(np.int64).max
+            some = sites[:, t] < np.iinfo(np.int64).max
             value = np.zeros(len(own), np.uint64)
-            value[some] = labelled[places[some, t]]
+            value[some] = labelled[sites[some, t]]
             out[:, i] = A.mixed(out[:, i] * np.uint64(A.BASES[0]) + value + np.uint64(1))
     return out
 
@@ -203,7 +203,7 @@ def _chain_cost(a: np.ndarray, b: np.ndarray, k: int, limit: int) -> int:
     band = np.abs(i - j) <= limit
     order = np.argsort(i[band])
     i, j = i[band][order], j[band][order]
-    if len(j) > 1 and (np.diff(j) < 0).any():  # longest increasing run of places
+    if len(j) > 1 and (np.diff(j) < 0).any():  # longest increasing run of sites
         tails, at, before = [], [], np.full(len(j), -1)
         for p, value in enumerate(j.tolist()):
             q = bisect_left(tails, value)

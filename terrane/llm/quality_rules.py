@@ -58,10 +58,10 @@ def statistics(docs: DataFrame) -> DataFrame:
     ranked = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     d = d.withColumn("ranked", F.when(F.col("repeats"), ranked)).drop("windows")
     is_like = lambda x, j: F.coalesce(F.get("ranked", j)["h"] == x["h"], F.lit(False))
-    places = F.array_sort(F.transform(F.filter("ranked", lambda x, j: is_like(x, j - 1) | is_like(x, j + 1)), lambda x: x["i"]))
-    d = d.withColumn("places", places).drop("ranked")
-    covered = F.aggregate("places", F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n")))
-    d = d.withColumn("n_repeat_words", F.when(F.col("repeats"), covered["n"]).otherwise(F.lit(0)).cast("long")).drop("places", "repeats")
+    sites = F.array_sort(F.transform(F.filter("ranked", lambda x, j: is_like(x, j - 1) | is_like(x, j + 1)), lambda x: x["i"]))
+    d = d.withColumn("sites", sites).drop("ranked")
+    covered = F.aggregate("sites", F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n")))
+    d = d.withColumn("n_repeat_words", F.when(F.col("repeats"), covered["n"]).otherwise(F.lit(0)).cast("long")).drop("sites", "repeats")
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     return d.withColumns({
         "mean_word": per("word_chars", "n_words"), "symbol_ratio": per("n_symbols", "n_words"), "dup_line_ratio": per("n_dup_lines", "n_lines"),

@@ -5,7 +5,7 @@ candidate's value is aggregated over the whole corpus by distinct repositories a
 many repositories hold is a widely copied example; one that few owners hold, in few repositories, looks live. Spans of the
 three base patterns always stay; a mixed token is reported (kind ``owned``) only if it overlaps no base span and its value is owner-specific.
 
-At scale: the text is read once, into a thin table of matches. Places come from running sums over the matches of a text,
+At scale: the text is read once, into a thin table of matches. Sites come from running sums over the matches of a text,
 so a text costs n log n in its matches. Frequencies aggregate (hash, owner, repository) with partial sums in each task, so
 one example in a third of all rows is one row per task; the join back by hash is left to the adaptive skew join.
 

@@ -44,9 +44,9 @@ def _seeds(texts: pa.Table, width: int, seed: int):
 
 
 def _distinct_seeds(at: np.ndarray, grams: np.ndarray):
-    """Distinct anchors' hashes, which of them each window has, and the marks of those at several places."""
-    places, back = np.unique(at, return_inverse=True)
-    values, place, count = A.unique(grams[places])
+    """Distinct anchors' hashes, which of them each window has, and the marks of those at several sites."""
+    sites, back = np.unique(at, return_inverse=True)
+    values, place, count = A.unique(grams[sites])
     return values, place[back] if len(at) else at, count > 1
 
 

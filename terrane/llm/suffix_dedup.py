@@ -50,10 +50,10 @@ class _Chunk:
         new[1:] = at[1:] != at[:-1]
         self.begin = np.flatnonzero(new)  # each anchor's first window
         self.anchor_of = np.cumsum(new) - 1
-        self.places = at[self.begin]
+        self.sites = at[self.begin]
         ids = texts.column("doc_id").to_numpy()
-        self.docs = ids[np.searchsorted(self.offsets, self.places, side="right") - 1] if len(self.places) else np.zeros(0, np.int64)
-        self.values, self.value_of, count = A.unique(grams[self.places] if len(self.places) else np.zeros(0, np.uint64))
+        self.docs = ids[np.searchsorted(self.offsets, self.sites, side="right") - 1] if len(self.sites) else np.zeros(0, np.int64)
+        self.values, self.value_of, count = A.unique(grams[self.sites] if len(self.sites) else np.zeros(0, np.uint64))
         if len(self.values):
             order = np.argsort(self.value_of, kind="stable")
             heads = np.concatenate(([0], np.cumsum(count)[:-1]))
@@ -65,10 +65,10 @@ class _Chunk:
     def contexts(self, repeated: np.ndarray):
         """For the anchors whose value is repeated: distinct contexts (with the span of their windows), smallest doc of each, its anchor's hash; the anchors and the context of each."""
         side = self.width - self.seed
-        pick = np.flatnonzero(repeated[self.value_of]) if len(self.places) else np.zeros(0, np.int64)
+        pick = np.flatnonzero(repeated[self.value_of]) if len(self.sites) else np.zeros(0, np.int64)
         ends = np.append(self.begin[1:], len(self.windows)) - 1
         low, high = (self.windows[x].astype(np.int32) for x in (self.begin[pick], ends[pick]))
-        at = self.places[pick]
+        at = self.sites[pick]
         where = (at - side).astype(np.int32)[:, None] + np.arange(self.width + side, dtype=np.int32)[None, :]
         needed = (where >= low[:, None]) & (where < (high + self.width)[:, None])
         rows = np.zeros((len(pick), self.width + side + 2), np.uint8)
@@ -189,13 +189,13 @@ def _remove(width: int, seed: int, buckets: int, with_text: bool):
         numbers = (values % np.uint64(buckets)).astype(np.int32)
         for b, blob in found.items():
             bits[numbers == b] = np.frombuffer(blob, np.uint64)
-        known = np.full(len(c.places), -1)
+        known = np.full(len(c.sites), -1)
         known[pick] = context
         which = known[c.anchor_of] if len(c.windows) else c.windows
         live = np.flatnonzero(which >= 0)
         start, which = c.windows[live], which[live]
         anchor = c.anchor_of[live]
-        left = (c.places[anchor] - start).astype(np.uint64)
+        left = (c.sites[anchor] - start).astype(np.uint64)
         gone = (c.docs[anchor] > smallest[which]) | ((bits[which] >> left) & np.uint64(1) > 0)
         cut = A.covered(start[gone], width, len(c.data))
         rows = []

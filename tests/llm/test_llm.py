@@ -204,14 +204,31 @@ def test_ownership_separates_examples(spark):
     assert all(got[i] == [] for i in (*range(6), 10))
 
 
+def test_repositories_count_and_many_matches_are_linear(spark):
+    value = "Zx9" + "aB3" * 7
+    rows = [(i, f"see {value} end", "en", "one owner", f"repo{i}") for i in range(6)] + [(9, " ".join("ab12" * 8 for _ in range(20_000)), "en", "o", "r")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, repo string")
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(d, "source", "repo").collect()}
+    assert all(got[i] == [] for i in range(6))
+    assert len(got[9]) == 20_000 and got[9][-1]["end"] == 20_000 * 33 - 1
+
+
 # 5 ----
-def test_language_accuracy(spark, sf):
-    held = language_id.identify(spark.read.parquet(f"{sf}/documents.parquet"), sample=120).where("declared = language or true")
-    n, right, kept = held.agg(F.count("*"), F.count_if(F.col("language") == F.col("declared")), F.count_if("kept")).first()
+def test_language_of_held_out_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    half = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).withColumn("source", F.lit(None).cast("string"))
+    held = language_id.identify(half).where("declared is null").join(docs.select("doc_id", "lang"), "doc_id")
+    n, right, kept = held.agg(F.count("*"), F.count_if(F.col("language") == F.col("lang")), F.count_if("kept")).first()
     assert right / n > 0.97
     assert kept == n
 
 
+def test_rare_language_is_a_class(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    few = docs.where("lang = 'en'").limit(60).unionByName(docs.where("lang = 'fr'").orderBy("doc_id").limit(5))
+    assert {r["language"] for r in language_id.identify(few).where("declared = 'fr'").collect()} == {"fr"}
+
+
 def test_language_fuses_evidence(spark, sf):
     base = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", F.concat("lang", F.lit(".example."), "lang").alias("host"))
     odd = spark.createDataFrame([(-1, "12 34", None, "fr.example.fr"), (-2, None, None, None), (-3, "\x01\x02\x03 \x04\x05\x06\x07 \x08\x0e\x0f\x10" * 30, None, None)], base.schema)
@@ -245,12 +262,31 @@ def test_lines_insert_and_delete(spark, odd):
     whole = line_dedup.build(frame(spark, odd))
     start = line_dedup.build(first)
     both = line_dedup.insert(start, second)
-    counts = lambda i: {r["digest"]: (r["n_docs"], r["first"]["doc"]) for r in i.counts.collect()}
+    counts = lambda i: {r["digest"]: (r["n_docs"], r["first"]) for r in i.counts.collect()}
     assert counts(both) == counts(whole)
     assert counts(line_dedup.delete(both, second.select("doc_id"))) == counts(start)
 
 
+def test_rows_of_one_document_keep_their_lines(spark):
+    d = spark.createDataFrame([(1, "same line here"), (1, "same line here"), (2, "same line here"), (None, "Same line here ")], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["n_dropped"]) for r in line_dedup.dedup(d).collect()) == [(0, 1), (1, 0), (1, 0), (2, 1)]
+
+
+# 9 ----
+def test_words_that_polynomials_confuse_differ(spark):
+    letters = "".join("ab"[i.bit_count() & 1] for i in range(1024))  # Thue-Morse: equal under any odd base modulo 2**64
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*words[:20], x, *words[20:]]) for x in (letters, letters.translate(str.maketrans("ab", "ba")))]
+    assert [r["n_removed"] for r in substring_dedup.repeats(frame(spark, texts)).collect()] == [0, 0]
+
+
 # 8 ----
+def test_mix_takes_clashing_columns(spark):
+    d = frame(spark, ["a b", "c d e", None]).withColumns({"times": F.lit("t"), "size": F.lit("s"), "target": F.lit("x")})
+    assert mixing.mix(d).columns == d.columns
+    assert mixing.mix(d).where("times != 't'").isEmpty()
+
+
 def test_mix_reaches_targets(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), ["a", "b", "c", "d", None][min(4, i % 7)]) for i in range(700)]
@@ -264,8 +300,15 @@ def test_mix_reaches_targets(spark):
 
 
 # 10 ----
-def test_rules_find_the_threshold():
-    assert quality_rules.keeps.__doc__
+def test_rules_hold_on_other_rows(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    rows = [(i, " ".join(("#" + word() if i % 3 == 0 and j % 2 else word()) for j in range(80))) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id long, quality int")
+    judged, rules = quality_rules.judged(docs, labels)
+    assert rules
+    assert all(r["kept"] == (r["doc_id"] % 3 > 0) and not r["base_failed"] for r in judged.where("doc_id >= 120").collect())
 
 
 def test_learned_rules(spark, sf):
