@@ -30,7 +30,7 @@ _DIR_SQL = """select directory, count(*) objects, cast(sum(size) as bigint) byte
   select unnest(list_concat(['/'], list_transform(range(1, len(st)), lambda i: array_to_string(st[1:i], '/') || '/'))) directory, size, modified
   from (select string_split(regexp_replace(key, '[?#].*$', ''), '/') st, size, cast(date '2024-01-01' + cast(page_id % 300 as integer) as date) modified from fx_listing)) group by 1"""
 add("a10_directory_rollup", lambda t: A.directory_rollup(_LIST(t)), _DIR_SQL)
-add("b10_storage_report", lambda t: A.directory_rollup(_LIST(t)).withColumn("gate", T.access_class(F.col("directory"))["gate"]).withColumn("label", T.size_label(F.col("bytes"))).orderBy(F.desc("bytes"), "directory").limit(40).select("directory", "objects", "gate", "label"), f"select directory, objects, case when split_part(directory, '/', 1) in ('internal', 'private') then 'key' else 'open' end gate, case when bytes >= 1e6 then printf('%.1f MB', round(bytes / 1e6, 1)) when bytes >= 1e3 then printf('%.1f kB', round(bytes / 1e3, 1)) else cast(bytes as varchar) || ' B' end label from ({_DIR_SQL}) order by bytes desc, directory limit 40")
+add("b10_storage_report", lambda t: A.directory_rollup(_LIST(t)).withColumn("gate", T.access_class(F.col("directory"), restricted=("internal", "private"))["gate"]).withColumn("label", T.size_label(F.col("bytes"))).orderBy(F.desc("bytes"), "directory").limit(40).select("directory", "objects", "gate", "label"), f"select directory, objects, case when split_part(directory, '/', 1) in ('internal', 'private') then 'key' else 'anonymous' end gate, case when bytes >= 1e6 then printf('%.1f MB', round(bytes / 1e6, 1)) when bytes >= 1e3 then printf('%.1f kB', round(bytes / 1e3, 1)) else cast(bytes as varchar) || ' B' end label from ({_DIR_SQL}) order by bytes desc, directory limit 40")
 add("a11_collection_counts", lambda t: A.collection_counts(t.fx_index), "select collection, count(*) sites, count(name) named, count(distinct place_id) ids from fx_index group by 1")
 add("a11_shared_ids", lambda t: A.shared_ids(t.fx_name.withColumn("place_id", F.col("k"))), "select k place_id, count(distinct collection) collections from fx_name group by k having count(distinct collection) > 1")
 add("a12_infer_types", lambda t: A.infer_types(t.part.withColumn("mixed", F.expr("case when p_size = 3 then 'x' else '7' end")).withColumn("nothing", F.lit(None).cast("string")), ["p_partkey", "p_retailprice", "p_name", "mixed", "nothing"]), "select * from (values ('p_partkey', 'int'), ('p_retailprice', 'float'), ('p_name', 'string'), ('mixed', 'string'), ('nothing', 'string')) v(\"column\", \"type\")")
