@@ -31,7 +31,7 @@ from terrane.llm import textarrays as A
 from terrane.llm.common import ROW, keyed, stash, with_rows
 
 SAMPLE = 1_000
-SPARE = 4  # so many times the sample are sought by a range of hashes before the lowest are taken
+SPARE = 2  # so many times the sample are sought by a range of hashes before the lowest are taken
 BINS = 1 << 15
 WEIGHT = 100  # trigrams that a text counts as at most; neighbouring trigrams are not independent
 UND = "und"
@@ -61,12 +61,11 @@ def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, by name, and the log-probabilities of the trigram bins (bins by languages and ``und``). ``docs`` has (doc_id, text, label)."""
-    thin = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)).alias("place"))
-    totals = thin.groupBy("name").agg(F.count("*").alias("n"))
-    few = thin.join(totals, "name").where(F.col("place") <= F.lit(float(SPARE * sample)) / F.col("n") * (1 << 40))
+    labelled = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)).alias("place"), "text")
+    totals = stash(labelled.groupBy("name").agg(F.count("*").alias("n")), "totals")  # written, so that its size is known: texts that are not sampled stay where they are
+    few = labelled.join(totals, "name").where(F.col("place") <= F.lit(float(SPARE * sample)) / F.col("n") * (1 << 40))
     turn = F.row_number().over(Window.partitionBy("name").orderBy("place", "doc_id"))
-    chosen = few.withColumn("turn", turn).where(F.col("turn") <= sample).select("doc_id", "name")
-    rows = docs.join(chosen.distinct(), (docs["doc_id"] == chosen["doc_id"]) & (docs["label"] == chosen["name"])).select("name", "text")
+    rows = few.withColumn("turn", turn).where(F.col("turn") <= sample).select("name", "text")
     schema = pa.schema([("name", pa.string()), ("bin", pa.int32()), ("n", pa.int64()), ("texts", pa.int64())])
 
     def count(batches):
