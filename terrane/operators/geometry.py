@@ -50,6 +50,21 @@ def bounds(v: DataFrame, *keys: str) -> DataFrame:
     return v.groupBy(*(keys or ("place_id",))).agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax"))
 
 
+def steps(e: DataFrame, axis: str, *keys: str) -> DataFrame:
+    """(keys, step): the mean extent of a group's edges along x or y, at least 1/65536 of the group's own.
+
+    Bands of that size hold at most two rows for each edge on average, however many edges a group has.
+    """
+    lo, hi = F.least(f"{axis}a", f"{axis}b"), F.greatest(f"{axis}a", f"{axis}b")
+    return e.groupBy(*keys).agg(F.greatest(F.avg(hi - lo), (F.max(hi) - F.min(lo)) / 65536, F.lit(1e-9)).alias("step"))
+
+
+def deal(e: DataFrame, axis: str, sized: DataFrame, *keys: str) -> DataFrame:
+    """Edges once for each band that they touch; ``sized`` is from ``steps`` of the same keys."""
+    lo, hi = F.least(f"{axis}a", f"{axis}b"), F.greatest(f"{axis}a", f"{axis}b")
+    return e.join(sized, list(keys)).withColumn("band", F.explode(F.sequence(F.floor(lo / F.col("step")), F.floor(hi / F.col("step")))))
+
+
 def ring_areas(e: DataFrame) -> DataFrame:
     """Signed planar area of each ring, positive counter-clockwise."""
     return e.groupBy(*RING).agg((F.sum((F.col("xa") - F.col("xb")) * (F.col("ya") + F.col("yb"))) / 2).alias("area"))
@@ -202,12 +217,11 @@ def dissolve(v: DataFrame, key: str) -> DataFrame:
 
 
 # audit ----
-def crossings(e: DataFrame, width: float = 5.0) -> DataFrame:
-    """Pairs of edges of one ring that cross properly, found through shared longitude strips."""
-    strip = F.explode(F.sequence(F.floor(F.least("xa", "xb") / width), F.floor(F.greatest("xa", "xb") / width)))
-    s = e.withColumn("strip", strip)
+def crossings(e: DataFrame) -> DataFrame:
+    """Pairs of edges of one ring that cross properly, found through shared bands of longitude as wide as the ring's mean edge."""
+    s = deal(e, "x", steps(e, "x", *RING), *RING)
     p, q = s.alias("p"), s.alias("q")
-    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in (*RING, "strip")]
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in (*RING, "band")]
     side = lambda o, a, b: (F.col(f"{a}.xb") - F.col(f"{a}.xa")) * (F.col(f"{b}.y{o}") - F.col(f"{a}.ya")) - (F.col(f"{a}.yb") - F.col(f"{a}.ya")) * (F.col(f"{b}.x{o}") - F.col(f"{a}.xa"))
     hit = (side("a", "p", "q") * side("b", "p", "q") < 0) & (side("a", "q", "p") * side("b", "q", "p") < 0)
     return p.join(q, same + [F.col("p.seq") < F.col("q.seq")]).where(hit).select(*[F.col(f"p.{c}").alias(c) for c in RING], F.col("p.seq").alias("a"), F.col("q.seq").alias("b")).distinct()
@@ -230,6 +244,7 @@ def assign_holes(v: DataFrame) -> DataFrame:
     """Rings of unknown role (place_id, ring, seq, x, y): clockwise ones are shells, others holes of the smallest shell around them.
 
     A hole lies in a shell that holds its first vertex; rings under four points are dropped. Gives (place_id, ring, shell).
+    A vertex meets only the shell edges in its band of latitude.
     """
     n = v.groupBy("place_id", "ring").agg(F.count("*").alias("n")).where("n >= 4").select("place_id", "ring")
     d = v.join(n, ["place_id", "ring"]).withColumn("part", F.lit(1))
@@ -239,6 +254,8 @@ def assign_holes(v: DataFrame) -> DataFrame:
     first = d.where("seq = 1").join(areas.where("area > 0"), ["place_id", "ring"]).select("place_id", "ring", "x", "y")
     se = e.join(shells.withColumnRenamed("shell", "ring"), ["place_id", "ring"]).select("place_id", F.col("ring").alias("shell"), "size", "xa", "ya", "xb", "yb")
     passes = ((F.col("ya") > F.col("y")) != (F.col("yb") > F.col("y"))) & (F.col("x") < (F.col("xb") - F.col("xa")) * (F.col("y") - F.col("ya")) / (F.col("yb") - F.col("ya")) + F.col("xa"))
-    inside = first.join(se, "place_id").groupBy("place_id", "ring", "shell", "size").agg((F.count_if(passes) % 2 == 1).alias("in")).where("in")
+    sized = steps(se, "y", "place_id")
+    at = first.join(sized, "place_id").withColumn("band", F.floor(F.col("y") / F.col("step"))).drop("step")
+    inside = at.join(deal(se, "y", sized, "place_id"), ["place_id", "band"]).groupBy("place_id", "ring", "shell", "size").agg((F.count_if(passes) % 2 == 1).alias("in")).where("in")
     holes = inside.groupBy("place_id", "ring").agg(F.min_by("shell", F.struct("size", "shell")).alias("shell"))
     return holes.unionByName(shells.select("place_id", F.col("shell").alias("ring"), "shell"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,12 +16,18 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith(("local[", "local")):
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
 
 
+def scratch(df: DataFrame) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    cut(df.limit(0))  # makes sure of that folder
+    return f"{df.sparkSession.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(node, label) for all ends of ``pairs`` (a, b): the smallest node of each connected component.
 

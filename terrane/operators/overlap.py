@@ -6,10 +6,10 @@ a stretch of longitude. Nothing is joined without an equality.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.operators.geometry import bounds
+from terrane.operators.geometry import bounds, deal, steps
 
 
 def buckets(lo: Column, hi: Column, size: float) -> Column:
@@ -37,24 +37,37 @@ def min_integral(length: Column, f: Column, g: Column, d0: Column, d1: Column) -
     return F.when((d0 <= 0) & (d1 <= 0), f).when((d0 >= 0) & (d1 >= 0), g).otherwise(crossed)
 
 
-def polygon_overlap(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, tolerance: float = 1e-9, strip: float = 5.0, keys: tuple[str, ...] = ()) -> DataFrame:
+def polygon_overlap(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, tolerance: float = 1e-9, keys: tuple[str, ...] = ()) -> DataFrame:
     """(a_id, b_id, area): pairs of polygons, as edges, with positive overlap.
 
-    Edges are dealt to strips of longitude, so a place with very many edges is worked on in many tasks. With ``keys``,
-    such as ("part",), areas are given for those parts too.
+    Edges are dealt to strips of longitude, so a place with very many edges is worked on in many tasks. A pair's strips are
+    a power of two of degrees, at least the mean edge of both, and only those in the longitudes that the two share: rows grow
+    with the edges near the pair. With ``keys``, such as ("part",), areas are given for those parts too.
     """
     ids = ("place_id", *keys)
     name = lambda s: [F.col(k).alias(f"{s}_{'id' if k == 'place_id' else k}") for k in ids]
-    box = lambda e: bounds(e.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y"))).withColumnRenamed("place_id", "id")
+    box = lambda e: bounds(e.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y"))).join(steps(e.where("xa != xb"), "x", "place_id"), "place_id").withColumnRenamed("place_id", "id")
     ab, bb = box(a), box(b)
     if pairs is None:
         pairs = box_join(ab, bb)
-    base = pairs.join(ab.select(F.col("id").alias("a_id"), F.col("ymin").alias("a_low")), "a_id").join(bb.select(F.col("id").alias("b_id"), F.col("ymin").alias("b_low")), "b_id").select("a_id", "b_id", F.least("a_low", "b_low").alias("base"))
+    side = lambda d, s: d.select(F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("xmin", "xmax", "ymin", "step")])
+    level = F.ceil(F.log2(F.greatest("a_step", "b_step"))).cast("int")
+    west, east = F.greatest("a_xmin", "b_xmin"), F.least("a_xmax", "b_xmax")
+    base = pairs.select("a_id", "b_id").join(side(ab, "a"), "a_id").join(side(bb, "b"), "b_id").where(west < east)
+    base = base.select("a_id", "b_id", level.alias("level"), F.least("a_ymin", "b_ymin").alias("base"), west.alias("west"), east.alias("east"))
+    size = F.pow(F.lit(2.0), "level")
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size))).alias("strip")
     lo, hi = F.least("xa", "xb"), F.greatest("xa", "xb")
-    cut = lambda e, s: e.where("xa != xb").select(*name(s), F.struct("xa", "ya", "xb", "yb", lo.alias("lo"), hi.alias("hi"), F.when(F.col("xb") < F.col("xa"), 1).otherwise(-1).alias("s")).alias(s), F.explode(buckets(lo, hi, strip)).alias("strip"))
-    d = base.join(cut(a, "a"), "a_id").join(cut(b, "b"), ["b_id", "strip"])
+
+    def cut(e: DataFrame, s: str) -> DataFrame:
+        edge = F.struct("xa", "ya", "xb", "yb", lo.alias("lo"), hi.alias("hi"), F.when(F.col("xb") < F.col("xa"), 1).otherwise(-1).alias("s")).alias(s)
+        wanted = base.select(F.col(f"{s}_id").alias("place_id"), "level").distinct()
+        return e.where("xa != xb").join(wanted, "place_id").select(*name(s), "level", edge, cells(lo, hi))
+
+    shared = base.select("a_id", "b_id", "level", "base", cells(F.col("west"), F.col("east")))
+    d = shared.join(cut(a, "a"), ["a_id", "level", "strip"]).join(cut(b, "b"), ["b_id", "level", "strip"])
     x0, x1 = F.greatest("a.lo", "b.lo"), F.least("a.hi", "b.hi")
-    d = d.withColumn("x0", x0).withColumn("x1", x1).where((F.col("x1") > F.col("x0")) & (F.col("strip") == F.floor(F.col("x0") / strip)))
+    d = d.withColumn("x0", x0).withColumn("x1", x1).where((F.col("x1") > F.col("x0")) & (F.col("strip") == F.floor(F.col("x0") / size)))
     length = F.col("x1") - F.col("x0")
     ya0, ya1, yb0, yb1 = (_y(e, F.col(x)) - F.col("base") for e in "ab" for x in ("x0", "x1"))
     term = F.col("a.s") * F.col("b.s") * min_integral(length, (ya0 + ya1) / 2 * length, (yb0 + yb1) / 2 * length, ya0 - yb0, ya1 - yb1)
@@ -63,13 +76,18 @@ def polygon_overlap(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None,
 
 
 def points_in_polygons(points: DataFrame, e: DataFrame, size: float = 5.0) -> DataFrame:
-    """(point_id, place_id) of points (point_id, lon, lat) inside polygons, as edges, by the even-odd rule; holes count."""
+    """(point_id, place_id) of points (point_id, lon, lat) inside polygons, as edges, by the even-odd rule; holes count.
+
+    Edges are dealt to bands of latitude as high as the place's mean edge; a point meets the edges of its own band only.
+    """
     box = bounds(e.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y")))
     spread = box.withColumn("gx", F.explode(buckets(F.col("xmin"), F.col("xmax"), size))).withColumn("gy", F.explode(buckets(F.col("ymin"), F.col("ymax"), size)))
     p = points.select("point_id", "lon", "lat", F.floor(F.col("lon") / size).alias("gx"), F.floor(F.col("lat") / size).alias("gy"))
     near = p.join(spread, ["gx", "gy"]).where("lon between xmin and xmax and lat between ymin and ymax").select("point_id", "place_id", "lon", "lat")
     passes = ((F.col("ya") > F.col("lat")) != (F.col("yb") > F.col("lat"))) & (F.col("lon") < (F.col("xb") - F.col("xa")) * (F.col("lat") - F.col("ya")) / (F.col("yb") - F.col("ya")) + F.col("xa"))
-    return near.join(e.select("place_id", "xa", "ya", "xb", "yb"), "place_id").groupBy("point_id", "place_id").agg(F.count_if(passes).alias("n")).where("n % 2 = 1").select("point_id", "place_id")
+    sized = steps(e, "y", "place_id")
+    at = near.join(sized, "place_id").withColumn("band", F.floor(F.col("lat") / F.col("step"))).drop("step")
+    return at.join(deal(e.select("place_id", "xa", "ya", "xb", "yb"), "y", sized, "place_id"), ["place_id", "band"]).groupBy("point_id", "place_id").agg(F.count_if(passes).alias("n")).where("n % 2 = 1").select("point_id", "place_id")
 
 
 def derive_intersect(a: DataFrame, b: DataFrame, min_area: float, min_part: float) -> DataFrame:
@@ -83,6 +101,3 @@ def derived_report(pieces: DataFrame) -> DataFrame:
     """What ``derive_intersect`` drops, as counts and areas."""
     return pieces.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"), F.sum(F.coalesce("area", "lost")).alias("area"))
 
-
-def nearest_rank(df: DataFrame, key: str, *order: Column) -> DataFrame:
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

@@ -264,7 +264,3 @@ def same_names(new: DataFrame, existing: DataFrame, name: str = "name", kind: st
     """Rows of ``new`` whose normalised name and type exist already."""
     keyed = lambda df: df.withColumn("_name", norm_name(name))
     return keyed(new).join(keyed(existing).select("_name", kind).distinct(), ["_name", kind], "left_semi").drop("_name")
-
-
-def text_or_empty(c: str) -> Column:
-    return text(c)

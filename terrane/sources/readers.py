@@ -37,8 +37,19 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_subsets(spark: SparkSession, paths: list[str], ids: tuple[str, ...] = ()) -> DataFrame:
-    """Several CSV files united by column name, all as text so that ids keep their zeros; missing columns are null. Values may hold line ends."""
-    parts = [spark.read.csv(p, header=True, multiLine=True, escape='"', inferSchema=False) for p in paths]
+    """Several CSV files united by column name; missing columns are null. Values may hold line ends.
+
+    All columns are text, so that ids keep their zeros; with ``ids`` only those stay text and others take the type of their values.
+    """
+    reader = lambda: spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+
+    def one(path: str) -> DataFrame:
+        if not ids:
+            return reader().csv(path)
+        found = reader().option("inferSchema", True).csv(path).schema
+        return reader().schema(", ".join(f"`{f.name}` {'string' if f.name in ids else f.dataType.simpleString()}" for f in found)).csv(path)
+
+    parts = [one(p) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -128,10 +139,15 @@ def decode_wkb(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for place, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for part, ring, xy in rings(data) if data else ():
-                    m = len(xy)
-                    yield pa.RecordBatch.from_arrays([pa.array([place] * m), pa.array([part] * m, pa.int32()), pa.array([ring] * m, pa.int32()), pa.array(range(1, m + 1), pa.int32()), pa.array(xy[:, 0].astype(float)), pa.array(xy[:, 1].astype(float))], schema=schema)
+            found = [(i, *ring) for i, data in enumerate(batch.column(1).to_pylist()) if data for ring in rings(data)]
+            if not found:
+                continue
+            sizes = np.array([len(xy) for *_, xy in found])
+            spread = lambda values, kind: np.repeat(np.array(values, kind), sizes)
+            row, part, ring = (spread([f[k] for f in found], "i4") for k in range(3))
+            seq = np.arange(1, sizes.sum() + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            xy = np.concatenate([xy.astype(float) for *_, xy in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(part), pa.array(ring), pa.array(seq.astype("i4")), pa.array(xy[:, 0]), pa.array(xy[:, 1])], schema=schema)
 
     return df.select("place_id", "geometry").mapInArrow(run, "place_id string, part int, ring int, seq int, x double, y double")
 

@@ -21,14 +21,20 @@ def anonymous_rates(requests: DataFrame, limit: int, late: str = "5 minutes") ->
 
 
 def status_stream(events: DataFrame) -> DataFrame:
-    """Current status and number of events per key (update mode). ``events`` has (key, date, seq, value)."""
-    return events.groupBy("key").agg(F.max(F.struct("date", "seq", "value")).alias("latest"), F.count("*").alias("events")).select("key", "latest.date", "latest.value", "events")
+    """Current status, ordered history and number of events per key (update mode). ``events`` has (key, date, seq, value).
+
+    The history of one key is its state; it grows with the events of that key.
+    """
+    step = F.struct("date", "seq", "value")
+    d = events.groupBy("key").agg(F.max(step).alias("latest"), F.array_sort(F.collect_list(step)).alias("history"), F.count("*").alias("events"))
+    return d.select("key", "latest.date", "latest.value", "history", "events")
 
 
-def change_stream(probes: DataFrame, published: DataFrame, target: str, checkpoint: str):
+def change_stream(probes: DataFrame, published: DataFrame, target: str, checkpoint: str, once: bool = False):
     """Runs J-17 on each arriving batch of probes against the published tokens; changed slugs are appended at ``target``.
 
-    A probe that failed has an ``error`` and becomes a row of its own; it never stops the others.
+    A probe that failed has an ``error`` and becomes a row of its own; it never stops the others. With ``once`` the
+    stream ends when all that has arrived is read.
     """
 
     def batch(df: DataFrame, number: int) -> None:
@@ -38,7 +44,8 @@ def change_stream(probes: DataFrame, published: DataFrame, target: str, checkpoi
         failed = df.where("error is not null").select("slug", "source_no", F.concat(F.lit("failed: "), "error").alias("reason"), F.lit(number).alias("batch"))
         changed.unionByName(failed).write.mode("append").parquet(target)
 
-    return probes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).start()
+    writer = probes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def feature_pages_stream(spark, path: str, schema: str, late: str = "1 day") -> DataFrame:
