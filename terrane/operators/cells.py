@@ -69,7 +69,7 @@ def grid_membership(e: DataFrame, res_max: int, min_share: float = 0.01, min_par
         found = cut(_shares(plane, candidates, res).where(F.col("share") > TOLERANCE))
         full = found.where(F.col("share") >= 1 - TOLERANCE).select("place_id", "ix", "iy")
         border = found.where(F.col("share") < 1 - TOLERANCE)
-        inside = full if inside is None else full.unionByName(down(inside))
+        inside = full if inside is None else cut(full.unionByName(down(inside)))
         level = border.unionByName(inside.withColumn("share", F.lit(1.0))).join(size, "place_id")
         keep = (F.col("share") >= min_share) | (F.col("share") * (w * h) >= min_part * F.col("size"))
         levels.append(level.where(keep).select("place_id", F.lit(res).alias("res"), "ix", "iy", F.least("share", F.lit(1.0)).alias("share")))

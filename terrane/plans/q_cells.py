@@ -38,16 +38,15 @@ add("j11_points_in_polygons", lambda t: O.points_in_polygons(t.fx_point, _SPLIT(
 add("j11_point_summary", lambda t: O.points_in_polygons(t.fx_point, _SPLIT(t)).join(t.fx_point, "point_id").groupBy("place_id").agg(F.count("*").alias("n"), F.round(F.sum("v"), 2).alias("total")), f"with {_PIP_SQL} select place_id, count(*) n, round(sum(v), 2) total from pip group by 1")
 
 
-def _cells_sql(res: int) -> str:
-    w, h = C.width(res)
-    return f"""ce as (select place_id, xa, ya, xb, yb from fx_edge where not (xa - 180) * (xb - 180) < 0 union all select place_id, xa, ya, 180e0, ya + (yb - ya) * (180 - xa) / (xb - xa) from fx_edge where (xa - 180) * (xb - 180) < 0 union all select place_id, 180e0, ya + (yb - ya) * (180 - xa) / (xb - xa), xb, yb from fx_edge where (xa - 180) * (xb - 180) < 0),
+_RES = 7
+_CELLS_TEMPLATE = f"""ce as (select place_id, xa, ya, xb, yb from fx_edge where not (xa - 180) * (xb - 180) < 0 union all select place_id, xa, ya, 180e0, ya + (yb - ya) * (180 - xa) / (xb - xa) from fx_edge where (xa - 180) * (xb - 180) < 0 union all select place_id, 180e0, ya + (yb - ya) * (180 - xa) / (xb - xa), xb, yb from fx_edge where (xa - 180) * (xb - 180) < 0),
+lv as (select cast(l as integer) res, 360e0 / pow(2, l + 1) w, 2e0 / pow(2, l) h, cast(pow(2, l + 1) as bigint) n from range(0, {_RES + 1}) r(l)),
 pe as (select place_id, xa, xb, sin(radians(ya)) ya, sin(radians(yb)) yb from ce),
-pc as (select place_id, unnest(range(cast(floor((min(xa) + 180) / {w}) as bigint), cast(floor((max(xa) + 180) / {w}) as bigint) + 1)) ix, floor((min(ya) + 1) / {h}) y0, floor((max(ya) + 1) / {h}) y1 from pe group by place_id),
-cc as (select place_id, ix, unnest(range(cast(y0 as bigint), cast(y1 as bigint) + 1)) iy from pc),
-cs as (select c.place_id, ix, iy, greatest(least(xa, xb), ix * {w} - 180) x0, least(greatest(xa, xb), ix * {w} - 180 + {w}) x1, xa, ya, xb, yb, iy * {h} - 1 s0, case when xb < xa then 1 else -1 end s from cc c join pe on pe.place_id = c.place_id and xa <> xb and greatest(xa, xb) > ix * {w} - 180 and least(xa, xb) < ix * {w} - 180 + {w}),
-cy as (select place_id, ix, iy, s, x1 - x0 len, s0, ya + (yb - ya) * (x0 - xa) / (xb - xa) y0, ya + (yb - ya) * (x1 - xa) / (xb - xa) y1 from cs where x1 > x0),
-ci as (select place_id, ix, iy, s * (lev({{0}}) ) t from cy),
-sh as (select place_id, ix % {2 ** (res + 1)} ix, iy, sum(s * (m1 - m0)) / {w * h} share from (select *, {_low(f's0 + {h}')} m1, {_low('s0')} m0 from cy) group by 1, 2, 3)""".replace("ci as (select place_id, ix, iy, s * (lev({0}) ) t from cy),\n", "")
+pc as (select place_id, res, w, h, n, unnest(range(cast(floor((min(xa) + 180) / w) as bigint), cast(floor((max(xa) + 180) / w) as bigint) + 1)) ix, floor((min(ya) + 1) / h) y0, floor((max(ya) + 1) / h) y1 from pe, lv group by place_id, res, w, h, n),
+cc as (select place_id, res, w, h, n, ix, unnest(range(cast(y0 as bigint), cast(y1 as bigint) + 1)) iy from pc),
+cs as (select c.place_id, res, w, h, n, ix, iy, greatest(least(xa, xb), ix * w - 180) x0, least(greatest(xa, xb), ix * w - 180 + w) x1, xa, ya, xb, yb, iy * h - 1 s0, case when xb < xa then 1 else -1 end s from cc c join pe on pe.place_id = c.place_id and xa <> xb and greatest(xa, xb) > ix * w - 180 and least(xa, xb) < ix * w - 180 + w),
+cy as (select place_id, res, w, h, n, ix, iy, s, x1 - x0 len, s0, ya + (yb - ya) * (x0 - xa) / (xb - xa) y0, ya + (yb - ya) * (x1 - xa) / (xb - xa) y1 from cs where x1 > x0),
+sh as (select place_id, res, any_value(w * h) as size, ix % n ix, iy, sum(s * (m1 - m0)) / any_value(w * h) share from (select *, {{low1}} m1, {{low0}} m0 from cy) group by place_id, res, ix % n, iy)"""
 
 
 def _low(level: str) -> str:
@@ -55,21 +54,22 @@ def _low(level: str) -> str:
     return f"case when y0 <= {level} and y1 <= {level} then {f} when y0 >= {level} and y1 >= {level} then {g} else ({f} + {g} - len * (pow(y0 - ({level}), 2) + pow(y1 - ({level}), 2)) / (2 * abs(y0 - y1))) / 2 end"
 
 
-_SIZE_SQL = "sz as (select place_id, sum((xa - xb) * (sin(radians(ya)) + sin(radians(yb)))) / 2 size from ce group by 1)"
-_RES = 4
-_W, _H = C.width(_RES)
-_KEPT_SQL = f"{_cells_sql(_RES)}, {_SIZE_SQL}, kept as (select sh.place_id, ix, iy, least(share, 1) share from sh join sz using (place_id) where share > 1e-9 and (share >= 1e-2 or share * {_W * _H} >= 1e-2 * size))"
+_CELLS_SQL = _CELLS_TEMPLATE.format(low1=_low("s0 + h"), low0=_low("s0"))
+_SIZE_SQL = "sz as (select place_id, sum((xa - xb) * (sin(radians(ya)) + sin(radians(yb)))) / 2 place_size from ce group by 1)"
+_KEPT_SQL = f"{_CELLS_SQL}, {_SIZE_SQL}, kept as (select sh.place_id, res, ix, iy, least(share, 1) share from sh join sz using (place_id) where share > 1e-9 and (share >= 1e-2 or share * size >= 1e-2 * place_size))"
 _MEMBERS = lambda t, res=_RES: C.grid_membership(_SPLIT(t), res)
 _RECT = lambda t: t.fx_place.select(F.explode(F.sequence(F.lit(0), F.lit(35))).alias("i")).distinct().select("i", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("j")).select(F.concat_ws("|", F.col("i").cast("string"), F.col("j").cast("string")).alias("place_id"), F.lit(1).alias("part"), F.lit(0).alias("ring"), (F.col("i") * 10.0 - 180).alias("x0"), (F.col("j") * 20.0 - 60).alias("y0")).select("place_id", "part", "ring", F.posexplode(F.expr("array(struct(x0 as x, y0 as y), struct(x0 + 10 as x, y0 as y), struct(x0 + 10 as x, y0 + 20 as y), struct(x0 as x, y0 + 20 as y), struct(x0 as x, y0 as y))")).alias("seq", "p")).select("place_id", "part", "ring", "seq", "p.x", "p.y")
 add("m1_cell_shares", lambda t: C.cell_shares(_SPLIT(t), G.edges(_RECT(t))).where("share > 1e-6").groupBy("place_id").agg(F.count("*").alias("n"), F.round(F.max("share"), 5).alias("largest")), None)
-add("m2_grid_membership", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", "ix", "iy", F.round("share", 6).alias("share")), f"with {_KEPT_SQL} select place_id, ix, iy, round(share, 6) share from kept")
-add("m3_keep_rule", lambda t: C.grid_membership(_SPLIT(t), _RES, 0.5, 2.0).where(f"res = {_RES}").groupBy("place_id").agg(F.count("*").alias("n")), f"with {_cells_sql(_RES)} select place_id, count(*) n from sh where share >= 5e-1 group by 1")
-add("m4_membership_parent", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", "ix", "iy", C.membership_parent(F.col("res"), F.col("ix"), F.col("iy"), 2).alias("parent")), f"with {_KEPT_SQL} select place_id, ix, iy, (cast({_RES - 2} as bigint) << 56) | (cast(ix // 4 as bigint) << 28) | cast(iy // 4 as bigint) parent from kept")
-add("m5_membership_manifest", lambda t: _MEMBERS(t).where(f"res = {_RES}").groupBy(F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py")).agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("sites")), f"with {_KEPT_SQL} select ix // 4 px, iy // 4 py, count(*) as rows, count(distinct place_id) sites from kept group by 1, 2")
-add("m6_place_parents", lambda t: _MEMBERS(t).where(f"res = {_RES}").select("place_id", F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py")).distinct(), f"with {_KEPT_SQL} select distinct place_id, ix // 4 px, iy // 4 py from kept")
-_VALUES = lambda t: t.fx_point.select(F.lit(_RES).alias("res"), F.floor((F.col("lon") + 180) / _W).alias("ix"), F.floor((F.sin(F.radians("lat")) + 1) / _H).alias("iy"), "v").groupBy("res", "ix", "iy").agg(F.avg("v").alias("v"))
-add("m7_summarise_by_place", lambda t: C.summarise_by_place(_MEMBERS(t), _VALUES(t)).where(f"res = {_RES}").select("place_id", F.round("mean", 4).alias("mean"), F.round("total", 3).alias("total"), "cells"), f"with {_KEPT_SQL}, vv as (select floor((lon + 180) / {_W}) ix, floor((sin(radians(lat)) + 1) / {_H}) iy, avg(v) v from fx_point group by 1, 2) select place_id, round(sum(share * v) / sum(share), 4) mean, round(sum(share * v), 3) total, count(*) cells from kept join vv on vv.ix = kept.ix and vv.iy = kept.iy group by 1")
-add("m8_share_audit", lambda t: C.share_audit(C.grid_membership(_SPLIT(t), _RES, 0.0, 0.0), _SPLIT(t)).where(f"res = {_RES}").select("place_id", (F.abs("loss") < 1e-6).alias("ok"), F.round("size", 4).alias("size")), f"with {_cells_sql(_RES)}, {_SIZE_SQL} select place_id, true ok, round(size, 4) size from sz")
+add("m2_grid_membership", lambda t: _MEMBERS(t).select("place_id", "res", "ix", "iy", F.round("share", 6).alias("share")), f"with {_KEPT_SQL} select place_id, res, ix, iy, round(share, 6) share from kept")
+add("m3_keep_rule", lambda t: C.grid_membership(_SPLIT(t), _RES, 0.0, 0.0).join(G.edges(t.fx_vertex).groupBy("place_id").agg((F.sum((F.col("xa") - F.col("xb")) * (F.sin(F.radians("ya")) + F.sin(F.radians("yb")))) / 2).alias("size")), "place_id").groupBy("place_id", "res").agg(F.count_if(C.keep_rule(F.col("share"), 720 / F.pow(F.lit(2.0), 2 * F.col("res") + 1), F.col("size"))).alias("kept"), F.count("*").alias("n")), f"with {_CELLS_SQL}, {_SIZE_SQL} select place_id, res, count(*) filter (where share >= 1e-2 or share * size >= 1e-2 * place_size) kept, count(*) n from sh join sz using (place_id) where share > 1e-9 group by 1, 2")
+add("m4_membership_parent", lambda t: _MEMBERS(t).where("res >= 2").select("place_id", "res", "ix", "iy", C.membership_parent(F.col("res"), F.col("ix"), F.col("iy"), 2).alias("parent")), f"with {_KEPT_SQL} select place_id, res, ix, iy, (cast(res - 2 as bigint) << 56) | (cast(ix // 4 as bigint) << 28) | cast(iy // 4 as bigint) parent from kept where res >= 2")
+_BLOCK = lambda: (F.floor(F.col("ix") / 4).alias("px"), F.floor(F.col("iy") / 4).alias("py"))
+add("m5_membership_manifest", lambda t: _MEMBERS(t).groupBy("res", *_BLOCK()).agg(F.count("*").alias("rows"), F.count_distinct("place_id").alias("sites")), f"with {_KEPT_SQL} select res, ix // 4 px, iy // 4 py, count(*) as rows, count(distinct place_id) sites from kept group by 1, 2, 3")
+add("m6_place_parents", lambda t: _MEMBERS(t).select("place_id", "res", *_BLOCK()).distinct(), f"with {_KEPT_SQL} select distinct place_id, res, ix // 4 px, iy // 4 py from kept")
+_AT = lambda per_turn, v: F.floor(v * F.pow(F.lit(2.0), F.col("res")) / per_turn)
+_VALUES = lambda t: t.fx_point.withColumn("res", F.explode(F.sequence(F.lit(0), F.lit(_RES)))).select("res", _AT(180.0, F.col("lon") + 180).alias("ix"), _AT(2.0, F.sin(F.radians("lat")) + 1).alias("iy"), "v").groupBy("res", "ix", "iy").agg(F.avg("v").alias("v"))
+add("m7_summarise_by_place", lambda t: C.summarise_by_place(_MEMBERS(t), _VALUES(t)).select("place_id", "res", F.round("mean", 4).alias("mean"), F.round("total", 3).alias("total"), "cells"), f"with {_KEPT_SQL}, vv as (select res, floor((lon + 180) * pow(2, res) / 180) ix, floor((sin(radians(lat)) + 1) * pow(2, res) / 2) iy, avg(v) v from fx_point, lv group by 1, 2, 3) select place_id, kept.res, round(sum(share * v) / sum(share), 4) mean, round(sum(share * v), 3) total, count(*) cells from kept join vv on vv.res = kept.res and vv.ix = kept.ix and vv.iy = kept.iy group by 1, 2")
+add("m8_share_audit", lambda t: C.share_audit(C.grid_membership(_SPLIT(t), _RES, 0.0, 0.0), _SPLIT(t)).select("place_id", "res", (F.abs("loss") < 1e-6).alias("ok"), F.round("size", 4).alias("size")), f"with {_CELLS_SQL}, {_SIZE_SQL} select place_id, res, true ok, round(place_size, 4) size from sz, lv")
 _PC = lambda t: C.place_cells(t.fx_edge, -180.0, 90.0, 0.5, 720, 360, 5.0)
 _PC_SQL = """bx as (select place_id, min(xa) x0, max(xa) x1, min(ya) y0, max(ya) y1 from fx_edge group by 1),
 rc as (select place_id, r, unnest(range(cast(floor((x0 + 180) / 5e-1 + 1e-9) as bigint), cast(floor((x1 + 180) / 5e-1 + 1e-9) as bigint) + 1)) c from (select *, unnest(range(cast(floor((90 - y1) / 5e-1 + 1e-9) as bigint), cast(floor((90 - y0) / 5e-1 + 1e-9) as bigint) + 1)) r from bx)),
