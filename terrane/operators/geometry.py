@@ -53,7 +53,7 @@ def bounds(v: DataFrame, *keys: str) -> DataFrame:
 def steps(e: DataFrame, axis: str, *keys: str) -> DataFrame:
     """(keys, step): the mean extent of a group's edges along x or y, at least 1/65536 of the group's own.
 
-    Bands of that size hold at most two rows for each edge on average, however many edges a group has.
+    Bands of that size hold about two rows for each edge on average and never over three, however many edges a group has.
     """
     lo, hi = F.least(f"{axis}a", f"{axis}b"), F.greatest(f"{axis}a", f"{axis}b")
     return e.groupBy(*keys).agg(F.greatest(F.avg(hi - lo), (F.max(hi) - F.min(lo)) / 65536, F.lit(1e-9)).alias("step"))

@@ -9,6 +9,7 @@ from terrane.operators import aggregates as A
 from terrane.operators import graph as K
 from terrane.operators import joins as J
 from terrane.operators import rows as R
+from terrane.plans import q_joins
 from terrane.plans.base import Book
 from terrane.sources import writers as W
 
@@ -61,7 +62,7 @@ add("s6_read_sites", lambda t: t.fx_index.select(R.pick_col(t.fx_index, ["PLACE_
 add("s9_read_listing", lambda t: _LIST(t).groupBy(F.regexp_extract("key", r"\.([a-z]+)/", 1).alias("domain")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "select regexp_extract(regexp_replace(key, '[?#].*$', ''), '\\.([a-z]+)/', 1) as domain, count(*) n, cast(sum(size) as bigint) bytes from fx_listing group by 1")
 add("s12_membership_layout", lambda t: W.membership_manifest(t.lineitem.select(F.col("l_suppkey").alias("place_id"), F.expr("l_linenumber").alias("res"), F.expr("l_orderkey % 7").alias("parent"))), "select l_linenumber res, l_orderkey % 7 parent, count(*) as rows, count(distinct l_suppkey) sites from lineitem group by 1, 2")
 add("s13_feature_ndjson", lambda t: W.feature_lines(t.fx_point.select("point_id", F.expr("case when point_id % 2 = 0 then 'even' end").alias("kind"), F.expr("concat('{\"type\":\"Point\",\"coordinates\":[', cast(point_id as string), ',0]}')").alias("geometry")), ["point_id", "kind"]), "select '{\"type\":\"Feature\",\"properties\":{\"point_id\":' || point_id || case when point_id % 2 = 0 then ',\"kind\":\"even\"' else '' end || '},\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || point_id || ',0]}}' line from fx_point")
-add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank("collection")), None)
+add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank("collection")), q_joins.SAME_PLACE_SQL.replace("select collection, place_id, case when g", "select place_id, collection, name, 0 as rank, case when g"))
 add("s15_export_values", lambda t: W.export_values(t.fx_value.withColumnRenamed("t", "time").withColumnRenamed("v", "value").withColumn("sd", F.lit(None).cast("double")).withColumn("unit", F.lit("m, deep")), "SUP:11", "suppliers.parquet"), "select 'SUP:11,suppliers,' || indicator || ',month,' || strftime(t, '%Y-%m-%d') || ',' || class || ',' || n || ',,\"m, deep\",suppliers.parquet' line from fx_value where place_id = 'SUP:11'")
 add("s16_partitioned_tiles", lambda t: t.fx_point.withColumn("tile", F.floor((F.col("lon") + 180) / 10)).join(t.fx_box.select(F.explode(F.sequence(F.floor((F.col("xmin") + 180) / 10), F.floor((F.col("xmax") + 180) / 10))).alias("tile")).distinct(), "tile").groupBy("tile").agg(F.count("*").alias("n")), "select floor((lon + 180) / 10) tile, count(*) n from fx_point where floor((lon + 180) / 10) in (select unnest(range(cast(floor((xmin + 180) / 10) as bigint), cast(floor((xmax + 180) / 10) as bigint) + 1)) from fx_box) group by 1")
 

@@ -45,7 +45,8 @@ pr as (select a.m a, b.m b from ix a join ix b on a.nk = b.nk and a.geom_type =
     >= 8e-1 * ((a.xmax - a.xmin) * (a.ymax - a.ymin) + (b.xmax - b.xmin) * (b.ymax - b.ymin) - greatest(0, least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * greatest(0, least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)))
   else a.xmin = b.xmin and a.ymin = b.ymin end)"""
 add("j8_same_name_pairs", lambda t: J.same_name_pairs(t.fx_index).agg(F.count_distinct("b").alias("linked")), f"with {_SAME_SQL} select count(distinct b) linked from pr")
-add("k1_same_place_groups", lambda t: K.same_place_groups(t.fx_index).select("collection", "place_id", "group_id"), f"with recursive {_SAME_SQL}, un as (select a, b from pr union select b, a from pr), reach as (select a, b from un union select r.a, u.b from reach r join un u on u.a = r.b) select collection, place_id, case when g is not null then least(g, m) end group_id from ix left join (select a, min(b) g from reach group by a) on a = m")
+SAME_PLACE_SQL = f"with recursive {_SAME_SQL}, un as (select a, b from pr union select b, a from pr), reach as (select a, b from un union select r.a, u.b from reach r join un u on u.a = r.b) select collection, place_id, case when g is not null then least(g, m) end group_id from ix left join (select a, min(b) g from reach group by a) on a = m"
+add("k1_same_place_groups", lambda t: K.same_place_groups(t.fx_index).select("collection", "place_id", "group_id"), SAME_PLACE_SQL)
 add("k2_lineage_closure", lambda t: K.lineage_closure(t.fx_taxon).select("id", F.array_join(F.col("lineage").cast("array<string>"), ">").alias("path")), "with recursive up as (select id, parent, cast(id as varchar) path from fx_taxon union all select up.id, t.parent, up.path || '>' || cast(t.id as varchar) from up join fx_taxon t on t.id = up.parent) select id, path from up where parent is null")
 add("p17_filter_subtree", lambda t: S.in_subtree(S.merge_by_name(t.fx_species), K.lineage_closure(t.fx_taxon), 5).select("place_id", "key"), "with recursive up as (select id, id anc from fx_taxon union all select up.id, t.parent from up join fx_taxon t on t.id = up.anc where t.parent is not null) select distinct place_id, coalesce(name_key, -aphiaid) as key from fx_species where aphiaid in (select id from up where anc = 5)")
 _LAYERS = lambda t: t.nation.select(F.col("n_nationkey").alias("seq"), F.col("n_name").alias("layer"), F.expr("case when n_nationkey % 2 = 0 then 0 else 2 end").alias("source_rank"), F.expr("case when n_nationkey % 5 = 0 then -180D else n_nationkey * 14D - 170 end").alias("xmin"), F.expr("case when n_nationkey % 5 = 0 then -85D else -20D end").alias("ymin"), F.expr("case when n_nationkey % 5 = 0 then 180D else n_nationkey * 14D - 150 end").alias("xmax"), F.expr("case when n_nationkey % 5 = 0 then 88D else 25D end").alias("ymax"))

@@ -110,7 +110,7 @@ add("w2_template_ids", lambda t: R.template_ids(t.supplier, "{s_nationkey}", "s_
 add("w3_assign_parts", lambda t: R.assign_parts(_W1_DF(t), "nk", F.lit("zone"), F.col("bal"), F.col("s_suppkey")).select("s_suppkey", "part"), "select s_suppkey, case rk when 1 then null when 2 then 'zone' else 'zone-' || (rk - 1) end part from (select s_suppkey, row_number() over (partition by s_nationkey order by s_acctbal, s_suppkey) rk from supplier)")
 add("w4_id_collisions", lambda t: R.suffixed(t.fx_name.withColumn("key", T.norm_name("name")), "key", F.col("collection"), F.expr("case when collection = 'suppliers' then 0 else 1 end"), F.col("k")).select("place_id", "unique_id"), "with r as (select *, row_number() over (partition by lower(name) order by case when collection = 'suppliers' then 0 else 1 end, k) rk from fx_name), b as (select *, case when rk > 1 then lower(name) || ':' || collection else lower(name) end base from r), n as (select *, row_number() over (partition by lower(name), base, rk > 1 order by rk) again from b) select place_id, case when rk = 1 or again = 1 then base else base || '-' || again end unique_id from n")
 add("w8_page_numbers", lambda t: R.page_numbers(t.fx_listing.withColumn("folder", F.split_part("key", F.lit("/"), F.lit(1))), 5, "page_id").select("page_id", "page"), "select page_id, cast(floor((row_number() over (partition by split_part(key, '/', 1) order by page_id) - 1) / 5) as bigint) page from fx_listing")
-add("w8_page", lambda t: R.page(t.fx_listing, "m", 20).select("key", "page_id"), None)
+add("w8_page", lambda t: R.page(t.fx_listing, "m", 20).select("key"), "select key from fx_listing where key > 'm' order by key limit 20")
 add("w9_row_groups", lambda t: R.row_groups(t.fx_name, 4, "place_id", "collection"), "select collection, g row_group, count(*) n_rows, min(place_id) first_key, max(place_id) last_key from (select collection, place_id, cast(floor((row_number() over (partition by collection order by place_id) - 1) / ceil(count(*) over (partition by collection) / 4e0)) as bigint) g from fx_name) group by collection, g")
 _VER = lambda t: t.supplier.select(F.col("s_nationkey").alias("slug"), F.expr("concat(s_suppkey % 2, '.', s_suppkey % 3, '.', s_suppkey % 12)").alias("version"))
 add("w11_bump_version", lambda t: _VER(t).groupBy("slug").agg(F.max_by("version", F.transform(F.split("version", r"\."), lambda x: x.cast("int"))).alias("current")).withColumn("next", F.concat(F.regexp_extract("current", r"^(.*\.)\d+$", 1), (F.regexp_extract("current", r"(\d+)$", 1).cast("int") + 1).cast("string"))), "select s_nationkey slug, (m // 10000) || '.' || (m // 100 % 100) || '.' || (m % 100) current, (m // 10000) || '.' || (m // 100 % 100) || '.' || (m % 100 + 1) next from (select s_nationkey, max((s_suppkey % 2) * 10000 + (s_suppkey % 3) * 100 + s_suppkey % 12) m from supplier group by s_nationkey)")
