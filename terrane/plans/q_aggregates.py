@@ -8,6 +8,7 @@ from terrane.functions import text as T
 from terrane.operators import aggregates as A
 from terrane.operators import graph as K
 from terrane.operators import joins as J
+from terrane.operators import quality as Q
 from terrane.operators import rows as R
 from terrane.plans import q_joins
 from terrane.plans.base import Book
@@ -73,6 +74,11 @@ _B_EVENTS = lambda t: t.fx_event.select(F.col("k").alias("key"), F.col("d").alia
 _BUILT_SQL = "(select s_suppkey, case rk when 1 then nk when 2 then nk || ':zone' else nk || ':zone-' || (rk - 1) end unique_id, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') as name, s_acctbal \"Name_src\", coalesce(e.status, 'designated') status from (select *, 'NAT:' || s_nationkey nk, row_number() over (partition by s_nationkey order by s_suppkey) rk from supplier where s_suppkey % 6 <> 0) left join (select *, row_number() over (partition by k order by d desc, seq desc) r from fx_event) e on e.k = s_suppkey and e.r = 1)"
 add("b1_build_collection", lambda t: _BUILT(t).select("s_suppkey", "unique_id", "name", "Name_src", "status"), f"select * from {_BUILT_SQL}")
 add("b2_check_collection", lambda t: A.problems(_BUILT(t), {"bad_id": ~R.matches_ids(F.col("unique_id"), [r"NAT:\d+(:zone(-\d+)?)?"]), "no_name": F.col("name") == "", "suffixed": F.col("unique_id").contains(":zone"), "negative": F.col("Name_src") < 0}), f"select 'bad_id' as rule, 0 n union all select 'no_name', 0 union all select 'suffixed', count(*) from {_BUILT_SQL} where contains(unique_id, ':zone') union all select 'negative', count(*) from {_BUILT_SQL} where \"Name_src\" < 0")
+_ID = "concat(case when {k} % 19 = 1 then 'SUP-' else 'SUP:' end, cast({k} as {string}))"
+_CHECKED = lambda t: _BUILT(t).join(t.fx_box.drop("place_id"), F.col("k") == F.col("s_suppkey")).select(F.expr(_ID.format(k="k", string="string")).alias("place_id"), F.expr("case when k % 12 <> 7 then name end").alias("name"), "status", F.expr("case when k % 31 = 5 then ' ' when k % 9 = 2 then 'other' else 'CC-BY-4.0' end").alias("license"), F.expr("case when k % 11 = 4 then 'Polygon' else 'MultiPolygon' end").alias("geom_type"), F.expr("case when k % 13 = 2 then xmin + 0.5D else xmin end").alias("xmin"), "ymin", "xmax", "ymax", F.explode(F.expr("sequence(1, case when k % 23 = 1 then 2 else 1 end)")).alias("copy"))
+_CHECKED_V = lambda t: t.fx_vertex.join(t.fx_place.select("place_id", "k", "cx", "r"), "place_id").where("not (seq = 6 and k % 7 = 0) and k % 29 <> 3").select(F.expr(_ID.format(k="k", string="string")).alias("place_id"), "part", "ring", "seq", F.expr("case when k % 5 = 1 and seq = 4 then cx + 2 * r else x end").alias("x"), "y")
+_RULES_SQL = {"bad_id": "k % 19 = 1", "empty_name": "k % 12 = 7", "empty_status": "coalesce(trim(status), '') = ''", "empty_license": "k % 31 = 5", "other_license": "k % 31 = 5 or k % 9 = 2", "other_kind": "k % 11 = 4", "no_geometry": "not g", "invalid": "g and (k % 7 = 0 or k % 5 = 1)", "jumps": "false", "outside": "g and (cx - r < -180 or cx + r * case when k % 5 = 1 then 2 else 1 end > 180)", "other_box": "g and (k % 13 = 2 or k % 5 = 1)"}
+add("b2_collection_problems", lambda t: Q.check_collection(_CHECKED(t), _CHECKED_V(t), [r"SUP:\d+"], "CC-BY-4.0", "MultiPolygon"), f"with s as (select p.k, p.cx, p.r, b.status, p.k % 29 <> 3 g from {_BUILT_SQL} b join fx_place p on p.k = b.s_suppkey, range(case when p.k % 23 = 1 then 2 else 1 end)) " + " union all ".join(f"select '{rule}' as rule, count(*) filter (where {sql}) n from s" for rule, sql in _RULES_SQL.items()) + " union all select 'repeated_id', count(*) from (select k from s group by k having count(*) > 1)")
 add("b3_build_index", lambda t: t.fx_index.where("geom_type = 'Polygon'").groupBy("collection").agg(F.count("*").alias("sites"), F.round(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))), 4).alias("area")).join(A.union_bbox(t.fx_index.select("collection", "xmin", "ymin", "xmax", "ymax"), "collection"), "collection"), "with a as (select collection, count(*) sites, round(sum((xmax - xmin) * (ymax - ymin)), 4) area from fx_index where geom_type = 'Polygon' group by 1), b as (select collection, min(xmin) xmin, min(ymin) ymin, max(xmax) xmax, max(ymax) ymax from fx_index group by 1) select * from a join b using (collection)")
 add("b4_layers_manifest", lambda t: J.attach_if_current(t.nation.select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), T.search_rank("n_name").alias("search_rank"), T.citation(F.lit(None).cast("string"), F.lit("By us."), F.initcap("n_name"), F.lit("1"), F.lit(2024)).alias("citation")), t.supplier.groupBy(F.col("s_nationkey").alias("n")).agg(F.count("*").alias("rows")).join(t.nation, F.expr("n = n_nationkey")).select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), "rows")).select("slug", "search_rank", "rows"), "select n_name slug, 0 search_rank, r as rows from nation left join (select s_nationkey, count(*) r from supplier group by 1) on s_nationkey = n_nationkey")
 _CONTRIB = lambda t: t.customer.select(F.col("c_custkey").alias("id"), F.expr("case when c_custkey % 4 = 0 then null else c_mktsegment end").alias("name"), F.expr("case when c_custkey % 3 = 0 then 'all rights' else 'CC-BY-4.0' end").alias("license"), F.expr("case when c_custkey % 5 = 0 then 'ftp://x' else 'https://x.test' end").alias("source_url"), F.expr("case when c_custkey % 2 = 0 then '0000-0002-1825-0097' else '0000' end").alias("orcid"))
