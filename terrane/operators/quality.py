@@ -41,3 +41,52 @@ def check_collection(sites: DataFrame, vertices: DataFrame, patterns: list[str],
     }
     repeated = R.duplicate_ids(own.select("place_id")).agg(F.count("*").alias("n")).select(F.lit("repeated_id").alias("rule"), "n")
     return problems(d, rules).unionByName(repeated)
+
+
+def check_contributions(new: DataFrame, vertices: DataFrame, existing: DataFrame, kinds: list[str], licences: list[str], vertex_cap: int = 100_000) -> DataFrame:
+    """(dir, errors, warnings, ok): one row for each of ``new``, which is accepted if it has no error.
+
+    ``new`` has (dir, name, place_type, license, attribution, contributor_orcid, source_url), ``vertices`` the polygons with
+    ``dir`` as ``place_id``, ``existing`` (name, place_type). Null and blank texts are missing; orcid and URL may be missing.
+    A geometry has one error at most, the first of no_geometry, no_numbers, vertices, degrees, flat, and warnings only if it
+    has none. A name collides with an existing one of its type or with any other row of ``new``. A null dir is an error and
+    has no geometry; extra columns are left out.
+    """
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    same = F.regexp_replace(F.lower(text("name")), r"\s+", " ").alias("__name")
+    bad = F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y")
+    reach = vertices.where("place_id is not null").groupBy("place_id").agg(F.count("*").alias("n"), F.max(bad).alias("bad"), F.max(F.abs("x")).alias("lon"), F.max(F.abs("y")).alias("lat"))
+    fault = F.when(F.col("bad"), "no_numbers").when(F.col("n") > vertex_cap, "vertices").when((F.col("lat") > 90) | (F.col("lon") > 360), "degrees")
+    measured = reach.select("place_id", fault.alias("fault"), (F.col("lon") > 180).alias("far"))
+    sound = vertices.join(measured.where("fault is null").select("place_id"), "place_id", "left_semi")
+    e = G.edges(sound)
+    turned = ((F.col("ring") == 0) & (F.col("area") < 0)) | ((F.col("ring") > 0) & (F.col("area") > 0))
+    rings = G.ring_areas(e).groupBy("place_id").agg(F.max(turned).alias("turned"), (F.max(F.abs("area")) < 1e-12).alias("flat"))
+    spans = e.groupBy("place_id").agg((F.max(F.abs(F.col("xb") - F.col("xa"))) > 180).alias("jumps"))
+    crossed = G.crossings(e).select("place_id", F.lit(True).alias("crossed")).distinct()
+    shapes = measured.join(rings, "place_id", "left").join(spans, "place_id", "left").join(crossed, "place_id", "left")
+    geometry = F.when(F.col("found").isNull(), "no_geometry").otherwise(F.coalesce("fault", F.when(F.coalesce("flat", F.lit(True)), "flat")))
+    shapes = shapes.select(F.col("place_id").alias("dir"), F.lit(True).alias("found"), "fault", "flat", "turned", "crossed", (F.col("far") | F.col("jumps")).alias("split"))
+
+    rows = new.select("dir", "name", "place_type", "license", "attribution", "contributor_orcid", "source_url", same)
+    keys = rows.select("place_type", "__name").unionByName(existing.select("place_type", same))
+    used = keys.groupBy("place_type", "__name").agg((F.count("*") > 1).alias("__used"))
+    d = rows.join(used, ["place_type", "__name"], "left").join(shapes, "dir", "left").withColumn("geometry", geometry)
+
+    def listed(rules):
+        return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
+
+    unfit = lambda c, pattern: (text(c) != "") & ~text(c).rlike(pattern)
+    errors = {
+        "dir": ~F.coalesce(F.col("dir").rlike("^OM-[0-7][0-9A-HJKMNP-TV-Z]{25}$"), F.lit(False)),
+        "name": text("name") == "",
+        "place_type": ~text("place_type").isin(kinds),
+        "license": ~text("license").isin(licences),
+        "attribution": text("attribution") == "",
+        "orcid": unfit("contributor_orcid", r"^\d{4}-\d{4}-\d{4}-\d{3}[\dX]$"),
+        "source_url": unfit("source_url", r"^https?://\S+$"),
+    }
+    fit = F.col("geometry").isNull()
+    warnings = {"winding": fit & F.col("turned"), "repair": fit & F.col("crossed"), "split": fit & F.col("split"), "name_used": (F.col("__name") != "") & F.col("__used")}
+    told = d.select("dir", F.array_compact(F.concat(listed(errors), F.array("geometry"))).alias("errors"), listed(warnings).alias("warnings"))
+    return told.withColumn("ok", F.size("errors") == 0)

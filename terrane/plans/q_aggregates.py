@@ -83,4 +83,15 @@ add("b3_build_index", lambda t: t.fx_index.where("geom_type = 'Polygon'").groupB
 add("b4_layers_manifest", lambda t: J.attach_if_current(t.nation.select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), T.search_rank("n_name").alias("search_rank"), T.citation(F.lit(None).cast("string"), F.lit("By us."), F.initcap("n_name"), F.lit("1"), F.lit(2024)).alias("citation")), t.supplier.groupBy(F.col("s_nationkey").alias("n")).agg(F.count("*").alias("rows")).join(t.nation, F.expr("n = n_nationkey")).select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), "rows")).select("slug", "search_rank", "rows"), "select n_name slug, 0 search_rank, r as rows from nation left join (select s_nationkey, count(*) r from supplier group by 1) on s_nationkey = n_nationkey")
 _CONTRIB = lambda t: t.customer.select(F.col("c_custkey").alias("id"), F.expr("case when c_custkey % 4 = 0 then null else c_mktsegment end").alias("name"), F.expr("case when c_custkey % 3 = 0 then 'all rights' else 'CC-BY-4.0' end").alias("license"), F.expr("case when c_custkey % 5 = 0 then 'ftp://x' else 'https://x.test' end").alias("source_url"), F.expr("case when c_custkey % 2 = 0 then '0000-0002-1825-0097' else '0000' end").alias("orcid"))
 add("b6_validate_contributions", lambda t: _CONTRIB(t).select("id", F.array_compact(F.array(F.when(F.col("name").isNull(), F.lit("name")), F.when(~F.col("license").startswith("CC"), F.lit("license")), F.when(~T.orcid_valid("orcid"), F.lit("orcid")))).alias("errors"), F.array_compact(F.array(F.when(~F.col("source_url").startswith("http"), F.lit("source_url")))).alias("warnings")).select("id", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), (F.size("errors") == 0).alias("ok")), "select c_custkey id, coalesce(concat_ws(',', case when c_custkey % 4 = 0 then 'name' end, case when c_custkey % 3 = 0 then 'license' end, case when c_custkey % 2 = 1 then 'orcid' end), '') errors, case when c_custkey % 5 = 0 then 'source_url' else '' end warnings, c_custkey % 4 <> 0 and c_custkey % 3 <> 0 and c_custkey % 2 = 0 ok from customer")
+_DIR = "concat(case when {k} % 17 = 3 then 'OM-I' else 'OM-0' end, lpad(cast({k} as {string}), 25, '0'))"
+_KIND = "case when {k} % 9 = 0 then 'other' when {k} % 2 = 0 then 'reserve' else 'park' end"
+_OFFERED = lambda t: t.customer.select(F.expr(_DIR.format(k="c_custkey", string="string")).alias("dir"), F.expr("case when c_custkey % 4 = 0 then ' ' else concat('Site ', c_custkey % 700) end").alias("name"), F.expr(_KIND.format(k="c_custkey")).alias("place_type"), F.expr("case when c_custkey % 7 = 2 then 'all rights' else 'CC-BY-4.0' end").alias("license"), F.expr("case when c_custkey % 14 <> 5 then 'us' end").alias("attribution"), F.expr("case when c_custkey % 8 = 1 then '0000' when c_custkey % 8 > 4 then '0000-0002-1825-009X' end").alias("contributor_orcid"), F.expr("case when c_custkey % 10 = 6 then 'ftp://x' else 'https://x.test' end").alias("source_url"))
+_OFFERED_V = lambda t: t.fx_vertex.join(t.fx_place.select("place_id", "k", "cx", "r"), "place_id").select(F.expr(_DIR.format(k="k", string="string")).alias("place_id"), "part", "ring", F.expr("case when k % 6 = 5 then 7 - seq else seq end").alias("seq"), F.expr("case when k % 16 = 9 and seq = 2 then double('NaN') when k % 5 = 1 and seq = 4 then cx + 2 * r else x end").alias("x"), F.expr("case when k % 15 = 4 then y + 200 else y end").alias("y"))
+_OFFERED_SQL = f"""with c as (select c_custkey k, {_DIR.format(k="c_custkey", string="varchar")} dir, {_KIND.format(k="c_custkey")} kind, case when c_custkey % 4 <> 0 then c_custkey % 700 end as name from customer),
+d as (select c.*, count(*) over (partition by kind, name) > 1 or (kind = 'reserve' and exists (select 1 from supplier where s_suppkey = c.name)) used, cx, r,
+  case when p.k is null then 'no_geometry' when c.k % 16 = 9 then 'no_numbers' when c.k % 15 = 4 then 'degrees' end g from c left join fx_place p on p.k = c.k),
+e as (select dir, concat_ws(',', case when k % 17 = 3 then 'dir' end, case when name is null then 'name' end, case when k % 9 = 0 then 'place_type' end, case when k % 7 = 2 then 'license' end, case when k % 14 = 5 then 'attribution' end, case when k % 8 = 1 then 'orcid' end, case when k % 10 = 6 then 'source_url' end, g) errors,
+  concat_ws(',', case when g is null and k % 6 = 5 then 'winding' end, case when g is null and k % 5 = 1 then 'repair' end, case when g is null and (cx - r < -180 or cx + r * case when k % 5 = 1 then 2 else 1 end > 180) then 'split' end, case when name is not null and used then 'name_used' end) warnings from d)
+select dir, errors, warnings, errors = '' as ok from e"""
+add("b6_contribution_checks", lambda t: Q.check_contributions(_OFFERED(t), _OFFERED_V(t), t.supplier.select(F.expr("concat('site  ', s_suppkey)").alias("name"), F.lit("reserve").alias("place_type")), ["reserve", "park"], ["CC0-1.0", "CC-BY-4.0", "ODbL-1.0"]).withColumn("errors", F.array_join("errors", ",")).withColumn("warnings", F.array_join("warnings", ",")), _OFFERED_SQL)
 add("b9_zone_indicators", lambda t: J.assign_indicator(t.fx_zone, A.latest_by(_SERIES(t))).groupBy("basis", "yr").agg(F.count("*").alias("zones"), F.round(F.sum("val"), 2).alias("total")), f"with l as (select code, max(yr) yr, round(arg_max(val, yr), 2) val from {_SERIES_SQL} group by code), z as (select case when p then coalesce(a.yr, b.yr) end yr, case when p then coalesce(a.val, b.val) end val, case when p and a.yr is not null then 'territory' when p and b.yr is not null then 'sovereign' end basis from (select *, pol_type = '200NM' p from fx_zone) z left join l a on a.code = z.ter left join l b on b.code = z.sov) select basis, yr, count(*) zones, round(sum(val), 2) total from z group by 1, 2")
