@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terrane.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts
+from terrane.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sentencepiece_codec, source_divergence, spelling_variants, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_mix_sources": mixing.op8,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_quality_rules": quality_rules.op10,
+    "op11_spelling_variants": spelling_variants.op11,
+    "op12_source_divergence": source_divergence.op12,
     "op13_token_counts": token_counts.op13,
     "language_of_pages": language_id.language_of_pages,
     "quality_counts": quality_rules.quality_counts,
@@ -26,5 +28,6 @@ ORACLE_SQL = {
     "op7_suffix_dedup": suffix_dedup.SQL,
     "op8_mix_sources": mixing.SQL,
     "op9_substring_dedup": substring_dedup.SQL,
+    "op12_source_divergence": source_divergence.SQL,
     "quality_counts": quality_rules.SQL,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,3 +71,39 @@ def words_kept(docs: list[tuple[int, str | None]], width: int = 35) -> dict[int,
         gone = {j for i in range(len(w) - width + 1) if seen[tuple(w[i : i + width])] > 1 for j in range(i, i + width)}
         out[d] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
     return out
+
+
+def variants(docs):
+    """Rows (word, form, root, n, n_near, form_n): near words are found by deleting each letter, since near words share a word so made or one holds the other."""
+    n = Counter()
+    for key, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'null' if key is None else key}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    n = {w: k for w, k in n.items() if k >= 2 and len(w) >= 7}
+    near = {w: set() for w in n}
+    holes = {}
+    for w in n:
+        for i in range(len(w)):
+            cut = w[:i] + w[i + 1 :]
+            if cut in n:
+                near[w].add(cut)
+                near[cut].add(w)
+            holes.setdefault((i, cut), []).append(w)
+    for group in holes.values():
+        for w in group:
+            near[w] |= set(group) - {w}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    rows = set()
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.add((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return rows
