@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 #: White space of every contract, as the inside of a character class.
 WS = r"\x20\x09-\x0D"
 ROW = "__row"
+_MARK = "terrane.row"
 
 _LOCAL: dict[str, str] = {}
 _USED: set[str] = set()
@@ -88,14 +89,31 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def with_rows(docs: DataFrame, *columns: str) -> DataFrame:
-    """``docs`` with a row key, so that repeated or null ``doc_id`` values stay apart. A key that ``docs`` holds already is kept; a new one holds for this scan only."""
-    return docs.select(F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id().alias(ROW), *columns)
+def has_key(docs: DataFrame) -> bool:
+    """Whether ``docs`` holds a row key of ours. The mark in the column's metadata tells it from a column of the caller that has its name."""
+    return any(f.name == ROW and _MARK in f.metadata for f in docs.schema)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` written once with its row key. Whatever joins on the key reads it from here, since another scan of ``docs`` may be split, and so numbered, otherwise."""
-    return docs if ROW in docs.columns else stash(with_rows(docs, *docs.columns), "keyed")
+def with_rows(docs: DataFrame, *columns) -> DataFrame:
+    """``columns`` of ``docs`` with a row key, so that repeated or null ``doc_id`` values stay apart. A key that ``docs`` holds already is kept; a new one holds for this scan only."""
+    key = F.col(ROW) if has_key(docs) else F.monotonically_increasing_id()
+    return docs.select(key.alias(ROW, metadata={_MARK: "key"}), *columns)
+
+
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs``, or some of its columns, written once with its row key. Whatever joins on the key reads it from here, since
+    another scan of ``docs`` may be split, and so numbered, otherwise. A column of the caller that is named as the key gets
+    another name, which :func:`own_columns` takes back.
+    """
+    if has_key(docs):
+        return docs
+    clear = lambda c: F.col(f"`{c}`").alias(f"{ROW}_{uuid.uuid4().hex}", metadata={_MARK: c}) if c.lower() == ROW else F.col(f"`{c}`")
+    return stash(with_rows(docs, *map(clear, columns or docs.columns)), "keyed")
+
+
+def own_columns(rows: DataFrame) -> DataFrame:
+    """Rows of a :func:`keyed` table without the key, the caller's columns under their own names."""
+    return rows.select(*[F.col(f"`{f.name}`").alias(f.metadata.get(_MARK, f.name), metadata={k: v for k, v in f.metadata.items() if k != _MARK}) for f in rows.schema if f.name != ROW])
 
 
 def id_order(doc_id, row):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import ROW, id_order, keyed, stash, with_rows
+from terrane.llm.common import ROW, id_order, keyed, own_columns, stash, with_rows
 from terrane.llm.textarrays import slices, tidy
 
 BLOCK = 4096
@@ -103,7 +103,7 @@ def dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs = keyed(docs)
     kept = groups(docs, block).where("kept").select(ROW)
-    return docs.join(kept, ROW, "left_semi").drop(ROW)
+    return own_columns(docs.join(kept, ROW, "left_semi"))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ their suffix's, and those by the whole corpus's, so a host with few texts says l
 text that no language explains; its trigrams are all equally likely.
 
 At scale: the trigram table has 32,768 rows and a column for each declared language, taken as bounded since these are language
-codes. It is fitted on a bounded sample: of each language ``SAMPLE`` labelled rows, those with the lowest hash of their doc_id,
-or all if it has fewer, so rare languages are classes too. Everything else covers all rows: one scan of the texts gives each
+codes. It is fitted on a bounded sample: of each language ``SAMPLE`` labelled rows, those with the lowest hash of doc_id and text,
+or all if it has fewer, so rare languages are classes too. Rows alike in both count once. The hash up to which rows are taken is found exactly, by
+merging the lowest of each task, so no language goes short, whatever its doc_ids. Everything else covers all rows: one scan of the texts gives each
 row its likelihoods, in a thin table; sums by host are partial sums in each task, and a host with a third of all rows is one
 row of the table that joins back. Sums are of integers, so reruns agree.
 
@@ -28,10 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.common import ROW, keyed, stash, with_rows
+from terrane.llm.common import ROW, keyed, own_columns, stash, with_rows
 
 SAMPLE = 1_000
-SPARE = 2  # so many times the sample are sought by a range of hashes before the lowest are taken
 BINS = 1 << 15
 WEIGHT = 100  # trigrams that a text counts as at most; neighbouring trigrams are not independent
 UND = "und"
@@ -59,13 +59,33 @@ def _trigrams(batch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bins[at], np.diff(inside), np.diff(first)
 
 
+def lowest(rows: DataFrame, n: int) -> DataFrame:
+    """(name, highest) of ``rows`` (name, place): for each name the n-th lowest of its places, each counted once, or the last if there are fewer. A task hands on at most n places of a name."""
+    schema = pa.schema([("name", pa.string()), ("place", pa.int64())])
+
+    def run(batches):
+        found: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names = batch.column("name").dictionary_encode()
+            which, place = names.indices.to_numpy(zero_copy_only=False), batch.column("place").to_numpy(zero_copy_only=False)
+            order = np.argsort(which, kind="stable")
+            ends = np.cumsum(np.bincount(which, minlength=len(names.dictionary)))
+            for name, some in zip(names.dictionary.to_pylist(), np.split(place[order], ends[:-1]), strict=True):
+                found[name] = np.unique(np.concatenate((found.get(name, some[:0]), some)))[:n]
+        for name, place in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(place), pa.string()), pa.array(place, pa.int64())], schema=schema)
+
+    places = rows.mapInArrow(A.tidy(run), "name string, place long").distinct()
+    turn = F.row_number().over(Window.partitionBy("name").orderBy("place"))
+    return places.withColumn("turn", turn).where(F.col("turn") <= n).groupBy("name").agg(F.max("place").alias("highest"))
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, by name, and the log-probabilities of the trigram bins (bins by languages and ``und``). ``docs`` has (doc_id, text, label)."""
-    labelled = docs.where("label is not null and label != ''").select("doc_id", F.col("label").alias("name"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)).alias("place"), "text")
-    totals = stash(labelled.groupBy("name").agg(F.count("*").alias("n")), "totals")  # written, so that its size is known: texts that are not sampled stay where they are
-    few = labelled.join(totals, "name").where(F.col("place") <= F.lit(float(SPARE * sample)) / F.col("n") * (1 << 40))
-    turn = F.row_number().over(Window.partitionBy("name").orderBy("place", "doc_id"))
-    rows = few.withColumn("turn", turn).where(F.col("turn") <= sample).select("name", "text")
+    labelled = docs.where("label is not null and label != ''").select(F.col("label").alias("name"), F.xxhash64("doc_id", "text", F.lit(5)).alias("place"), "text")
+    limits = stash(lowest(labelled.select("name", "place"), sample), "limits")  # written, so that its size is known: texts that are not sampled stay where they are
+    few = labelled.join(limits, "name").where("place <= highest")
+    rows = few.groupBy("name", "place").agg(F.first("text").alias("text")).select("name", "text")
     schema = pa.schema([("name", pa.string()), ("bin", pa.int32()), ("n", pa.int64()), ("texts", pa.int64())])
 
     def count(batches):
@@ -177,7 +197,7 @@ def only_identified(docs: DataFrame, **evidence) -> DataFrame:
     """The rows of ``docs`` whose language is known, with all their columns."""
     docs = keyed(docs)
     kept = identify(docs, **evidence).where("kept").select(ROW)
-    return docs.join(kept, ROW, "left_semi").drop(ROW)
+    return own_columns(docs.join(kept, ROW, "left_semi"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

@@ -324,7 +324,7 @@ def without(docs: DataFrame, dropped: DataFrame, min_chars: int = MIN_CHARS, wit
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = True) -> DataFrame:
     """Builds the index of ``docs`` and removes the lines that an earlier document holds."""
-    docs = keyed(docs if ROW in docs.columns else docs.select("doc_id", "text"))
+    docs = keyed(docs, "doc_id", "text")
     index = build(docs, min_chars)
     return without(docs, dropped_keys(index), min_chars, with_text)
 

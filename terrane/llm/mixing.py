@@ -8,12 +8,13 @@ a cut of the seeded order of its source's documents. The cut lies where the runn
 
 At scale: one scan counts words; the thin table of (doc_id, source, size, order key) is kept. The cut is found by
 histogram: sizes are summed for each of 4,096 ranges of the order key, and only the one range that holds the cut is
-sorted, so a source with a third of all rows is never sorted as a whole. Sources are one row each; only that table of
-sources is ordered as a whole.
+sorted, so a source with a third of all rows is never sorted as a whole. Copies are summed for each part of the table
+first. Sources are one row each; that table is ordered in one task, so it is meant for sources by the million, not by the billion.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last. A source whose size is 0
-has target 0. Repeated rows have one order key, so all or none of them get the extra repetition. An empty table gives
-no rows. Extra columns and clashing names do not matter. No document is taken more than ``max_epochs`` times. Reruns agree, as the order key is a hash of seed and doc_id.
+has target 0. Rows with null or repeated doc_ids are told apart by their texts; rows alike in both are copies, of which as many
+get the extra repetition as the target asks for. An empty table gives no rows. Extra columns keep their names, whatever they
+are. No document is taken more than ``max_epochs`` times. Reruns agree up to the choice among such copies, as the order key is a hash of seed, doc_id and text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import ROW, WS, keyed, stash, with_rows
+from terrane.llm.common import ROW, WS, keyed, own_columns, stash, with_rows
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -52,32 +53,37 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 
 def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, source, size, source_size, target and ``times``, how often the mix takes it."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    given = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), given("doc_id"), F.lit(":"), F.md5(given("text"))))
     thin = stash(with_rows(docs, "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), key.alias("key")), "sizes")
-    thin = thin.withColumn("bin", F.substring("key", 1, DIGITS))
+    thin = thin.withColumn("bin", F.substring("key", 1, DIGITS)).withColumn("part", F.shiftright(ROW, 33))
     bins = stash(thin.groupBy("source", "bin").agg(F.sum("size").alias("bin_size")), "bins")
     goals = targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, max_epochs)
     goals = goals.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goals = stash(goals.withColumn("need", F.col("target") - F.col("whole") * F.col("source_size")), "goals")
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(before), F.lit(0)))
+    running = lambda *keys: Window.partitionBy("source").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(running("bin")), F.lit(0)))
     ranges = ranges.join(goals, same(ranges, goals)).select(ranges["source"], "bin", "before", "bin_size", "source_size", "target", "whole", "need")
-    rows = thin.join(ranges, same(thin, ranges) & (thin["bin"] == ranges["bin"])).select(ROW, "doc_id", thin["source"], "size", "key", thin["bin"], "before", "bin_size", "source_size", "target", "whole", "need")
+    rows = thin.join(ranges, same(thin, ranges) & (thin["bin"] == ranges["bin"])).select(ROW, "doc_id", thin["source"], "size", "key", "part", thin["bin"], "before", "bin_size", "source_size", "target", "whole", "need")
     decided = rows.where("before + bin_size <= need or before > need").withColumn("extra", F.col("before") + F.col("bin_size") <= F.col("need"))
-    inside = Window.partitionBy("source", "bin").orderBy("key")
-    cut = rows.where("not (before + bin_size <= need or before > need)")
-    run, tie = F.col("before") + F.sum("size").over(inside), F.sum("size").over(Window.partitionBy("source", "bin", "key"))
-    cut = cut.withColumn("run", run).withColumn("tie", tie).withColumn("extra", 2 * F.col("run") - F.col("tie") <= 2 * F.col("need")).drop("run", "tie")
+    cut = rows.where("not (before + bin_size <= need or before > need)")  # one range of each source
+    # rows of one key are copies of one another; they are counted by key and part of the table, so that many copies are not sorted in one task
+    copies = cut.groupBy("source", "key", "part").agg(F.sum("size").alias("part_size"))
+    copies = copies.select("source", "key", "part", F.coalesce(F.sum("part_size").over(running("key", "part")), F.lit(0)).alias("ahead"))
+    turn = F.row_number().over(Window.partitionBy("source", "key", "part").orderBy(ROW))
+    cut = cut.withColumn("turn", turn).join(copies.withColumnsRenamed({"source": "of", "key": "k", "part": "p"}), F.col("source").eqNullSafe(F.col("of")) & (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")))
+    run = F.col("before") + F.col("ahead") + F.col("turn") * F.col("size")
+    cut = cut.withColumn("extra", 2 * run - F.col("size") <= 2 * F.col("need")).drop("turn", "of", "k", "p", "ahead")
     return decided.unionByName(cut).select(ROW, "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.when(F.col("extra") & (F.col("whole") < max_epochs), 1).otherwise(0)).alias("times"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: dropped at 0 repetitions, repeated at several."""
-    columns, docs = docs.columns, keyed(docs)
-    times = taken_words(docs, weights, max_epochs, seed).where("times > 0").select(ROW, F.col("times").cast("int").alias("__times"))
-    rows = docs.join(times, ROW)
-    return rows.withColumn("__times", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[c for c in columns if c != ROW])
+    docs = keyed(docs)
+    times = taken_words(docs, weights, max_epochs, seed).where("times > 0")
+    turns = times.select(ROW, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("turn")).select(ROW)
+    return own_columns(docs.join(turns, ROW))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
@@ -88,7 +94,7 @@ def op8(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 with d as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size,
-         md5('mix-1:' || coalesce(cast(doc_id as varchar), 'null')) k
+         md5('mix-1:' || coalesce(cast(doc_id as varchar), 'null') || ':' || md5(coalesce(text, 'null'))) k
   from documents
 ), s as (
   select source, cast(sum(size) as bigint) source_size from d group by source
@@ -110,10 +116,10 @@ with d as (
   select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end whole from t
 ), x as (
   select d.doc_id, d.size, n.source_size, n.target, n.whole, n.target - n.whole * n.source_size need,
-         sum(d.size) over (partition by d.source order by d.k) run, sum(d.size) over (partition by d.source, d.k) tie
+         sum(d.size) over (partition by d.source order by d.k rows unbounded preceding) run
   from d join n on d.source is not distinct from n.source
 )
 select doc_id, size, source_size, target,
-       cast(size * (whole + case when whole < 3 and 2 * run - tie <= 2 * need then 1 else 0 end) as bigint) taken
+       cast(size * (whole + case when whole < 3 and 2 * run - size <= 2 * need then 1 else 0 end) as bigint) taken
 from x
 """

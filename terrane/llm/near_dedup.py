@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.common import ROW, discard, id_order, keyed, release, stash, with_rows
+from terrane.llm.common import ROW, discard, id_order, keyed, own_columns, release, stash, with_rows
 
 K = 3
 SHORT, SHORT_K = 40, 2
@@ -377,7 +377,7 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY, k: int = K, n: int = SKETCHES, taken: int = TAKEN) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, class_id (the smallest doc_id of the class), class_size, kept."""
     spark, given = docs.sparkSession, docs
-    docs = keyed(docs if ROW in docs.columns else docs.select("doc_id", "text"))
+    docs = keyed(docs, "doc_id", "text")
     thin = stash(with_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketched(similarity, k, n, taken), "row long, doc_id long, n_words long, key binary, bag binary, sketches array<bigint>"), "sketches")
     bags = thin.select("row", "bag")
     sketched, thin = thin, thin.drop("bag").withColumn("order", id_order(F.col("doc_id"), F.col("row")))
@@ -423,7 +423,7 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay, one of each class, with all their columns."""
     docs = keyed(docs)
     kept = classes(docs, similarity).where("kept").select(ROW)
-    return docs.join(kept, ROW, "left_semi").drop(ROW)
+    return own_columns(docs.join(kept, ROW, "left_semi"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.survivors import ASKED, answer, asked, chunked, compared, told
+from terrane.llm.survivors import ASKED, LAST, answer, asked, chunked, compared, told
 
 WIDTH = 35
 SEED = 8
@@ -123,7 +123,7 @@ def _remove(width: int, seed: int, buckets: int, with_text: bool):
             keep = np.flatnonzero(~cut) + a
             kept = b" ".join([raw[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)])
             from_, to = A.runs(cut)
-            rows.append((row, doc, int(b - a), int(cut.sum()), [{"start": s, "end": e} for s, e in zip(from_.tolist(), to.tolist(), strict=True)], kept.decode() if with_text else None, hashlib.sha256(kept).hexdigest()))
+            rows.append((row, None if doc == LAST else doc, int(b - a), int(cut.sum()), [{"start": s, "end": e} for s, e in zip(from_.tolist(), to.tolist(), strict=True)], kept.decode() if with_text else None, hashlib.sha256(kept).hexdigest()))
         return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_OUT_ARROW)], schema=_OUT_ARROW)
 
     return run

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import textarrays as A
-from terrane.llm.survivors import ASKED, answer, asked, chunked, compared, packed, told
+from terrane.llm.survivors import ASKED, LAST, answer, asked, chunked, compared, packed, told
 
 WIDTH = 50
 SEED = 16
@@ -203,7 +203,7 @@ def _remove(width: int, seed: int, buckets: int, with_text: bool):
             part = slice(c.offsets[i], c.offsets[i + 1])
             kept = c.data[part][~cut[part]].tobytes()
             from_, to = A.runs(cut[part])
-            rows.append((row, doc, len(cut[part]), int(cut[part].sum()), [{"start": s, "end": e} for s, e in zip(from_.tolist(), to.tolist(), strict=True)], kept if with_text else None, hashlib.sha256(kept).hexdigest()))
+            rows.append((row, None if doc == LAST else doc, len(cut[part]), int(cut[part].sum()), [{"start": s, "end": e} for s, e in zip(from_.tolist(), to.tolist(), strict=True)], kept if with_text else None, hashlib.sha256(kept).hexdigest()))
         return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_OUT_ARROW)], schema=_OUT_ARROW)
 
     return run

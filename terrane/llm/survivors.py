@@ -16,6 +16,7 @@ from terrane.llm.common import ROW, parts, text_bytes, with_rows
 
 CHUNK = 4 << 20
 ASKED = "chunk long, bucket int, n int, hashes binary, marks binary"
+LAST = (1 << 63) - 1  # stands for a null doc_id, which comes last
 ASKED_ARROW = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("hashes", pa.binary()), ("marks", pa.binary())])
 TOLD = "chunk long, bucket int, bits binary"
 _TOLD_ARROW = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary())])
@@ -26,8 +27,7 @@ def chunked(docs: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     total = text_bytes(docs)
     chunks = max(1, -(-total // chunk))
-    last = F.lit((1 << 63) - 1)
-    d = with_rows(docs, F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    d = with_rows(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = parts(spark, total, 64 << 20)
     return d.withColumn("chunk", F.pmod(F.xxhash64(ROW), F.lit(chunks))).repartition(n, "chunk"), n
 
