@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions.boxes import cell_at
 from terrane.operators.geometry import bounds, equal_area
 from terrane.operators.graph import cut
-from terrane.operators.overlap import min_integral, points_in_polygons, polygon_overlap
+from terrane.operators.overlap import min_integral, polygon_overlap
 
 TOLERANCE = 1e-9
 
@@ -104,23 +104,67 @@ def share_audit(membership: DataFrame, e: DataFrame) -> DataFrame:
     return s.join(size, "place_id").withColumn("loss", 1 - F.col("covered") / F.col("size"))
 
 
-def place_cells(e: DataFrame, x0: float, y0: float, res: float, ncol: int, nrow: int, tile_deg: float, most: int = 200_000) -> DataFrame:
-    """(place_id, cell, tile, listed): cells of a regular grid whose centre is inside; a part without any counts the cell under its box's centre.
+def _first_at(x: Column, x0: float, res: float) -> Column:
+    """The first column whose centre is at ``x`` or east of it. The division may be off by one, so the centres themselves decide."""
+    centre = lambda c: x0 + (c + 0.5) * res
+    c = F.ceil((x - x0) / res - 0.5)
+    return F.when(centre(c - 1) >= x, c - 1).when(centre(c) < x, c + 1).otherwise(c)
+
+
+def _merged(runs: DataFrame, ncol: int) -> DataFrame:
+    """Runs (place_id, r, c0, c1) of columns, wrapped onto the grid's columns and cut so that no cell is in two of them."""
+    start, n = F.pmod("c0", F.lit(ncol)), F.least(F.lit(ncol), F.col("c1") - F.col("c0") + 1)
+    end = start + n - 1
+    piece = lambda a, b: F.struct(a.cast("bigint").alias("c0"), b.cast("bigint").alias("c1"))
+    wrapped = F.when(end < ncol, F.array(piece(start, end))).otherwise(F.array(piece(start, F.lit(ncol - 1)), piece(F.lit(0), end - ncol)))
+    w = runs.select("place_id", "r", F.inline(wrapped))
+    before = F.max("c1").over(Window.partitionBy("place_id", "r").orderBy("c0", "c1").rowsBetween(Window.unboundedPreceding, -1))
+    return w.withColumn("c0", F.greatest("c0", F.coalesce(before + 1, F.lit(0)))).where("c0 <= c1")
+
 
-    Longitudes past 180 wrap. ``listed`` is false for sites with more than ``most`` cells.
+def place_runs(e: DataFrame, x0: float, y0: float, res: float, ncol: int, nrow: int, most: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """Runs of columns (place_id, r, c0, c1) of the grid cells whose centre is inside, and (place_id, cells, listed) of all places.
+
+    Scanlines: each edge meets the rows whose centre line it crosses; crossings of a part and row in order pair up to runs. So
+    rows grow with edges and the rows that they cross, not with areas. A part without any centre counts the cell under its
+    box's centre. Longitudes past 180 wrap. A place is refused, and has no runs, if the box of one of its parts holds more than
+    four times ``most`` cells, which is told before any crossing is made (``cells`` is null then), or if it has more than
+    ``most`` cells, which are counted from the runs.
     """
-    parts = e.withColumn("place_id", F.concat_ws("#", "place_id", F.col("part").cast("string")))
-    box = bounds(parts.select("place_id", F.col("xa").alias("x"), F.col("ya").alias("y")))
     row = lambda y: F.floor((y0 - y) / res + 1e-9)
     column = lambda x: F.floor((x - x0) / res + 1e-9)
-    spread = box.withColumn("r", F.explode(F.sequence(F.greatest(F.lit(0), row(F.col("ymax"))), F.least(F.lit(nrow - 1), row(F.col("ymin")))))).withColumn("c", F.explode(F.sequence(column(F.col("xmin")), column(F.col("xmax")))))
-    centres = spread.select(F.concat_ws("|", F.col("r").cast("string"), F.col("c").cast("string")).alias("point_id"), (x0 + (F.col("c") + 0.5) * res).alias("lon"), (y0 - (F.col("r") + 0.5) * res).alias("lat")).distinct()
-    inside = points_in_polygons(centres, parts).select("place_id", F.split_part("point_id", F.lit("|"), F.lit(1)).cast("bigint").alias("r"), F.split_part("point_id", F.lit("|"), F.lit(2)).cast("bigint").alias("c"))
-    bare = box.join(inside.select("place_id").distinct(), "place_id", "left_anti").select("place_id", row((F.col("ymin") + F.col("ymax")) / 2).alias("r"), column((F.col("xmin") + F.col("xmax")) / 2).alias("c"))
-    cells = inside.unionByName(bare).select(F.split_part("place_id", F.lit("#"), F.lit(1)).alias("place_id"), cell_at(F.col("r"), F.col("c"), ncol, res, tile_deg).alias("k")).select("place_id", "k.cell", "k.tile").distinct()
-    counts = cells.groupBy("place_id").agg((F.count("*") <= most).alias("listed"))
-    return cells.join(counts, "place_id")
+    outer = e.where("ring = 0").select("place_id", "part", F.inline(F.array(*[F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in "ab"])))
+    box = cut(bounds(outer, "place_id", "part"))
+    rows = F.least(F.lit(nrow - 1), row(F.col("ymin"))) - F.greatest(F.lit(0), row(F.col("ymax"))) + 1
+    held = rows * (column(F.col("xmax")) - column(F.col("xmin")) + 1)
+    refused = box.where(held > 4 * most).select("place_id").distinct()
+    parts = box.join(refused, "place_id", "left_anti")
+    line = y0 - (F.col("r") + 0.5) * res
+    reach = lambda y, d: F.floor((y0 - y) / res - 0.5) + d
+    low, high = F.greatest(F.lit(0), reach(F.greatest("ya", "yb"), -1)), F.least(F.lit(nrow - 1), reach(F.least("ya", "yb"), 2))
+    met = e.where("ya != yb").join(refused, "place_id", "left_anti").withColumn("r", F.explode(F.when(low <= high, F.sequence(low, high)))).where((F.col("ya") > line) != (F.col("yb") > line))
+    crossings = met.select("place_id", "part", "r", ((F.col("xb") - F.col("xa")) * (line - F.col("ya")) / (F.col("yb") - F.col("ya")) + F.col("xa")).alias("x"))
+    order = Window.partitionBy("place_id", "part", "r").orderBy("x")
+    pairs = crossings.withColumn("to", F.lead("x").over(order)).withColumn("k", F.row_number().over(order)).where("k % 2 = 1")
+    runs = pairs.select("place_id", "part", "r", _first_at(F.col("x"), x0, res).alias("c0"), (_first_at(F.col("to"), x0, res) - 1).alias("c1")).where("c0 <= c1")
+    runs = cut(runs)
+    bare = parts.join(runs.select("place_id", "part").distinct(), ["place_id", "part"], "left_anti")
+    centre = column((F.col("xmin") + F.col("xmax")) / 2)
+    bare = bare.select("place_id", row((F.col("ymin") + F.col("ymax")) / 2).alias("r"), centre.alias("c0"), centre.alias("c1"))
+    merged = _merged(runs.drop("part").unionByName(bare), ncol)
+    counts = merged.groupBy("place_id").agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("cells"))
+    status = cut(counts.withColumn("listed", F.col("cells") <= most).unionByName(refused.select("place_id", F.lit(None).cast("bigint").alias("cells"), F.lit(False).alias("listed"))))
+    return merged.join(status.where("not listed").select("place_id"), "place_id", "left_anti"), status
+
+
+def place_cells(e: DataFrame, x0: float, y0: float, res: float, ncol: int, nrow: int, tile_deg: float, most: int = 200_000) -> DataFrame:
+    """(place_id, cell, tile, listed): the cells of :func:`place_runs`, each once. A refused place has one row, without a cell, that is not listed."""
+    runs, status = place_runs(e, x0, y0, res, ncol, nrow, most)
+    each = runs.withColumn("c", F.explode(F.sequence("c0", "c1"))).select("place_id", cell_at(F.col("r"), F.col("c"), ncol, res, tile_deg).alias("k"))
+    none = status.where("not listed").select("place_id", F.lit(None).cast("bigint").alias("cell"), F.lit(None).cast("bigint").alias("tile"), "listed")
+    return each.select("place_id", "k.cell", "k.tile", F.lit(True).alias("listed")).unionByName(none)
 
 
 def tiles_of(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("place_id", "tile").agg(F.count("*").alias("n"), F.min("cell").alias("first"), F.max("cell").alias("last"))
+    """The tiles of listed cells."""
+    return cells.where("cell is not null").groupBy("place_id", "tile").agg(F.count("*").alias("n"), F.min("cell").alias("first"), F.max("cell").alias("last"))

@@ -76,5 +76,8 @@ rc as (select place_id, r, unnest(range(cast(floor((x0 + 180) / 5e-1 + 1e-9) as
 ic as (select rc.place_id, r, c from rc join fx_edge e on e.place_id = rc.place_id and (ya > 90 - (r + 5e-1) * 5e-1) <> (yb > 90 - (r + 5e-1) * 5e-1) and -180 + (c + 5e-1) * 5e-1 < (xb - xa) * (90 - (r + 5e-1) * 5e-1 - ya) / (yb - ya) + xa group by 1, 2, 3 having count(*) % 2 = 1),
 pcs as (select distinct place_id, r * 720 + c % 720 + 1 cell, (r // 10) * 72 + (c % 720) // 10 tile from ic)"""
 add("g16_place_cells", lambda t: _PC(t), f"with {_PC_SQL} select place_id, cell, tile, true listed from pcs")
+_FEW = 300
+add("g16_refused", lambda t: C.place_cells(t.fx_edge, -180.0, 90.0, 0.5, 720, 360, 5.0, most=_FEW), f"with {_PC_SQL}, big as (select place_id from bx where (floor((90 - y0) / 5e-1 + 1e-9) - floor((90 - y1) / 5e-1 + 1e-9) + 1) * (floor((x1 + 180) / 5e-1 + 1e-9) - floor((x0 + 180) / 5e-1 + 1e-9) + 1) > 4 * {_FEW}), few as (select place_id from pcs where place_id not in (from big) group by 1 having count(*) <= {_FEW}) select place_id, cell, tile, true listed from pcs where place_id in (from few) union all select place_id, null, null, false from bx where place_id not in (from few)")
+add("g16_place_runs", lambda t: C.place_runs(t.fx_edge, -180.0, 90.0, 0.5, 720, 360)[0].groupBy("place_id", "r").agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("cells"), F.min("c0").alias("first"), F.max("c1").alias("last")), f"with {_PC_SQL} select place_id, (cell - 1) // 720 r, count(*) cells, min((cell - 1) % 720) as first, max((cell - 1) % 720) as last from pcs group by 1, 2")
 add("g17_tiles_of", lambda t: C.tiles_of(_PC(t)), f"with {_PC_SQL} select place_id, tile, count(*) n, min(cell) as first, max(cell) as last from pcs group by 1, 2")
 add("b8_suitability_report", lambda t: S.cell_species(_PC(t).select("place_id", "cell"), t.fx_point.select(F.expr("cast(floor((90 - lat) / 0.5) * 720 + floor((lon + 180) / 0.5) + 1 as bigint)").alias("cell"), (F.col("point_id") % 20).alias("species"), F.col("v").alias("suit"), F.col("point_id").alias("seq"))).select("place_id", "species", "cells", F.round("max_suit", 2).alias("max_suit"), F.round("share", 6).alias("share")), f"with {_PC_SQL}, vv as (select cast(floor((90 - lat) / 5e-1) * 720 + floor((lon + 180) / 5e-1) + 1 as bigint) cell, point_id % 20 species, arg_min(v, point_id) suit from fx_point where v > 0 group by 1, 2), n as (select place_id, count(*) n from pcs group by 1) select p.place_id, species, count(*) cells, round(max(suit), 2) max_suit, round(count(*) / any_value(n), 6) share from pcs p join vv on vv.cell = p.cell join n on n.place_id = p.place_id group by 1, 2")
