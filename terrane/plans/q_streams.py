@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.operators import aggregates as A
@@ -28,7 +28,8 @@ def arriving(t: Tables, table: str) -> tuple[DataFrame, str]:
 def drained(stream: DataFrame, home: str, mode: str) -> DataFrame:
     """What a stream gives until all is read; batches are appended by foreachBatch to a table, in update mode the last row of each key counts."""
     write = lambda df, n: df.withColumn("_batch", F.lit(n)).write.mode("append").parquet(f"{home}/out")
-    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start().awaitTermination()
+    with T.keyed_state(stream.sparkSession):
+        stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.parquet(f"{home}/out")
 
 
@@ -44,32 +45,27 @@ add("t1_usage_stream", lambda t: _last(streamed(t, "events", lambda s: T.usage_s
 _USAGE = lambda t: _last(streamed(t, "events", lambda s: T.usage_stream(s.selectExpr(*_METRIC)), "update"), "api_key", "month")
 add("t1_usage_state", lambda t: A.cap_state(_USAGE(t), t.events.selectExpr("user_id as api_key", "100000 + user_id * 1000 as cap").distinct()).select("api_key", "month", "state", "percent"), "select api_key, month, case when bytes >= cap then 'hard' when bytes >= 8e-1 * cap then 'soft' else 'ok' end state, round(bytes / cap * 100e0, 1) as percent from (select user_id api_key, 100000 + user_id * 1000 cap, strftime(ts, '%Y-%m') as month, cast(sum(cast(floor(value * 1000) as bigint)) as double) bytes from events group by 1, 2, 3)")
 add("t2_anonymous_rates", lambda t: _last(streamed(t, "events", lambda s: T.anonymous_rates(s.selectExpr("cast(ts as timestamp) ts", "event_type as client"), 1), "update"), "client", "minute").select("client", F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "n"), "select event_type client, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') as minute, count(*) n from events group by 1, 2 having count(*) > 1")
-_STATUS = lambda t: _last(streamed(t, "events", lambda s: T.status_stream(s.selectExpr("user_id as key", "cast(cast(ts as date) as string) as date", "event_id as seq", "event_type as value")), "update"), "key")
+_STATUS = lambda t: T.status_now(streamed(t, "events", lambda s: T.status_stream(s.selectExpr("user_id as key", "cast(cast(ts as date) as string) as date", "event_id as seq", "event_type as value")), "append")).withColumn("key", F.col("key").cast("bigint"))
 add("t3_status_stream", lambda t: _STATUS(t).withColumn("history", F.array_join(F.transform("history", lambda e: F.concat_ws(" ", e["date"], e["value"])), ",")), "select user_id as key, max(strftime(ts, '%Y-%m-%d')) as date, arg_max(event_type, strftime(ts, '%Y-%m-%d') || lpad(cast(event_id as varchar), 20, '0')) as value, string_agg(strftime(ts, '%Y-%m-%d') || ' ' || event_type, ',' order by cast(ts as date), event_id) history, count(*) as events from events group by 1")
 
 
 def _changes(t: Tables) -> DataFrame:
-    """Probes arrive as a stream; every 17th failed."""
-    stream, home = arriving(t, "supplier")
+    """Probes arrive in three files, each with some of a slug's sources, one file a batch; every 97th failed."""
     number = F.col("source_no")
-    probes = _PROBE(_With(stream), True).withColumn("error", F.when(number % 17 == 0, F.lit("timeout")))
-    T.change_stream(probes, _PROBE(t, False), f"{home}/changes", f"{home}/state", once=True).awaitTermination()
+    probes = _PROBE(t, True).withColumn("error", F.when(number % 97 == 0, F.lit("timeout"))).withColumn("sources", F.count("*").over(Window.partitionBy("slug")))
+    home = scratch(probes)
+    probes.repartitionByRange(3, F.pmod(number, F.lit(3))).write.parquet(f"{home}/probes")
+    stream = t.spark.readStream.schema(probes.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/probes")
+    T.change_stream(stream, _PROBE(t, False), f"{home}/changes", f"{home}/state", once=True).awaitTermination()
     return t.spark.read.parquet(f"{home}/changes").drop("batch")
 
 
-class _With:
-    """Stands for the tables where one of them is a stream."""
-
-    def __init__(self, supplier: DataFrame):
-        self.supplier = supplier
-
-
-add("t4_change_stream", _changes, """with good as (select * from supplier where s_suppkey % 13 <> 0 and s_suppkey % 17 <> 0), old as (select * from supplier where s_suppkey % 11 <> 0 and s_nationkey in (select s_nationkey from good)),
+add("t4_change_stream", _changes, """with good as (select * from supplier where s_suppkey % 13 <> 0 and s_nationkey not in (select s_nationkey from supplier where s_suppkey % 13 <> 0 and s_suppkey % 97 = 0)), old as (select * from supplier where s_suppkey % 11 <> 0 and s_nationkey in (select s_nationkey from good)),
 r as (select cast(coalesce(o.s_nationkey, g.s_nationkey) as varchar) slug, coalesce(o.s_suppkey, g.s_suppkey) source_no, case when o.s_suppkey is null then 'new source' when g.s_suppkey is null then 'source gone'
   when g.s_suppkey % 3 = 0 then case when g.s_suppkey % 2 <> 0 then 'last edit' when g.s_suppkey % 9 = 0 then 'count' end when g.s_suppkey % 3 = 1 then case when g.s_suppkey % 5 <> 1 then 'checksum' end when g.s_suppkey % 7 <> 2 then 'validators' end reason
   from old o full join good g on o.s_suppkey = g.s_suppkey)
 select slug, min(source_no) source_no, arg_min(reason, source_no) reason from r where reason is not null group by slug
-union all select cast(s_nationkey as varchar), s_suppkey, 'failed: timeout' from supplier where s_suppkey % 13 <> 0 and s_suppkey % 17 = 0""")
+union all select cast(s_nationkey as varchar), s_suppkey, 'failed: timeout' from supplier where s_suppkey % 13 <> 0 and s_suppkey % 97 = 0""")
 
 
 def _pages(t: Tables) -> DataFrame:
