@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions.text import squash
+from terrane.operators.graph import cut
 
 
 # latest values and indicators ----
@@ -21,12 +22,42 @@ def latest_by(series: DataFrame) -> DataFrame:
     return d.groupBy("code").agg(F.max(F.struct("yr", (-F.col("seq")).alias("minus"), "val")).alias("m")).select("code", "m.yr", "m.val")
 
 
-def colour_domain(values: DataFrame, key: str, value: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """(key, lo, hi): values at the lower index floor(q * (n - 1)) of each group. Ranked by windows, so no group is an array."""
-    w = Window.partitionBy(key)
-    ranked = values.where(F.col(value).isNotNull()).select(key, value, F.row_number().over(w.orderBy(value)).alias("r"), F.count("*").over(w).alias("n"))
-    at = lambda q: F.max(F.when(F.col("r") == F.floor(F.lit(q) * (F.col("n") - 1)) + 1, F.col(value)))
-    return ranked.groupBy(key).agg(at(low).alias("lo"), at(high).alias("hi"))
+def order_statistics(values: DataFrame, key: str, value: str, quantiles: list[float], bins: int = 1024) -> DataFrame:
+    """(key, i, n, v): for the i-th quantile q the value at place floor(q * (n - 1)) of each key's sorted values, exact with ties.
+
+    Nothing is sorted. Each round counts the values of a range in bins, with the least and the largest of each bin; the
+    bin that holds the place is the next range, until its values are all one. Counts are partial in each task, so a key with
+    all rows is no task's own, and a range shrinks by the number of bins a round. Rounds take bins of equal width and
+    of equal ratio in turn, so that values of many magnitudes take few rounds too. Null and non-finite values are left out.
+    """
+    real = F.col(value).cast("double")
+    d = values.where(real.isNotNull() & ~F.isnan(real) & (F.abs(real) < float("inf"))).select(F.col(key).alias("key"), F.col(value).alias("v"))
+    sizes = d.groupBy("key").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    asked = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(quantiles)]))
+    state = cut(sizes.select("*", asked).select("key", "i", "n", F.floor(F.col("q") * (F.col("n") - 1)).alias("place"), "lo", "hi"))
+    magnitude = lambda c: F.when(c == 0, F.lit(0.0)).otherwise(F.signum(c.cast("double")) * (F.ln(F.abs(c.cast("double"))) + 745))  # the least double is exp(-744.4)
+    even = True
+    while state.where("lo < hi").limit(1).count():
+        wide = state.where("lo < hi").withColumnRenamed("key", "of")
+        inside = d.join(wide, F.col("key").eqNullSafe(F.col("of"))).where("v between lo and hi")
+        v, lo, hi = (F.col(c) if even else magnitude(F.col(c)) for c in ("v", "lo", "hi"))
+        share = F.coalesce((v - lo).cast("double") / F.nullif((hi - lo).cast("double"), F.lit(0.0)), F.lit(0.0))
+        counted = inside.groupBy("key", "i", "n", "place", F.floor(share * bins).alias("bin")).agg(F.count("*").alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        before = F.coalesce(F.sum("m").over(Window.partitionBy("key", "i").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        hit = counted.withColumn("before", before).where("before <= place and place < before + m").select("key", "i", "n", (F.col("place") - F.col("before")).alias("place"), "lo", "hi")
+        state = cut(state.where("lo = hi").unionByName(hit))
+        even = not even
+    return state.select(F.col("key").alias(key), "i", "n", F.col("lo").alias("v"))
+
+
+def colour_domain(values: DataFrame, key: str, value: str, low: float = 0.05, high: float = 0.95, declared: DataFrame | None = None) -> DataFrame:
+    """(key, lo, hi): the declared domain of a key, else its values at the lower index floor(q * (n - 1)), found by :func:`order_statistics`."""
+    at = lambda i: F.max(F.when(F.col("i") == i, F.col("v")))
+    found = order_statistics(values, key, value, [low, high]).groupBy(key).agg(at(0).alias("lo"), at(1).alias("hi"))
+    if declared is None:
+        return found
+    d = declared.select(F.col(key).alias("of"), F.col("lo").alias("lo_"), F.col("hi").alias("hi_"))
+    return found.join(d, F.col(key).eqNullSafe(F.col("of")), "left").select(key, F.coalesce("lo_", "lo").alias("lo"), F.coalesce("hi_", "hi").alias("hi"))
 
 
 # roll-ups ----
