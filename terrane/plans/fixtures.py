@@ -19,6 +19,14 @@ select concat('SUP:', cast(s_suppkey as varchar(20))) place_id, s_suppkey k,
     "fx_vertex": """
 select place_id, 1 part, 0 ring, seq, cast(cx+dx*r as double) x, cast(cy+dy*r as double) y from {fx_place}
   cross join (values (1,-1,-1),(2,1,-1),(3,1,1),(4,0,0),(5,-1,1),(6,-1,-1)) o(seq,dx,dy)""",
+    "fx_mixed": """
+select v.place_id, v.part, ring, seq, x, y, 'polygon' kind from {fx_vertex} v join {fx_place} p on p.place_id = v.place_id where k % 4 = 0
+union all
+select v.place_id, 2, 0, seq, case when k % 8 = 1 then cx else x + 2e1 end, case when k % 8 = 1 then cy else y end, 'line' from {fx_vertex} v join {fx_place} p on p.place_id = v.place_id where k % 4 < 2
+union all
+select v.place_id, 10 + seq, 0, 1, case when k % 32 = 2 then x + 4e2 else x end, y, 'point' from {fx_vertex} v join {fx_place} p on p.place_id = v.place_id where k % 4 < 3
+union all
+select place_id, 3, 0, 1, cast(null as double), cast(null as double), 'point' from {fx_place} where k % 5 = 3""",
     "fx_edge": """
 select * from (select place_id, part, ring, seq, x xa, y ya,
   lead(x) over (partition by place_id,part,ring order by seq) xb, lead(y) over (partition by place_id,part,ring order by seq) yb

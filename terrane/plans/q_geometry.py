@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrane.operators import geometry as G
+from terrane.operators import mixed as X
 from terrane.plans.base import Book
 
 book = Book()
@@ -34,6 +35,18 @@ _HAV = "2 * 6371.0088 * asin(sqrt(pow(sin(radians(yb - ya) / 2), 2) + cos(radian
 add("g9_length_km", lambda t: G.length_km(t.fx_edge), f"select place_id, round(sum({_HAV}), 1) length_km from fx_edge group by 1")
 add("g10_max_edge_span", lambda t: _R6(G.max_edge_span(G.edges(_WRAPPED(t))), "span"), "select place_id, round(max(abs(xb - xa)), 6) span from (select place_id, case when xa > 180 then xa - 360 else xa end xa, case when xb > 180 then xb - 360 else xb end xb from fx_edge) group by 1")
 add("g11_densify", lambda t: G.densify(t.fx_edge, 0.7).groupBy("place_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 4).alias("sx")), "with n as (select *, greatest(1, cast(ceil(sqrt(pow(xb - xa, 2) + pow(yb - ya, 2)) / 7e-1) as integer)) n from fx_edge), p as (select place_id, xa + (xb - xa) * i / n x from n, lateral (select unnest(range(0, n)) i) union all select place_id, xb from fx_edge where seq = 5) select place_id, count(*) n, round(sum(x), 4) sx from p group by 1")
+_PARTS_SQL = """mp as (select place_id, part, min(kind) kind, count(x) n, min(x) x0, max(x) x1, min(y) y0, max(y) y1 from fx_mixed group by 1, 2),
+mq as (select *, case kind when 'polygon' then 1 when 'line' then 2 else 3 end r, min(case when n > 0 then case kind when 'polygon' then 1 when 'line' then 2 else 3 end end) over (partition by place_id) b, count(*) over (partition by place_id) parts from mp),
+mr as (select place_id, part, kind, case when n = 0 then 'no coordinates' {rules} end problem from mq),
+mg as (select place_id, part, problem from mr where problem is not null union all select place_id, null, 'empty' from mr group by 1 having count(*) = count(problem))"""
+_MIXED_SQL = _PARTS_SQL.format(rules="when r > b then 'lower kind' when kind = 'line' and x0 = x1 and y0 = y1 then 'zero length'")
+_POINT_SQL = _PARTS_SQL.format(rules="when kind <> 'point' then 'other kind' when parts > 1 then 'several parts' when x0 < -180 or x1 > 180 or y0 < -90 or y1 > 90 then 'range'")
+add("g14_routed", lambda t: X.routed(t.fx_mixed)[0].groupBy("place_id", "part", "kind").agg(F.count("*").alias("n")), f"with {_MIXED_SQL} select m.place_id, m.part, m.kind, count(*) n from fx_mixed m join mr on mr.place_id = m.place_id and mr.part = m.part and problem is null group by 1, 2, 3")
+add("g14_routed_problems", lambda t: X.routed(t.fx_mixed)[1], f"with {_MIXED_SQL} select * from mg")
+add("g14_single_points", lambda t: X.routed(t.fx_mixed.where("part in (3, 11)"), "one point")[1], f"with {_POINT_SQL.replace('from fx_mixed', 'from fx_mixed where part in (3, 11)')} select * from mg")
+add("g8_mixed_centroid", lambda t: _R6(X.centroids(X.routed(t.fx_mixed)[0]), "lon", "lat"), f"""with {_MIXED_SQL}, ke as (select m.place_id, m.kind, x xa, y ya, lead(x) over w xb, lead(y) over w yb from fx_mixed m join mr on mr.place_id = m.place_id and mr.part = m.part and problem is null window w as (partition by m.place_id, m.part, ring order by seq)),
+ks as (select place_id, min(kind) kind, sum(xa * yb - xb * ya) a, sum((xa + xb) * (xa * yb - xb * ya)) ax, sum((ya + yb) * (xa * yb - xb * ya)) ay, sum(sqrt(pow(xb - xa, 2) + pow(yb - ya, 2))) l, sum((xa + xb) / 2 * sqrt(pow(xb - xa, 2) + pow(yb - ya, 2))) lx, sum((ya + yb) / 2 * sqrt(pow(xb - xa, 2) + pow(yb - ya, 2))) ly, avg(xa) px, avg(ya) py from ke group by 1)
+select place_id, cast(case kind when 'polygon' then 2 when 'line' then 1 else 0 end as integer) dimension, round(case kind when 'polygon' then ax / (3 * a) when 'line' then lx / l else px end, 6) lon, round(case kind when 'polygon' then ay / (3 * a) when 'line' then ly / l else py end, 6) lat from ks""")
 add("g14_clean_kind", lambda t: G.clean_kind(t.part.select((F.col("p_partkey") % 200).alias("place_id"), F.col("p_partkey").alias("part"), F.expr("case p_size % 3 when 0 then 'polygon' when 1 then 'line' else 'point' end").alias("kind"), F.expr("cast(p_size * 4 as double)").alias("x0"), F.lit(0.0).alias("y0"), F.expr("cast(case when p_size % 4 = 1 then p_size * 4 else p_size * 4 + 1 end as double)").alias("x1"), F.lit(0.0).alias("y1"))).groupBy("problem").agg(F.count("*").alias("n")), "select case when x1 > 180 then 'range' when k = 2 and x0 = x1 then 'zero length' when k > b then 'lower kind' end problem, count(*) n from (select *, min(k) over (partition by place) b from (select p_partkey % 200 place, p_size % 3 + 1 k, p_size * 4 x0, case when p_size % 4 = 1 then p_size * 4 else p_size * 4 + 1 end x1 from part)) group by 1")
 add("g15_validity_audit", lambda t: G.validity_audit(t.fx_vertex.where("not (seq = 6 and cast(substr(place_id, 5) as int) % 7 = 0)").join(t.fx_place.select("place_id", "cx", "r"), "place_id").withColumn("x", F.expr("case when cast(substr(place_id, 5) as int) % 5 = 1 and seq = 4 then cx + 2 * r else x end"))).select("place_id", "open", "short", "crossing", "jumps"), "select place_id, case when k % 7 = 0 then 1 else 0 end \"open\", 0 short, case when k % 5 = 1 then 1 else 0 end crossing, 0 jumps from fx_place")
 add("g18_make_line", lambda t: G.length_km(G.edges(G.make_line(t.fx_point.withColumn("line", F.col("point_id") % 500), "line", "point_id"))), f"select place_id, round(sum({_HAV}), 1) length_km from (select cast(point_id % 500 as varchar) place_id, lon xa, lat ya, lead(lon) over (partition by point_id % 500 order by point_id) xb, lead(lat) over (partition by point_id % 500 order by point_id) yb from fx_point) where xb is not null group by 1")
