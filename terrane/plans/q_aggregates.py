@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions import text as T
 from terrane.operators import aggregates as A
+from terrane.operators import build as U
 from terrane.operators import graph as K
 from terrane.operators import joins as J
 from terrane.operators import quality as Q
@@ -73,6 +74,40 @@ _BUILT = lambda t: J.apply_events(R.suffixed(R.rename_natives(R.exclude(_RAW(t),
 _B_EVENTS = lambda t: t.fx_event.select(F.col("k").alias("key"), F.col("d").alias("date"), F.col("status").alias("value"), "source", "seq")
 _BUILT_SQL = "(select s_suppkey, case rk when 1 then nk when 2 then nk || ':zone' else nk || ':zone-' || (rk - 1) end unique_id, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') as name, s_acctbal \"Name_src\", coalesce(e.status, 'designated') status from (select *, 'NAT:' || s_nationkey nk, row_number() over (partition by s_nationkey order by s_suppkey) rk from supplier where s_suppkey % 6 <> 0) left join (select *, row_number() over (partition by k order by d desc, seq desc) r from fx_event) e on e.k = s_suppkey and e.r = 1)"
 add("b1_build_collection", lambda t: _BUILT(t).select("s_suppkey", "unique_id", "name", "Name_src", "status"), f"select * from {_BUILT_SQL}")
+_NATIVE = lambda df, k, state: df.selectExpr(f"{k}_{'suppkey' if k == 's' else 'custkey'} as key", f"{k}_nationkey as nat", f"{k}_name as label", f"{state} as state", f"cast({k}_acctbal as string) as Name")
+_KEPT_SEGMENTS = ["BUILDING", "MACHINERY"]
+
+
+def _two_sources(t) -> list[U.Source]:
+    """Suppliers as polygons, some without geometry, and customers as points."""
+    corners = t.fx_vertex.join(t.fx_place.select("place_id", F.col("k").alias("feature")), "place_id").where("feature % 9 != 0").select("feature", "part", "ring", "seq", "x", "y", F.lit("polygon").alias("kind"))
+    points = t.customer.selectExpr("c_custkey as feature", "1 as part", "0 as ring", "1 as seq", "cast(c_custkey * 7 % 360 - 180 as double) as x", "cast(c_custkey % 180 - 90 as double) as y", "'point' as kind")
+    return [
+        U.Source("area", _NATIVE(t.supplier, "s", "case when s_suppkey % 6 = 0 then 'Withdrawn' else 'Active' end"), corners, "key", {"Name": "float"}, exclude={"state": ["Withdrawn"]}, edit_day="2024-01-05"),
+        U.Source("point", _NATIVE(t.customer, "c", "c_mktsegment"), points, "key", {"Name": "float"}, include={"state": _KEPT_SEGMENTS}, exclude={"nat": [3]}, retrieved="2024-02-03"),
+    ]
+
+
+_TWO = {"place_id": "NAT:{nat}", "source_id": "{key}", "name": "{label|slug}", "authority": "NAT", "place_type": "nation", "license": "CC0", "attribution": " two   words ", "version": "1.0", "status": "designated", "status_source": "https://x.test", "pattern": r"^NAT:\d+(:(area|point)(-\d+)?)?$", "order": "space"}
+_TWO_BUILT = lambda t: U.build_collection(_TWO, _two_sources(t), _B_EVENTS(t), "key")
+_TWO_SQL = """nn as (select 'area' component, 1 cr, s_suppkey as key, s_nationkey nat, s_name label, case when s_suppkey % 6 = 0 then 'Withdrawn' else 'Active' end state, s_acctbal amount from supplier union all select 'point', 2, c_custkey, c_nationkey, c_name, c_mktsegment, c_acctbal from customer),
+nr as (select *, case when component = 'area' and state = 'Withdrawn' then 'state=Withdrawn' when component = 'point' and state not in ('BUILDING', 'MACHINERY') then 'not included' when component = 'point' and nat = 3 then 'nat=3' when component = 'area' and key % 9 = 0 then 'no geometry' end reason from nn),
+nk as (select *, row_number() over (partition by nat order by cr, cast(key as varchar)) rk from nr where reason is null),
+ni as (select *, 'NAT:' || nat || case when rk = 1 then '' else ':' || component || case when row_number() over (partition by nat, component, rk > 1 order by rk) = 1 then '' else '-' || row_number() over (partition by nat, component, rk > 1 order by rk) end end place_id from nk)"""
+add("b1_two_sources", lambda t: _TWO_BUILT(t).places.select("place_id", "component", "source_id", "name", "geom_type", "Name_src", "state", "status", "n_events", "attribution", "authority", F.col("source_date").cast("string").alias("source_date")), f"""with {_TWO_SQL}, ev as (select k, arg_max(status, struct_pack(d := d, seq := seq)) status, count(*) n from fx_event group by 1)
+select place_id, component, cast(key as varchar) source_id, trim(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '-') as name, case component when 'area' then 'MultiPolygon' else 'MultiPoint' end geom_type, amount "Name_src", state, coalesce(ev.status, 'designated') status, cast(coalesce(ev.n, 0) as integer) n_events, 'two words' attribution, 'NAT' authority, case component when 'area' then '2024-01-05' else '2024-02-03' end source_date from ni left join ev on k = key""")
+add("b1_dropped", lambda t: _TWO_BUILT(t).dropped, f"with {_TWO_SQL} select component, reason, count(*) n from nr where reason is not null group by 1, 2")
+add("b1_vertices", lambda t: _TWO_BUILT(t).vertices.groupBy("place_id").agg(F.count("*").alias("n"), F.min("x").alias("west"), F.min("kind").alias("kind")), f"with {_TWO_SQL}, vv as (select 'area' component, k, x, 'polygon' kind from fx_vertex v join fx_place p on p.place_id = v.place_id union all select 'point', c_custkey, cast(c_custkey * 7 % 360 - 180 as double), 'point' from customer) select ni.place_id, count(*) n, min(x) west, min(kind) kind from ni join vv on vv.component = ni.component and vv.k = ni.key group by 1")
+add("p1_observed_filter", lambda t: _observed(t), "select 'rows' as counted, count(*) n from part union all select 'not included', count(*) from part where p_size > 40 union all select 'p_brand=' || p_brand, count(*) from part where p_size <= 40 and p_brand in ('Brand#1', 'Brand#2') group by 1 union all select 'kept', count(*) from part where p_size <= 40 and p_brand not in ('Brand#1', 'Brand#2')")
+
+
+def _observed(t):
+    """What one pass of include and exclude rules kept and dropped."""
+    kept, seen = U.observed_filter(t.part, {"p_size": list(range(1, 41))}, {"p_brand": ["Brand#1", "Brand#2"]})
+    n = U.written(kept).count()
+    return t.spark.createDataFrame([*((k, v) for k, v in seen.get.items() if v), ("kept", n)], "counted string, n long")
+
+
 add("b2_check_collection", lambda t: A.problems(_BUILT(t), {"bad_id": ~R.matches_ids(F.col("unique_id"), [r"NAT:\d+(:zone(-\d+)?)?"]), "no_name": F.col("name") == "", "suffixed": F.col("unique_id").contains(":zone"), "negative": F.col("Name_src") < 0}), f"select 'bad_id' as rule, 0 n union all select 'no_name', 0 union all select 'suffixed', count(*) from {_BUILT_SQL} where contains(unique_id, ':zone') union all select 'negative', count(*) from {_BUILT_SQL} where \"Name_src\" < 0")
 _ID = "concat(case when {k} % 19 = 1 then 'SUP-' else 'SUP:' end, cast({k} as {string}))"
 _CHECKED = lambda t: _BUILT(t).join(t.fx_box.drop("place_id"), F.col("k") == F.col("s_suppkey")).select(F.expr(_ID.format(k="k", string="string")).alias("place_id"), F.expr("case when k % 12 <> 7 then name end").alias("name"), "status", F.expr("case when k % 31 = 5 then ' ' when k % 9 = 2 then 'other' else 'CC-BY-4.0' end").alias("license"), F.expr("case when k % 11 = 4 then 'Polygon' else 'MultiPolygon' end").alias("geom_type"), F.expr("case when k % 13 = 2 then xmin + 0.5D else xmin end").alias("xmin"), "ymin", "xmax", "ymax", F.explode(F.expr("sequence(1, case when k % 23 = 1 then 2 else 1 end)")).alias("copy"))
