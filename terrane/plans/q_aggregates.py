@@ -8,11 +8,13 @@ from terrane.functions import text as T
 from terrane.operators import aggregates as A
 from terrane.operators import build as U
 from terrane.operators import graph as K
+from terrane.operators import index as I
 from terrane.operators import joins as J
 from terrane.operators import quality as Q
 from terrane.operators import rows as R
 from terrane.plans import q_joins
 from terrane.plans.base import Book
+from terrane.plans.q_geometry import _Q
 from terrane.sources import writers as W
 
 book = Book()
@@ -115,6 +117,33 @@ _CHECKED_V = lambda t: t.fx_vertex.join(t.fx_place.select("place_id", "k", "cx",
 _RULES_SQL = {"bad_id": "k % 19 = 1", "empty_name": "k % 12 = 7", "empty_status": "coalesce(trim(status), '') = ''", "empty_license": "k % 31 = 5", "other_license": "k % 31 = 5 or k % 9 = 2", "other_kind": "k % 11 = 4", "no_geometry": "not g", "invalid": "g and (k % 7 = 0 or k % 5 = 1)", "jumps": "false", "outside": "g and (cx - r < -180 or cx + r * case when k % 5 = 1 then 2 else 1 end > 180)", "other_box": "g and (k % 13 = 2 or k % 5 = 1)"}
 add("b2_collection_problems", lambda t: Q.check_collection(_CHECKED(t), _CHECKED_V(t), [r"SUP:\d+"], "CC-BY-4.0", "MultiPolygon"), f"with s as (select p.k, p.cx, p.r, b.status, p.k % 29 <> 3 g from {_BUILT_SQL} b join fx_place p on p.k = b.s_suppkey, range(case when p.k % 23 = 1 then 2 else 1 end)) " + " union all ".join(f"select '{rule}' as rule, count(*) filter (where {sql}) n from s" for rule, sql in _RULES_SQL.items()) + " union all select 'repeated_id', count(*) from (select k from s group by k having count(*) > 1)")
 add("b3_build_index", lambda t: t.fx_index.where("geom_type = 'Polygon'").groupBy("collection").agg(F.count("*").alias("sites"), F.round(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))), 4).alias("area")).join(A.union_bbox(t.fx_index.select("collection", "xmin", "ymin", "xmax", "ymax"), "collection"), "collection"), "with a as (select collection, count(*) sites, round(sum((xmax - xmin) * (ymax - ymin)), 4) area from fx_index where geom_type = 'Polygon' group by 1), b as (select collection, min(xmin) xmin, min(ymin) ymin, max(xmax) xmax, max(ymax) ymax from fx_index group by 1) select * from a join b using (collection)")
+
+
+def _layers(t) -> list[I.Layer]:
+    """Suppliers as polygons, customers as points, and nations, which are unlisted."""
+    named = t.nation.join(t.region, F.expr("n_regionkey = r_regionkey"))
+    sites = t.supplier.join(named, F.expr("s_nationkey = n_nationkey")).selectExpr(
+        "concat('SUP:', s_suppkey) place_id", "upper(n_name) as NAME", "cast(case when s_suppkey % 4 = 0 then 0 else s_suppkey end as double) WDPAID", "concat('Q', s_suppkey) psgid",
+        "case when s_suppkey % 5 = 0 then concat('P', s_suppkey) end proseasid", "r_name region", "n_name nation", "s_suppkey k", "case when s_suppkey % 3 = 0 then ' own  licence ' else '' end license", "case when s_suppkey % 7 = 0 then 12.5D end sq",
+    )
+    points = t.customer.join(named, F.expr("c_nationkey = n_nationkey")).selectExpr("c_custkey", "case when c_custkey % 2 = 1 then concat('MRGID:', c_custkey, ':x') else concat('CUS:', c_custkey) end place_id", "lower(n_name) name", "cast(c_nationkey as double) source_id")
+    at = points.selectExpr("place_id", "1 as part", "0 as ring", "1 as seq", "cast(c_custkey * 7 % 360 - 180 as double) as x", "cast(c_custkey % 180 - 90 as double) as y", "'point' as kind")
+    return [
+        I.Layer("sites", sites, t.fx_vertex.withColumn("kind", F.lit("polygon")), {"geometry_type": "MultiPolygon", "license": "CC0", "attribution": " By  us. ", "place_type": "area", "updated": "2024-01-01"}, "2", "https://x.test/{k}?n={WDPAID}", "sq", ("region", "nation", "absent")),
+        I.Layer("points", points, at, {"providers": [{"name": "P", "roles": ["producer"]}, {"name": "H", "roles": ["host"]}], "processor": "them", "license": "L"}, usual_types={"CUS": "customer"}),
+        I.Layer("hidden", t.nation.selectExpr("concat('NAT:', n_nationkey) place_id"), None, {"access": "unlisted"}),
+    ]
+
+
+_INDEX = lambda t: I.build_index(_layers(t))
+_INDEX_SQL = f"""ip as (select 'points' collection, case when c_custkey % 2 = 1 then 'MRGID:' || c_custkey || ':x' else 'CUS:' || c_custkey end place_id, c_custkey k, lower(n_name) as name, case when c_nationkey <> 0 then cast(c_nationkey as varchar) end source_id, cast(c_custkey * 7 % 360 - 180 as double) x, cast(c_custkey % 180 - 90 as double) y from customer join nation on c_nationkey = n_nationkey),
+ib as (select place_id, min(xa) xmin, min(ya) ymin, max(xa) xmax, max(ya) ymax, sum((xa + xb) * (xa * yb - xb * ya)) / (3 * sum(xa * yb - xb * ya)) lon, sum((ya + yb) * (xa * yb - xb * ya)) / (3 * sum(xa * yb - xb * ya)) lat, sum((xa - xb) * ({_Q.format('ya')} + {_Q.format('yb')})) / 2 * radians(1) * 6378.137 * 6378.137 / 2 km2 from fx_edge group by 1),
+ix as (select place_id, upper(n_name) as name, 'SUP' authority, 'area' place_type, 'MultiPolygon' geom_type, 'sites' collection, xmin, ymin, xmax, ymax, lon, lat, case when s_suppkey % 7 = 0 then 12.5 else km2 end km2, case when s_suppkey % 3 = 0 then 'own licence' else 'CC0' end license, 'By us.' attribution, '2' as version, '2024-01-01' updated, null source_id, case when s_suppkey % 4 <> 0 then 'https://x.test/' || s_suppkey || '?n=' || s_suppkey end url, r_name keywords
+  from supplier join ib on place_id = 'SUP:' || s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+  union all select place_id, name, split_part(place_id, ':', 1), case when k % 2 = 0 then 'customer' end, 'Point', collection, x, y, x, y, x, y, null, 'L', 'P. Processed by them.', null, null, source_id, null, null from ip)"""
+add("b3_index_places", lambda t: _INDEX(t).places.drop("group_id").withColumnsRenamed({"centroid_lon": "lon", "centroid_lat": "lat", "area_km2": "km2"}).withColumns({c: F.round(c, 6) for c in ("lon", "lat")}).withColumn("km2", F.round("km2", 0)), f"with {_INDEX_SQL} select * replace (round(lon, 6) as lon, round(lat, 6) as lat, round(km2, 0) as km2) from ix")
+add("b3_crosswalk", lambda t: _INDEX(t).crosswalk, "select 'SUP:' || s_suppkey place_id, null mrgid, case when s_suppkey % 5 = 0 then 'P' || s_suppkey end psgid, case when s_suppkey % 4 <> 0 then cast(s_suppkey as varchar) end wdpa_id, null mpainv_site_id, null mpatlas_id, null wikidata_qid, null gers_id from supplier where s_suppkey % 5 = 0 or s_suppkey % 4 <> 0 union all select 'MRGID:' || c_custkey || ':x', cast(c_custkey as varchar), null, null, null, null, null, null from customer where c_custkey % 2 = 1")
+add("b3_index_counts", lambda t: _INDEX(t).counts.unionByName(_INDEX(t).crosswalk_counts.select(F.inline(F.expr("array(struct('crosswalk' as collection, rows as n), struct('psgid' as collection, psgid as n), struct('mrgid' as collection, mrgid as n), struct('wdpa_id' as collection, wdpa_id as n))")))), "select 'sites' collection, count(*) n from supplier union all select 'points', count(*) from customer union all select 'psgid', count(*) filter (where s_suppkey % 5 = 0) from supplier union all select 'wdpa_id', count(*) filter (where s_suppkey % 4 <> 0) from supplier union all select 'mrgid', count(*) filter (where c_custkey % 2 = 1) from customer union all select 'crosswalk', (select count(*) from supplier where s_suppkey % 5 = 0 or s_suppkey % 4 <> 0) + (select count(*) from customer where c_custkey % 2 = 1)")
 add("b4_layers_manifest", lambda t: J.attach_if_current(t.nation.select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), T.search_rank("n_name").alias("search_rank"), T.citation(F.lit(None).cast("string"), F.lit("By us."), F.initcap("n_name"), F.lit("1"), F.lit(2024)).alias("citation")), t.supplier.groupBy(F.col("s_nationkey").alias("n")).agg(F.count("*").alias("rows")).join(t.nation, F.expr("n = n_nationkey")).select(F.col("n_name").alias("slug"), F.sha2("n_name", 256).alias("sha"), "rows")).select("slug", "search_rank", "rows"), "select n_name slug, 0 search_rank, r as rows from nation left join (select s_nationkey, count(*) r from supplier group by 1) on s_nationkey = n_nationkey")
 _CONTRIB = lambda t: t.customer.select(F.col("c_custkey").alias("id"), F.expr("case when c_custkey % 4 = 0 then null else c_mktsegment end").alias("name"), F.expr("case when c_custkey % 3 = 0 then 'all rights' else 'CC-BY-4.0' end").alias("license"), F.expr("case when c_custkey % 5 = 0 then 'ftp://x' else 'https://x.test' end").alias("source_url"), F.expr("case when c_custkey % 2 = 0 then '0000-0002-1825-0097' else '0000' end").alias("orcid"))
 add("b6_validate_contributions", lambda t: _CONTRIB(t).select("id", F.array_compact(F.array(F.when(F.col("name").isNull(), F.lit("name")), F.when(~F.col("license").startswith("CC"), F.lit("license")), F.when(~T.orcid_valid("orcid"), F.lit("orcid")))).alias("errors"), F.array_compact(F.array(F.when(~F.col("source_url").startswith("http"), F.lit("source_url")))).alias("warnings")).select("id", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), (F.size("errors") == 0).alias("ok")), "select c_custkey id, coalesce(concat_ws(',', case when c_custkey % 4 = 0 then 'name' end, case when c_custkey % 3 = 0 then 'license' end, case when c_custkey % 2 = 1 then 'orcid' end), '') errors, case when c_custkey % 5 = 0 then 'source_url' else '' end warnings, c_custkey % 4 <> 0 and c_custkey % 3 <> 0 and c_custkey % 2 = 0 ok from customer")

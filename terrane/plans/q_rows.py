@@ -122,12 +122,12 @@ _SORT = lambda d: Window.partitionBy("class").orderBy(F.col("eov").asc_nulls_las
 add("o3_sort_species", lambda t: t.fx_lookup.select("aphiaid", F.row_number().over(_SORT("asc")).alias("up"), F.row_number().over(_SORT("desc")).alias("down")), "select aphiaid, row_number() over (partition by class order by eov asc nulls last, aphiaid desc, species) up, row_number() over (partition by class order by eov desc nulls last, aphiaid desc, species) down from fx_lookup")
 add("o4_natural_order", lambda t: t.fx_species.withColumn("turn", F.row_number().over(Window.partitionBy("place_id").orderBy(F.desc("n"), "aphiaid"))).select("place_id", "aphiaid", "turn"), "select place_id, aphiaid, row_number() over (partition by place_id order by n desc, aphiaid) turn from fx_species")
 add("o5_top_n", lambda t: R.top_n(t.fx_listing, 50, F.desc("size"), F.col("page_id")).select("page_id", "size").crossJoin(t.fx_listing.agg(F.count("*").alias("total"))), "select page_id, size, (select count(*) from fx_listing) total from fx_listing order by size desc, page_id limit 50")
-add("o6_search_limit", lambda t: R.top_n(t.fx_name.where(R.matches_text(F.col("name"), "an i")), 12, F.col("collection"), F.col("k")).select("place_id"), "select place_id from fx_name where contains(lower(name), 'an') and contains(lower(name), 'i') order by collection, k limit 12")
+add("o6_search_limit", lambda t: R.top_n(t.fx_name.where(R.matches_text(F.col("name"), "ati 1")), 12, F.col("collection"), F.col("k")).select("place_id"), "select place_id from fx_name where contains(lower(name), 'ati') and contains(lower(name), '1') order by collection, k limit 12")
 
 # U ----
 add("u1_union_sources", lambda t: R.union_sources({"s": t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), "s_acctbal"), "c": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))}), "select s_suppkey id, s_name as name, s_acctbal, 's' component, null segment from supplier union all select c_custkey, null, null, 'c', c_mktsegment from customer")
-add("u2_except_keys", lambda t: R.except_keys(t.customer.select(F.col("c_custkey").alias("k")), t.orders.select(F.col("o_custkey").alias("k")), "k"), "select c_custkey k from customer except select o_custkey from orders")
-add("u3_intersect_keys", lambda t: R.intersect_keys(t.customer.select(F.col("c_custkey").alias("k")), t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), "k"), "select c_custkey k from customer intersect select o_custkey from orders where o_orderstatus = 'F'")
+add("u2_except_keys", lambda t: R.except_keys(t.customer.select((F.col("c_custkey") * 2).alias("k")), t.orders.select(F.col("o_custkey").alias("k")), "k"), "select c_custkey * 2 k from customer except select o_custkey from orders")
+add("u3_intersect_keys", lambda t: R.intersect_keys(t.customer.select((F.col("c_custkey") * 2).alias("k")), t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), "k"), "select c_custkey k from customer intersect select o_custkey from orders where o_orderstatus = 'F'")
 add("u4_distinct_colls", lambda t: t.part.select("p_partkey", F.array_join(R.distinct_in_order(F.col("p_brand"), F.expr("case when p_size % 2 = 0 then p_brand end"), F.expr("case when p_size % 3 = 0 then 'X' end")), ",").alias("v")), "select p_partkey, p_brand || case when p_size % 3 = 0 then ',X' else '' end v from part")
 add("u5_retire", lambda t: R.retire(t.nation.select(F.col("n_name").alias("slug")), t.supplier.select(F.expr("case when s_suppkey % 4 = 0 then concat('no-', s_suppkey) else null end").alias("slug")).where("slug is not null").unionByName(t.nation.where("n_nationkey % 6 = 0").select(F.col("n_name").alias("slug")))), "select n_name slug, case when n_nationkey % 6 = 0 then 'retired' else 'kept' end state from nation union all select 'no-' || s_suppkey, 'unknown' from supplier where s_suppkey % 4 = 0")
 add("u6_distinct_providers", lambda t: t.nation.select("n_nationkey", F.array_join(R.distinct_providers(F.expr("array(named_struct('name', n_name, 'roles', array('producer')), named_struct('name', 'host', 'roles', array('host')), named_struct('name', n_name, 'roles', array('licensor')), named_struct('name', 'L', 'roles', array('licensor', 'host')))"), ["producer", "licensor"]), "; ").alias("v")), "select n_nationkey, n_name || '; L' v from nation")
