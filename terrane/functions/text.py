@@ -340,3 +340,46 @@ def access_class(path: Column, store: Column | None = None, open_prefix: str = "
     layout = (first.isin(*released) & version(F.get(steps, F.lit(1)))) | (first.isin(*hashed) & F.element_at(steps, -1).rlike(r"^[0-9a-f]{16,64}(_3857)?\.(tif|tiff|pmtiles)$")) | (first.isin(*versioned) & F.exists(folders, version))
     whole = (store == "public") & (F.size(steps) >= 3) & ~F.exists(steps, lambda x: x.isin("", "_history")) & kind.isin(*LASTING_TYPES)
     return F.struct(name.alias("class"), gate.alias("gate"), (whole & layout).alias("immutable"))
+
+
+# sentences ----
+def whole(n: Column) -> Column:
+    """A number with thousands separators."""
+    return F.format_number(n, 0)
+
+
+def expected_text(es: Column) -> Column:
+    return F.when(es.isNull(), "ES(50) not defined (under 50 records)").otherwise(F.concat(F.lit("ES(50) "), F.format_number(es, 1)))
+
+
+def records_line(n: Column, species: Column, es: Column, decade: Column, n_latest: Column, species_latest: Column, es_latest: Column) -> Column:
+    """Records and species in every year and in the latest decade; null counts say that there are none, a null decade leaves it out."""
+    said = lambda n, sp, es: F.concat(whole(n), F.lit(" records of "), whole(sp), F.lit(" species ("), expected_text(es), F.lit(")"))
+    every = F.when(n.isNull(), "No records in every year").otherwise(F.concat(said(n, species, es), F.lit(" in every year")))
+    latest = F.when(decade.isNull(), "").otherwise(F.concat(F.lit("; in the "), decade.cast("string"), F.lit("s, "), said(n_latest, species_latest, es_latest)))
+    return F.concat(every, latest, F.lit("."))
+
+
+def species_line(n: Column, decade: Column, n_latest: Column) -> Column:
+    """Species with records in a place, and those of the latest decade."""
+    latest = F.when(decade.isNull(), "").otherwise(F.concat(F.lit(", "), whole(n_latest), F.lit(" in the latest decade (the "), decade.cast("string"), F.lit("s)")))
+    return F.concat(whole(n), F.lit(" species with records in the place (exact)"), latest, F.lit("."))
+
+
+def suited_line(groups: Column, cells: Column, degrees: Column) -> Column:
+    """Species suitable in a place's cells, by group. ``groups`` is an array of (label, n); the largest comes first, then by label."""
+    largest = F.array_sort(F.transform(groups, lambda g: F.struct((-g["n"]).alias("minus"), g["label"].alias("label"))))
+    names = F.array_join(F.transform(largest, lambda g: F.concat(g["label"], F.lit(" "), whole(-g["minus"]))), ", ")
+    total = F.aggregate(groups, F.lit(0).cast("bigint"), lambda a, g: a + g["n"])
+    listed = F.when(F.size(groups) > 0, F.concat(F.lit(" ("), names, F.lit(")"))).otherwise("")
+    return F.concat(whole(total), F.lit(" species"), listed, F.lit(" suitable in at least one of the place's "), whole(cells), F.lit(" cells of "), degrees.cast("string"), F.lit("°."))
+
+
+def indicators_line(above: Column, within: Column, below: Column, none: Column, nodata: Column, cells: Column, latest: Column) -> Column:
+    """Indicators by their place in the record; null without any value."""
+    n = cells - nodata
+    counted = F.concat(n.cast("string"), F.when(n == 1, " indicator").otherwise(" indicators"), F.lit(" with a value: "))
+    states = F.array_join(F.array(*[F.concat(c.cast("string"), F.lit(f" {word}")) for c, word in ((above, "above"), (within, "within"), (below, "below"))]), ", ")
+    rest = F.when(none > 0, F.concat(F.lit(", "), none.cast("string"), F.lit(" without a status"))).otherwise("")
+    last = F.when(latest.isNotNull(), F.concat(F.lit("; latest "), latest)).otherwise("")
+    return F.when(n > 0, F.concat(counted, states, F.lit(" the place's own record"), rest, last, F.lit(".")))

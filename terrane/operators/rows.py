@@ -150,10 +150,14 @@ def pick_col(df: DataFrame, candidates: list[str]) -> Column:
 
 
 def column_problems(df: DataFrame, required: list[str]) -> DataFrame:
-    """Missing required columns and names that collide ignoring case, as rows."""
+    """(column, problem, n): required columns that are missing, names that collide ignoring case, and required columns that are null or blank in ``n`` rows. One scan."""
     lower = [c.lower() for c in df.columns]
-    rows = [(c, "missing") for c in required if c.lower() not in lower] + [(c, "collides") for c in sorted({c for c in lower if lower.count(c) > 1})]
-    return df.sparkSession.createDataFrame(rows, "column string, problem string")
+    twice = {c for c in lower if lower.count(c) > 1}
+    found = [(c, df.columns[lower.index(c.lower())]) for c in required if c.lower() in lower and c.lower() not in twice]
+    lacking = [F.struct(F.lit(c).alias("column"), F.lit("blank").alias("problem"), F.count_if(squash(F.col(f"`{own}`").cast("string")).isNull()).alias("n")) for c, own in found]
+    shape = [(c, "missing") for c in required if c.lower() not in lower] + [(c, "collides") for c in sorted(twice)]
+    wrong = [F.struct(F.lit(c).alias("column"), F.lit(problem).alias("problem"), F.count("*").alias("n")) for c, problem in shape]
+    return df.agg(F.array(*lacking, *wrong).alias("p")).select(F.inline("p")).where("problem != 'blank' or n > 0")
 
 
 def legacy_fill(df: DataFrame, types: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrane.functions import text as T
 from terrane.operators import aggregates as A
 from terrane.operators import build as U
+from terrane.operators import geometry as G
 from terrane.operators import graph as K
 from terrane.operators import index as I
 from terrane.operators import joins as J
@@ -57,6 +59,8 @@ add("a17_source_date", lambda t: t.orders.select("o_orderkey", A.source_date(F.e
 add("a18_colour_domain", lambda t: A.colour_domain(t.lineitem, "l_returnflag", "l_extendedprice"), "select l_returnflag, max(case when r = floor(5e-2 * (n - 1)) + 1 then v end) lo, max(case when r = floor(95e-2 * (n - 1)) + 1 then v end) hi from (select l_returnflag, l_extendedprice v, row_number() over (partition by l_returnflag order by l_extendedprice) r, count(*) over (partition by l_returnflag) n from lineitem) group by 1")
 add("a19_group_layers", lambda t: A.group_layers(t.nation.select(F.expr("case when n_regionkey = 2 then '  ' else concat('R', n_regionkey) end").alias("authority"), F.col("n_name").alias("title"))).withColumn("titles", F.array_join("titles", ",")), "select case when n_regionkey = 2 then 'Other' else 'R' || n_regionkey end authority, string_agg(n_name, ',' order by n_name) titles, n_regionkey = 2 as \"last\" from nation group by n_regionkey")
 add("a20_line_stats", lambda t: A.line_stats(t.orders.select(F.expr("o_orderkey % 3000").alias("line"), F.expr("o_orderkey div 3000").alias("station"), (F.col("o_totalprice") > 200000).alias("core"))), "select o_orderkey % 3000 as line, count(*) n, count(*) filter (where o_totalprice > 200000) n_core, max(o_totalprice) > 200000 any_core, min(o_orderkey // 3000) as first, max(o_orderkey // 3000) as last, count(*) < 2 too_short from orders group by 1")
+_STATIONS = lambda t: t.fx_point.selectExpr("point_id % 300 as line", "point_id as station", "lon", "lat", "v > 200000 as core").withColumn("before", F.lag(F.struct("lon", "lat")).over(Window.partitionBy("line").orderBy("station")))
+add("a20_line_lengths", lambda t: A.line_stats(_STATIONS(t), G.haversine_km(F.col("before.lon"), F.col("before.lat"), F.col("lon"), F.col("lat"))).select("line", "n", "length_km", "too_short"), "select line, count(*) n, round(sum(2 * 6371.0088 * asin(sqrt(pow(sin(radians(lat - b) / 2), 2) + cos(radians(b)) * cos(radians(lat)) * pow(sin(radians(lon - a) / 2), 2)))), 1) length_km, count(*) < 2 too_short from (select point_id % 300 line, lon, lat, lag(lon) over w a, lag(lat) over w b from fx_point window w as (partition by point_id % 300 order by point_id)) group by 1")
 add("a21_layer_status", lambda t: A.layer_status(t.fx_event.select(F.col("k").alias("layer"), F.col("d").alias("date"), F.concat(F.lit("in_"), "status").alias("value"), "seq")), "select k layer, d as date, 'in_' || status as value, 'in ' || status || ' ' || d as label from (select *, row_number() over (partition by k order by d desc, seq desc) r from fx_event) where r = 1")
 add("a24_expected_count", lambda t: A.expected_count(t.customer, "c_nationkey", t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.expr("60 + n_nationkey % 3").alias("expected"), F.expr("case when n_regionkey = 1 then 'fail' else 'warn' end").alias("mode"))), "select n_nationkey c_nationkey, coalesce(n, 0) n, 60 + n_nationkey % 3 expected, case when n_regionkey = 1 then 'fail' else 'warn' end problem from nation left join (select c_nationkey, count(*) n from customer group by 1) on c_nationkey = n_nationkey where coalesce(n, 0) <> 60 + n_nationkey % 3")
 add("a25_provenance", lambda t: A.provenance(t.supplier.select("s_nationkey", F.col("s_suppkey").alias("source_no"), F.concat(F.lit("u/"), "s_name").alias("url"), F.expr("case when s_suppkey % 2 = 0 then ' ' else 'x' end").alias("extra"), F.col("s_suppkey").alias("n")), "s_nationkey"), "select s_nationkey, '[' || string_agg('{\"source_no\":' || s_suppkey || ',\"url\":\"u/' || s_name || '\"' || case when s_suppkey % 2 = 0 then '' else ',\"extra\":\"x\"' end || ',\"n\":' || s_suppkey || '}', ',' order by s_suppkey) || ']' sources, cast(sum(s_suppkey) as bigint) as rows from supplier group by 1")
@@ -66,7 +70,7 @@ add("s6_read_sites", lambda t: t.fx_index.select(R.pick_col(t.fx_index, ["PLACE_
 add("s9_read_listing", lambda t: _LIST(t).groupBy(F.regexp_extract("key", r"\.([a-z]+)/", 1).alias("domain")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "select regexp_extract(regexp_replace(key, '[?#].*$', ''), '\\.([a-z]+)/', 1) as domain, count(*) n, cast(sum(size) as bigint) bytes from fx_listing group by 1")
 add("s12_membership_layout", lambda t: W.membership_manifest(t.lineitem.select(F.col("l_suppkey").alias("place_id"), F.expr("l_linenumber").alias("res"), F.expr("l_orderkey % 7").alias("parent"))), "select l_linenumber res, l_orderkey % 7 parent, count(*) as rows, count(distinct l_suppkey) sites from lineitem group by 1, 2")
 add("s13_feature_ndjson", lambda t: W.feature_lines(t.fx_point.select("point_id", F.expr("case when point_id % 2 = 0 then 'even' end").alias("kind"), F.expr("concat('{\"type\":\"Point\",\"coordinates\":[', cast(point_id as string), ',0]}')").alias("geometry")), ["point_id", "kind"]), "select '{\"type\":\"Feature\",\"properties\":{\"point_id\":' || point_id || case when point_id % 2 = 0 then ',\"kind\":\"even\"' else '' end || '},\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || point_id || ',0]}}' line from fx_point")
-add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank("collection")), q_joins.SAME_PLACE_SQL.replace("select collection, place_id, case when g", "select place_id, collection, name, 0 as rank, case when g"))
+add("s14_index_rows", lambda t: K.same_place_groups(t.fx_index).select("place_id", "collection", "name", "group_id").withColumn("rank", T.search_rank(F.expr("case when collection = 'suppliers' then 'mpa_inventory' when place_id like '%7' then 'protectedseas_a' when place_id like '%8' then 'mine' else collection end"), own="mine")), q_joins.SAME_PLACE_SQL.replace("select collection, place_id, case when g", "select place_id, collection, name, case when collection = 'suppliers' or place_id like '%7' then 1 when place_id like '%8' then 2 else 0 end as rank, case when g"))
 add("s15_export_values", lambda t: W.export_values(t.fx_value.withColumnRenamed("t", "time").withColumnRenamed("v", "value").withColumn("sd", F.lit(None).cast("double")).withColumn("unit", F.lit("m, deep")), "SUP:11", "suppliers.parquet"), "select 'SUP:11,suppliers,' || indicator || ',month,' || strftime(t, '%Y-%m-%d') || ',' || class || ',' || n || ',,\"m, deep\",suppliers.parquet' line from fx_value where place_id = 'SUP:11'")
 add("s16_partitioned_tiles", lambda t: t.fx_point.withColumn("tile", F.floor((F.col("lon") + 180) / 10)).join(t.fx_box.select(F.explode(F.sequence(F.floor((F.col("xmin") + 180) / 10), F.floor((F.col("xmax") + 180) / 10))).alias("tile")).distinct(), "tile").groupBy("tile").agg(F.count("*").alias("n")), "select floor((lon + 180) / 10) tile, count(*) n from fx_point where floor((lon + 180) / 10) in (select unnest(range(cast(floor((xmin + 180) / 10) as bigint), cast(floor((xmax + 180) / 10) as bigint) + 1)) from fx_box) group by 1")
 

@@ -59,7 +59,12 @@ _SIZE_SQL = "sz as (select place_id, sum((xa - xb) * (sin(radians(ya)) + sin(rad
 _KEPT_SQL = f"{_CELLS_SQL}, {_SIZE_SQL}, kept as (select sh.place_id, res, ix, iy, least(share, 1) share from sh join sz using (place_id) where share > 1e-9 and (share >= 1e-2 or share * size >= 1e-2 * place_size))"
 _MEMBERS = lambda t, res=_RES: C.grid_membership(_SPLIT(t), res)
 _RECT = lambda t: t.fx_place.select(F.explode(F.sequence(F.lit(0), F.lit(35))).alias("i")).distinct().select("i", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("j")).select(F.concat_ws("|", F.col("i").cast("string"), F.col("j").cast("string")).alias("place_id"), F.lit(1).alias("part"), F.lit(0).alias("ring"), (F.col("i") * 10.0 - 180).alias("x0"), (F.col("j") * 20.0 - 60).alias("y0")).select("place_id", "part", "ring", F.posexplode(F.expr("array(struct(x0 as x, y0 as y), struct(x0 + 10 as x, y0 as y), struct(x0 + 10 as x, y0 + 20 as y), struct(x0 as x, y0 + 20 as y), struct(x0 as x, y0 as y))")).alias("seq", "p")).select("place_id", "part", "ring", "seq", "p.x", "p.y")
-add("m1_cell_shares", lambda t: C.cell_shares(_SPLIT(t), G.edges(_RECT(t))).where("share > 1e-6").groupBy("place_id").agg(F.count("*").alias("n"), F.round(F.max("share"), 5).alias("largest")), None)
+add("m1_cell_shares", lambda t: C.cell_shares(_SPLIT(t), G.edges(_RECT(t))).where("share > 1e-6").groupBy("place_id").agg(F.count("*").alias("n"), F.round(F.max("share"), 5).alias("largest")), f"""with {_CELLS_SQL.split('lv as')[0]}pe as (select place_id, xa, xb, sin(radians(ya)) ya, sin(radians(yb)) yb from ce),
+rc as (select i, j, i * 10e0 - 180 wx, sin(radians(j * 20 - 60)) s0, sin(radians(j * 20 - 40)) s1 from range(0, 39) a(i), range(0, 6) b(j)),
+rs as (select place_id, i % 36 i, j, s0, s1, greatest(least(xa, xb), wx) x0, least(greatest(xa, xb), wx + 10) x1, xa, ya, xb, yb, case when xb < xa then 1 else -1 end s from rc join pe on xa <> xb and greatest(xa, xb) > wx and least(xa, xb) < wx + 10),
+ry as (select place_id, i, j, s, s0, s1, x1 - x0 len, ya + (yb - ya) * (x0 - xa) / (xb - xa) y0, ya + (yb - ya) * (x1 - xa) / (xb - xa) y1 from rs where x1 > x0),
+rh as (select place_id, i, j, sum(s * (m1 - m0)) / any_value(10 * (s1 - s0)) share from (select *, {_low('s1')} m1, {_low('s0')} m0 from ry) group by 1, 2, 3)
+select place_id, count(*) n, round(max(least(share, 1)), 5) largest from rh where share > 1e-6 group by 1""")
 add("m2_grid_membership", lambda t: _MEMBERS(t).select("place_id", "res", "ix", "iy", F.round("share", 6).alias("share")), f"with {_KEPT_SQL} select place_id, res, ix, iy, round(share, 6) share from kept")
 add("m3_keep_rule", lambda t: C.grid_membership(_SPLIT(t), _RES, 0.0, 0.0).join(G.edges(t.fx_vertex).groupBy("place_id").agg((F.sum((F.col("xa") - F.col("xb")) * (F.sin(F.radians("ya")) + F.sin(F.radians("yb")))) / 2).alias("size")), "place_id").groupBy("place_id", "res").agg(F.count_if(C.keep_rule(F.col("share"), 720 / F.pow(F.lit(2.0), 2 * F.col("res") + 1), F.col("size"))).alias("kept"), F.count("*").alias("n")), f"with {_CELLS_SQL}, {_SIZE_SQL} select place_id, res, count(*) filter (where share >= 1e-2 or share * size >= 1e-2 * place_size) kept, count(*) n from sh join sz using (place_id) where share > 1e-9 group by 1, 2")
 add("m4_membership_parent", lambda t: _MEMBERS(t).where("res >= 2").select("place_id", "res", "ix", "iy", C.membership_parent(F.col("res"), F.col("ix"), F.col("iy"), 2).alias("parent")), f"with {_KEPT_SQL} select place_id, res, ix, iy, (cast(res - 2 as bigint) << 56) | (cast(ix // 4 as bigint) << 28) | cast(iy // 4 as bigint) parent from kept where res >= 2")

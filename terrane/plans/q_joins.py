@@ -86,3 +86,8 @@ add("a5_group_chips", lambda t: S.group_chips(_NAMED(t), "fish", ["Brand#22", "B
 add("a26_place_species_sql", lambda t: t.spark.sql("select s.name_key, any_value(l.class) is not null known, sum(s.n) records, min(s.year_min) year_min, max(s.year_max) year_max from {s} s left join {l} l using (aphiaid) where s.place_id = 'SUP:5' and array_contains(l.lineage, 5L) group by s.name_key", s=t.fx_species, l=t.fx_lookup.join(K.lineage_closure(t.fx_taxon).withColumnRenamed("id", "aphiaid"), "aphiaid")), "with recursive up as (select id, id anc from fx_taxon union all select up.id, t.parent from up join fx_taxon t on t.id = up.anc where t.parent is not null) select name_key, true known, cast(sum(n) as bigint) records, min(year_min) year_min, max(year_max) year_max from fx_species where place_id = 'SUP:5' and aphiaid in (select id from up where anc = 5) group by name_key")
 add("b7_place_species_report", lambda t: _NAMED(t).groupBy("place_id").agg(F.count("*").alias("names"), F.sum("n").alias("records"), F.count_if(F.col("redlist").isNotNull()).alias("listed"), F.max("year_max").alias("last")).join(S.decade_summary(_DEC(t)).select("place_id", "latest", "latest_sp"), "place_id", "left").withColumn("line", S.summary_line(F.col("records"), F.col("names"), F.col("latest"), F.col("latest_sp"))), f"with {_NAMED_SQL}, {_DEC_SQL}, a as (select place_id, count(*) as names, cast(sum(n) as bigint) records, count(redlist) listed, max(year_max) as last from named group by 1), d as (select place_id, max(decade) latest, arg_max(sp, decade) latest_sp from dec where eov = 'all' and decade is not null and n > 0 group by 1) select *, format('{{:,}}', records) || ' records of ' || format('{{:,}}', names) || ' species in every year; in the ' || latest || 's, ' || format('{{:,}}', latest_sp) || ' species.' line from a left join d using (place_id)")
 add("f35_summary_text", lambda t: t.part.select("p_partkey", S.summary_line(F.expr("p_partkey * 1000"), F.col("p_partkey"), F.expr("case when p_size % 2 = 0 then 2020 end"), F.col("p_size")).alias("line")), "select p_partkey, format('{:,}', p_partkey * 1000) || ' records of ' || format('{:,}', p_partkey) || ' species in every year' || case when p_size % 2 = 0 then '; in the 2020s, ' || p_size || ' species' else '' end || '.' line from part")
+_C = F.expr
+add("f35_records_line", lambda t: t.part.select("p_partkey", T.records_line(_C("case when p_size % 7 > 0 then p_partkey * 1000 end"), F.col("p_partkey"), _C("case when p_size > 5 then p_size + 0.5D end"), _C("case when p_size % 2 = 0 then 2020 end"), F.col("p_partkey"), F.col("p_size"), _C("cast(null as double)")).alias("line")), "select p_partkey, case when p_size % 7 > 0 then format('{:,}', p_partkey * 1000) || ' records of ' || format('{:,}', p_partkey) || ' species (' || case when p_size > 5 then 'ES(50) ' || p_size || '.5' else 'ES(50) not defined (under 50 records)' end || ') in every year' else 'No records in every year' end || case when p_size % 2 = 0 then '; in the 2020s, ' || format('{:,}', p_partkey) || ' records of ' || p_size || ' species (ES(50) not defined (under 50 records))' else '' end || '.' line from part")
+add("f35_species_line", lambda t: t.part.select("p_partkey", T.species_line(_C("p_partkey * 1000"), _C("case when p_size % 2 = 0 then 2020 end"), F.col("p_partkey")).alias("line")), "select p_partkey, format('{:,}', p_partkey * 1000) || ' species with records in the place (exact)' || case when p_size % 2 = 0 then ', ' || format('{:,}', p_partkey) || ' in the latest decade (the 2020s)' else '' end || '.' line from part")
+add("f35_suited_line", lambda t: t.part.groupBy("p_brand", F.col("p_size").alias("label")).agg(F.count("*").alias("n")).where("n > 1").groupBy("p_brand").agg(F.collect_list(F.struct(F.concat(F.lit("g"), F.lpad(F.col("label").cast("string"), 2, "0")).alias("label"), "n")).alias("groups")).select("p_brand", T.suited_line(F.col("groups"), F.lit(1234), F.lit(0.05)).alias("line")), "select p_brand, format('{:,}', cast(sum(n) as bigint)) || ' species (' || string_agg('g' || lpad(cast(p_size as varchar), 2, '0') || ' ' || n, ', ' order by n desc, p_size) || ') suitable in at least one of the place''s 1,234 cells of 0.05°.' line from (select p_brand, p_size, count(*) n from part group by 1, 2 having count(*) > 1) group by 1")
+add("f35_indicators_line", lambda t: t.part.select("p_partkey", T.indicators_line(F.col("p_size"), F.lit(2), F.lit(3), _C("p_size % 3"), _C("p_size % 4"), _C("p_size % 5"), _C("case when p_size % 2 = 0 then '2025-07' end")).alias("line")), "select p_partkey, case when p_size % 5 > p_size % 4 then (p_size % 5 - p_size % 4) || case when p_size % 5 - p_size % 4 = 1 then ' indicator' else ' indicators' end || ' with a value: ' || p_size || ' above, 2 within, 3 below the place''s own record' || case when p_size % 3 > 0 then ', ' || (p_size % 3) || ' without a status' else '' end || case when p_size % 2 = 0 then '; latest 2025-07' else '' end || '.' end line from part")

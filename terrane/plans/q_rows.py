@@ -57,7 +57,7 @@ select page_id,
   and regexp_matches(key, '^data/v[0-9]+/|^cog/(.+/)?[0-9a-f]{{16,64}}(_3857)?[.](tif|tiff|pmtiles)$|^set/[^/]+/(.+/)?v[0-9]+/') immutable
 from p""")
 add("p21_legacy_fill", lambda t: R.legacy_fill(t.fx_name.withColumn("place_type", F.expr("case when k % 2 = 0 then 'area' end")).withColumn("title", F.expr("case when k % 3 = 0 then null when k % 3 = 1 then collection else 'A Title' end")), t.fx_name.select("collection", F.lit("SUP").alias("prefix"), F.lit("supplier").alias("place_type")).distinct()).select("place_id", "place_type", "title"), "select place_id, case when k % 2 = 0 then 'area' when place_id like 'SUP:%' then 'supplier' end place_type, case when k % 3 = 2 then 'A Title' else upper(collection[1]) || collection[2:] end title from fx_name")
-add("p22_type_check_columns", lambda t: R.column_problems(t.nation, ["n_name", "place_id", "N_REGIONKEY"]), "select 'place_id' as column, 'missing' as problem")
+add("p22_type_check_columns", lambda t: R.column_problems(t.fx_lookup, ["species", "EOV", "redlist", "place_id"]), "select 'EOV' as column, 'blank' as problem, count(*) filter (where eov is null) n from fx_lookup union all select 'redlist', 'blank', count(*) filter (where redlist is null) from fx_lookup union all select 'place_id', 'missing', count(*) from fx_lookup")
 add("p23_annotate", lambda t: R.annotate(t.nation.select("n_nationkey", "n_name", "n_regionkey"), {"external_id": F.col("n_nationkey").cast("string"), "external_uri": F.concat(F.lit("https://x.test/id/"), F.col("n_nationkey").cast("string")), "product": F.lit("nations"), "version": F.lit("12"), "doi": F.lit("10.1/x"), "modified": F.lit("2024-01-01")}, drop="n_nationkey"), "select cast(n_nationkey as varchar) external_id, 'https://x.test/id/' || n_nationkey external_uri, 'nations' product, '12' as version, '10.1/x' doi, '2024-01-01' modified, n_name, n_regionkey from nation")
 add("p24_grid_variables", lambda t: R.grid_variables(t.region.select(F.col("r_name").alias("collection"), F.lower("r_name").alias("title"), F.create_map(F.lit("sst"), F.lit("degC"), F.lit("sst_mask"), F.lit("1"), F.concat(F.lit("chl_"), F.col("r_regionkey").cast("string")), F.lit("mg"), F.lit("obs_count"), F.lit("1")).alias("variables"))), "select r_name collection, lower(r_name) title, v variable, u unit from region, (values ('sst', 'degC'), ('chl_', 'mg')) o(v0, u), lateral (select case when v0 = 'chl_' then 'chl_' || r_regionkey else v0 end v)")
 add("p25_pick_col", lambda t: t.part.select("p_partkey", R.pick_col(t.part, ["missing", "P_BRAND", "p_type"]).alias("v"), R.pick_col(t.part, ["nothing"]).alias("w")), "select p_partkey, p_brand v, cast(null as varchar) w from part")

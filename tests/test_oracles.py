@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import pytest
-from oracle import differences
+from oracle import differences, sql_rows
 
 from terrane.plans import registry
 
 
+#: Queries whose right answer on the small tables is no row.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, sf, name):
     df = registry.QUERIES[name](spark, sf)
     if name in registry.ORACLE_SQL:
+        assert name in MAY_BE_EMPTY or sql_rows(registry.ORACLE_SQL[name], sf)[1]
         assert differences(df, registry.ORACLE_SQL[name], sf) == ""
     else:
         assert df.count() > 0
