@@ -167,9 +167,13 @@ def change_stream(probes: DataFrame, published: DataFrame, target: str, checkpoi
     """Compares arriving probes with the published tokens (J-17), each slug once all of its sources have come, and writes what changed to ``target``.
 
     Each batch owns the folder ``batch=N`` of the target and overwrites it, so a batch that runs again after a failure adds
-    nothing. A probe that failed has an ``error`` and becomes a row of its own; it never stops the others. With ``once`` the
-    stream ends when all that has arrived is read.
+    nothing. A probe that failed has an ``error`` and becomes a row of its own; it never stops the others. Probes without
+    ``sources`` are held until as many have come as the slug has published, or one of a new slug; only a number tells that a source is gone. With
+    ``once`` the stream ends when all that has arrived is read.
     """
+    if "sources" not in probes.columns:
+        known = published.groupBy("slug").agg(F.count("*").alias("sources"))
+        probes = probes.join(known, "slug", "left").withColumn("sources", F.coalesce("sources", F.lit(1)))
 
     def batch(df: DataFrame, number: int) -> None:
         df = df.persist()

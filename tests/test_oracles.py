@@ -8,8 +8,8 @@ from oracle import differences, sql_rows
 from terrane.plans import registry
 
 
-#: Queries whose right answer on the small tables is no row.
-MAY_BE_EMPTY: set[str] = set()
+#: Queries whose right answer on the smallest tables is no row; on larger ones they have some.
+MAY_BE_EMPTY = {"p12_boxes_meet", "s15_export_values", "j9_bbox_join", "j10_polygon_overlap", "j21_carry", "b5_derive_intersect", "a22_derived_report", "t2_anonymous_rates"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
