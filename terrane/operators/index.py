@@ -35,7 +35,7 @@ class Layer:
     """``rows`` with place_id and native columns; ``vertices`` (place_id, part, ring, seq, x, y, kind) or none; what the collection declares.
 
     ``declared`` may have geometry_type, authority, place_type, license, attribution, providers (name, roles), updated and access;
-    ``usual_types`` are place types by id prefix.
+    ``usual_types`` are place types by id prefix; ``authority_field`` is the native column that names the authority.
     """
 
     slug: str
@@ -47,6 +47,7 @@ class Layer:
     area_field: str | None = None
     search_fields: tuple[str, ...] = ()
     usual_types: dict[str, str] = field(default_factory=dict)
+    authority_field: str = "authority"
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,7 @@ def layer_index(layer: Layer) -> DataFrame:
     no_text = F.lit(None).cast("string")
     area = R.pick_col(rows, [c for c in (layer.area_field, "area_km2") if c and c.lower() in kinds][:1]).try_cast("double")
     picked = rows.select(
-        "place_id", name.alias("name"), F.coalesce(own("authority") if "authority" in kinds else own("gazetteer"), told("authority"), prefix).alias("authority"),
+        "place_id", name.alias("name"), F.coalesce(own(layer.authority_field), told("authority"), prefix).alias("authority"),
         F.coalesce(own("place_type"), told("place_type"), usual).alias("place_type"), own("geom_type").alias("_row_type"), F.when(~F.isnan(area), area).alias("_area"),
         F.coalesce(own("license"), told("license")).alias("license"), F.coalesce(own("attribution"), credit).alias("attribution"),
         F.coalesce(own("version"), F.lit(layer.version)).alias("version"), told("updated").alias("updated"),

@@ -51,3 +51,9 @@ def test_crosswalk_counts_and_extent(spark):
 def test_last_column_of_an_id_counts(spark):
     rows = spark.createDataFrame([("PSGID:9", "a", None), ("PSGID:8", "a", "b"), ("x", "a", "n/a")], "place_id string, psgid string, ProSeasID string")
     assert {(r["place_id"], r["psgid"]) for r in I.layer_crosswalk(rows).collect()} == {("PSGID:9", "9"), ("PSGID:8", "b")}
+
+
+def test_authority_by_another_column(spark):
+    rows = spark.createDataFrame([("Z:1", "from the row"), ("Z:2", None)], "place_id string, keeper string")
+    got = {r["place_id"]: r["authority"] for r in I.layer_index(I.Layer("a", rows, authority_field="keeper")).collect()}
+    assert got == {"Z:1": "from the row", "Z:2": "Z"}
