@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.functions import boxes as B
 from terrane.functions import text as T
 from terrane.operators import graph as K
 from terrane.operators import joins as J

@@ -61,7 +61,7 @@ class _StatusLog(StatefulProcessor):
         latest = tuple(self.latest.get()) if self.latest.exists() else None
         for r in rows:
             place = (r["date"], r["seq"])
-            if self.met.containsKey(place):
+            if latest and place <= latest[:2] and self.met.containsKey(place):  # what is later than all others is new
                 continue
             self.met.updateValue(place, (r["value"],))
             number = latest[3] + 1 if latest else 1
