@@ -99,6 +99,11 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return d.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def read_contribution_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, content) of the files in each contribution's folder under ``path``; content is only read where it is used."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "content")
+
+
 def read_sites(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The named columns, ignoring case; those that a file lacks are null."""
     d = spark.read.parquet(path)
