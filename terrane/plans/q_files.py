@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.operators import aggregates as A
@@ -100,6 +100,20 @@ add("s10_wkb_round_trip", lambda t: R.decode_wkb(R.encode_wkb(t.fx_vertex)).sele
 add("s11_write_sites", lambda t: t.spark.read.parquet(_sites(t)), "select * from fx_name")
 
 
+def _site_files(t: Tables) -> DataFrame:
+    """One row: how many rows the files hold, how many are not in order, and how many files share a range of keys with another."""
+    path = scratch(t.supplier)
+    W.write_sites(t.fx_name, path, "place_id", file_bytes=20_000, blooms=("name",))
+    d = t.spark.read.parquet(path).select("place_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("place_id").over(Window.partitionBy("file").orderBy("at"))
+    files = d.withColumn("late", F.col("place_id") < before).groupBy("file").agg(F.count("*").alias("n"), F.count_if("late").alias("late"), F.min("place_id").alias("first"), F.max("place_id").alias("last"))
+    shared = F.col("first") <= F.max("last").over(Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("shared", shared).agg(F.sum("n").alias("rows"), F.sum("late").alias("late"), F.count_if("shared").alias("shared"))
+
+
+add("s11_site_files", _site_files, "select count(*) as rows, 0 late, 0 shared from fx_name")
+
+
 def _membership(t: Tables) -> DataFrame:
     path = scratch(t.lineitem)
     rows = t.lineitem.select(F.concat(F.lit("SUP:"), F.col("l_suppkey").cast("string")).alias("place_id"), F.col("l_orderkey").alias("cell"), (F.col("l_discount") * 10).cast("double").alias("share"), F.col("l_linenumber").cast("int").alias("res"), (F.col("l_orderkey") % 7).cast("int").alias("parent"))
