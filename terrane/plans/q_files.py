@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from terrane.operators import aggregates as A
 from terrane.operators.graph import scratch
 from terrane.plans.base import Book, Tables
+from terrane.sources import pages
 from terrane.sources import readers as R
 from terrane.sources import writers as W
+from terrane.sources.kinds import read_source
 
 book = Book()
 add = book.add
@@ -41,6 +43,20 @@ add("s1_page_count_problem", lambda t: R.page_count_problem(R.read_feature_pages
 add("s2_geojson_files", lambda t: _FEATURES(R.read_geojson(t.spark, _one_file_each(_pages(t), "text"))), _FEATURES_SQL)
 
 
+def _captured(t: Tables) -> DataFrame:
+    """The suppliers' pages written and read as a data source, each page a task that counts its own features."""
+    path = scratch(t.supplier)
+    pages.register(t.spark)
+    point = F.to_json(F.struct(F.lit("Point").alias("type"), F.array("xmin", "ymin").alias("coordinates")))
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(F.col("place_id").alias("id"), "k")), F.lit(',"geometry":'), point, F.lit("}"))
+    each = t.fx_box.groupBy((F.floor(F.col("k") / PAGE) * PAGE).alias("at")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", feature.alias("f")))), lambda s: s["f"]), ",").alias("f"))
+    each.select("at", F.concat(F.lit('{"features":['), "f", F.lit("]}")).alias("text")).write.format("feature_pages").mode("append").save(path)
+    return read_source(t.spark, {"kind": "feature_pages", "path": path, "exclude": {"k": [3, 5]}})
+
+
+add("s1_page_source", lambda t: _captured(t).select(F.col("properties")["id"].alias("id"), "page", "at", F.round(F.get_json_object("geometry", "$.coordinates[0]").cast("double"), 2).alias("x")), f"select place_id id, 'page_' || lpad(cast(k // {PAGE} * {PAGE} as varchar), 7, '0') || '.geojson' page, k as at, round(xmin, 2) x from fx_box where k not in (3, 5)")
+
+
 def _subsets(t: Tables) -> DataFrame:
     """Two files with ids of leading zeros, one with line ends in its values, one with another column."""
     a, b = scratch(t.part), scratch(t.part)
