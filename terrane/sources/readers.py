@@ -166,10 +166,10 @@ def encode_wkb(v: DataFrame) -> DataFrame:
         part, ring = t.column("part").to_numpy(), t.column("ring").to_numpy()
         xy = np.stack([t.column("x").to_numpy(), t.column("y").to_numpy()], axis=1).astype("<f8")
         u4 = lambda n: np.uint32(n).tobytes()
-        out = []
-        for p in np.unique(part):
-            rings = [xy[(part == p) & (ring == r)] for r in np.unique(ring[part == p])]
-            out.append(b"\1" + u4(3) + u4(len(rings)) + b"".join(u4(len(r)) + r.tobytes() for r in rings))
+        starts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (ring[1:] != ring[:-1])))  # of rings
+        rings = [u4(len(r)) + r.tobytes() for r in np.split(xy, starts[1:])]
+        firsts = np.flatnonzero(np.append(True, part[starts][1:] != part[starts][:-1]))  # of parts, among rings
+        out = [b"\1" + u4(3) + u4(n - m) + b"".join(rings[m:n]) for m, n in zip(firsts, [*firsts[1:], len(rings)], strict=True)]
         return pa.table([pa.array([key[0].as_py()]), pa.array([b"\1" + u4(6) + u4(len(out)) + b"".join(out)], pa.binary())], schema=schema)
 
     return v.groupBy("place_id").applyInArrow(run, "place_id string, geometry binary")

@@ -71,6 +71,16 @@ def test_membership_and_tiles(spark, tmp_path):
     assert sorted(r["cell"] for r in readers.read_tiles(spark, str(tmp_path / "t"), wanted).collect()) == [13, 27]
 
 
+def test_wkb_of_many_rings_and_gaps_in_their_numbers(spark):
+    rows = [("a", p, r, k, float(p * 10 + r), float(k)) for p, r in [(1, 0), (1, 1), (1, 4), (3, 0), (7, 2)] for k in range(1, 5)] + [("b", 1, 0, k, 0.0, float(k)) for k in range(1, 4)]
+    v = spark.createDataFrame(rows[::-1], "place_id string, part int, ring int, seq int, x double, y double").repartition(3)
+    got = sorted(map(tuple, readers.decode_wkb(readers.encode_wkb(v)).collect()))
+    numbered = {(1, 0): (1, 0), (1, 1): (1, 1), (1, 4): (1, 2), (3, 0): (2, 0), (7, 2): (3, 0)}
+    assert got == sorted((i, *numbered[p, r], k, x, y) for i, p, r, k, x, y in rows)
+    many = spark.range(400_000).select(F.lit("m").alias("place_id"), (F.col("id") / 40_000).cast("int").alias("part"), (F.col("id") % 40_000 / 4).cast("int").alias("ring"), (F.col("id") % 4).cast("int").alias("seq"), F.col("id").cast("double").alias("x"), F.lit(0.5).alias("y"))
+    assert readers.decode_wkb(readers.encode_wkb(many)).agg(F.count("*"), F.count_distinct("part", "ring"), F.sum("x")).first()[:] == (400_000, 100_000, 400_000 * 399_999 / 2)
+
+
 def test_feature_lines(spark, tmp_path):
     df = spark.createDataFrame([(1, None, '{"type":"Point","coordinates":[0,1]}')], "id int, name string, geometry string")
     writers.write_feature_lines(df, ["id", "name"], str(tmp_path / "f"))
