@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from terrane.operators import cells as C
 from terrane.operators import geometry as G
-from terrane.operators import joins as J
 from terrane.operators import overlap as O
 from terrane.operators import species as S
 from terrane.plans.base import Book
@@ -28,7 +27,7 @@ ov as (select a_id, b_id, sum(s * case when a0 <= b0 and a1 <= b1 then (a0 + a1)
   else ((a0 + a1 + b0 + b1) / 2 * len - len * (pow(a0 - b0, 2) + pow(a1 - b1, 2)) / (2 * abs((a0 - b0) - (a1 - b1)))) / 2 end) area from yy group by 1, 2)"""
 _EVEN_ODD = _PAIR_SQL.format(on="a.k % 2 = 0 and b.k % 2 = 1")
 add("j10_polygon_overlap", lambda t: O.polygon_overlap(_ODD(t, 0), _ODD(t, 1), tolerance=1e-6).withColumn("area", F.round("area", 5)), f"with {_EVEN_ODD} select a_id, b_id, round(area, 5) area from ov where area > 1e-6")
-add("j21_carry", lambda t: J.carry(O.polygon_overlap(_ODD(t, 0), _ODD(t, 1), tolerance=1e-6).select("a_id", "b_id"), t.fx_place, t.fx_place, ["k"], ["r"]), f"with {_EVEN_ODD} select a_id, b_id, a.k a_k, b.r b_r from ov join fx_place a on a.place_id = a_id join fx_place b on b.place_id = b_id where area > 1e-6")
+add("j21_carry", lambda t: O.polygon_overlap(_ODD(t, 0), _ODD(t, 1), tolerance=1e-6, left=t.fx_place.select("place_id", "k"), right=t.fx_place.select("place_id", "r")).drop("area"), f"with {_EVEN_ODD} select a_id, b_id, a.k a_k, b.r b_r from ov join fx_place a on a.place_id = a_id join fx_place b on b.place_id = b_id where area > 1e-6")
 add("b5_derive_intersect", lambda t: O.derive_intersect(_ODD(t, 0), _ODD(t, 1), 5.0, 0.5).where("area is not null or lost > 1e-6").select("a_id", "b_id", F.round("area", 5).alias("area"), "reason"), f"with {_EVEN_ODD} select a_id, b_id, round(case when area >= 5e-1 then area end, 5) area, case when area < 5e-1 then 'fragments' when area < 5 then 'sliver' end reason from ov where area > 1e-6")
 add("a22_derived_report", lambda t: O.derived_report(O.derive_intersect(_ODD(t, 0), _ODD(t, 1), 5.0, 0.5).where("area is not null or lost > 1e-6")).withColumn("area", F.round("area", 4)), f"with {_EVEN_ODD} select case when area < 5e-1 then 'fragments' when area < 5 then 'sliver' else 'kept' end reason, count(*) n, round(sum(area), 4) area from ov where area > 1e-6 group by 1")
 _SPLIT = lambda t: G.edges(G.split_antimeridian(t.fx_vertex))
