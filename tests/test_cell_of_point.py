@@ -17,7 +17,7 @@ def test_a_column_past_the_last_is_not_wrapped(spark):
     assert tuple(got) == (2 * 720 + 1, 72)
 
 
-@pytest.mark.parametrize("name", ["f22_cell_at"])
+@pytest.mark.parametrize("name", ["f22_cell_at", "f24_morton"])
 def test_points_past_180(spark, tmp_path, name):
     got, want = both(spark, tmp_path, name, orders=ORDERS)
     assert len(got) == 3 and got == want
