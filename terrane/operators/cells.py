@@ -56,6 +56,8 @@ def grid_membership(e: DataFrame, res_max: int, min_share: float = 0.01, min_par
 
     Only cells that the border passes are refined; a cell inside passes share 1 to its descendants. A cell stays if its
     share is at least ``min_share`` or it holds at least ``min_part`` of the place. ``e`` are edges within -180..180.
+    What a cell may lack or hold and still count as full or empty is measured by the finest cells, as a sliver of a coarse
+    cell may be a good part of a fine one.
     """
     plane = cut(equal_area(e).select("place_id", "xa", "ya", "xb", "yb"))
     size = plane.groupBy("place_id").agg((F.sum((F.col("xa") - F.col("xb")) * (F.col("ya") + F.col("yb"))) / 2).alias("size"))
@@ -66,13 +68,14 @@ def grid_membership(e: DataFrame, res_max: int, min_share: float = 0.01, min_par
     inside, levels = None, []
     for res in range(res_max + 1):
         w, h = width(res)
-        found = cut(_shares(plane, candidates, res).where(F.col("share") > TOLERANCE))
-        full = found.where(F.col("share") >= 1 - TOLERANCE).select("place_id", "ix", "iy")
-        border = found.where(F.col("share") < 1 - TOLERANCE)
+        least = TOLERANCE / 4 ** (res_max - res)
+        found = cut(_shares(plane, candidates, res).where(F.col("share") > least))
+        full = found.where(F.col("share") >= 1 - least).select("place_id", "ix", "iy")
+        border = found.where(F.col("share") < 1 - least)
         inside = full if inside is None else cut(full.unionByName(down(inside)))
         level = border.unionByName(inside.withColumn("share", F.lit(1.0))).join(size, "place_id")
         keep = (F.col("share") >= min_share) | (F.col("share") * (w * h) >= min_part * F.col("size"))
-        levels.append(level.where(keep).select("place_id", F.lit(res).alias("res"), "ix", "iy", F.least("share", F.lit(1.0)).alias("share")))
+        levels.append(level.where(keep & (F.col("share") > TOLERANCE)).select("place_id", F.lit(res).alias("res"), "ix", "iy", F.least("share", F.lit(1.0)).alias("share")))
         candidates = down(border)
     out = levels[0]
     for level in levels[1:]:
