@@ -43,6 +43,13 @@ def test_pairs_are_not_shuffled(spark):
     assert shuffled(spark, O.polygon_overlap(a, b, left=extra, right=extra)) < 40_000
 
 
+def test_points_are_shuffled_once(spark):
+    points = spark.range(2_000).selectExpr("id as point_id", "cast(id % 50 as double) / 5 + 4.013 as lon", "cast(id div 50 as double) / 10 - 2.007 as lat")
+    found = O.points_in_polygons(points, stars(spark, "a", 120, 1))
+    assert found.count() > 30_000
+    assert shuffled(spark, found) < 20_000
+
+
 @pytest.mark.parametrize("keys", [(), ("part",)])
 def test_small_and_large_places_agree(spark, monkeypatch, keys):
     a, b = stars(spark, "a", 12, 3, 12), stars(spark, "b", 12, 4, 12)
@@ -62,3 +69,14 @@ def test_columns_of_both_sides(spark):
     assert got.columns == ["a_id", "b_id", "a_n", "b_m", "area"]
     assert {r["a_id"] for r in got.collect()} == {"a1", "a2", "a3", "a4"}
     assert {(r["a_n"], r["b_m"]) for r in got.collect()} == {(14, 14)}
+
+
+def test_even_odd_by_columns_and_by_arrays(spark, monkeypatch):
+    e = stars(spark, "a", 30, 5)
+    points = spark.range(1_000).selectExpr("id as point_id", "cast(id % 40 as double) / 3 + 4.013 as lon", "cast(id div 40 as double) / 4 - 3.007 as lat", "id * 2 as v")
+    every = e.crossJoin(points.select("point_id", "lon", "lat", "v")).where("(ya > lat) != (yb > lat) and lon < (xb - xa) * (lat - ya) / (yb - ya) + xa")
+    want = {tuple(r) for r in every.groupBy("point_id", "place_id", "v").count().where("count % 2 = 1").drop("count").collect()}
+    for few in (O.FEW, 1):
+        monkeypatch.setattr(O, "FEW", few)
+        got = [tuple(r) for r in O.points_in_polygons(points, e, carry=("v",)).collect()]
+        assert len(got) == len(want) and set(got) == want
